@@ -111,14 +111,14 @@ def label_masks(base: DataFrame, interactions: DataFrame, **limits) -> DataFrame
     return both.groupBy("impression_id").agg({"mask": "bit_or"}).toDF("impression_id", "mask")
 
 
-def with_labels(base: DataFrame, masks: DataFrame) -> DataFrame:
-    """Attach the twelve labels and the click label; impressions without a mask get zeros.
+def label_columns(mask: str) -> list[str]:
+    """The twelve 0/1 labels held by a mask, and the click label: any engaged behaviour. Skip,
+    rewatch, share and pause make no click."""
+    labels = [f"cast(getbit({mask}, {c}) as int) as {label}" for label, c in LABEL_CODES.items()]
+    return [*labels, f"if({mask} & {CLICK_MASK} <> 0, 1, 0) as is_click"]
 
-    A click is any engaged behaviour. Skip, rewatch, share and pause do not count.
-    """
-    flags = [
-        f"cast(getbit(coalesce(mask, 0), {code}) as int) as {label}"
-        for label, code in LABEL_CODES.items()
-    ]
-    click = f"if(coalesce(mask, 0) & {CLICK_MASK} <> 0, 1, 0) as is_click"
-    return base.join(masks, "impression_id", "left").selectExpr("* except (mask)", *flags, click)
+
+def with_labels(base: DataFrame, masks: DataFrame) -> DataFrame:
+    """Attach the thirteen labels; impressions without a mask get zeros."""
+    joined = base.join(masks, "impression_id", "left")
+    return joined.selectExpr("* except (mask)", *label_columns("coalesce(mask, 0)"))
