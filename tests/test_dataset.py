@@ -1,0 +1,195 @@
+"""The dataset plan: edge rows, contract and skew."""
+import math
+
+import pytest
+from conftest import at
+from pyspark.sql import functions as F
+
+from feedloom.contracts import (
+    DATASET_COLUMNS,
+    EVENT_TYPES,
+    FEATURE_COLUMNS,
+    LABEL_COLUMNS,
+    SCORE_COLUMNS,
+)
+from feedloom.operators import frames
+from feedloom.operators.newest import expired_runs, newest
+from feedloom.operators.skew import broadcast_if_small, frequent_values, spread_left_join
+from feedloom.plans.dataset import build_dataset
+
+
+def built(tables, hot_support=None, **options):
+    return {r.impression_id: r for r in
+            build_dataset(tables, hot_support=hot_support, **options).collect()}
+
+
+def test_contract():
+    assert len(DATASET_COLUMNS) == 53
+    assert (len(FEATURE_COLUMNS), len(SCORE_COLUMNS), len(LABEL_COLUMNS)) == (24, 3, 13)
+
+
+def test_features(tables):
+    got = built(tables(
+        scroll_impressions=[
+            {"id": 1, "user_id": 1, "scroll_id": 10, "position_index": 0, "created_at": at(),
+             "semantic_score": 0.2, "recommendation_profile_kind": "session"},
+            {"id": 2, "user_id": 1, "product_id": 20, "position_index": 3, "created_at": at(1)},
+            {"id": 3, "user_id": 1, "scroll_id": 20, "item_type": 2, "created_at": at(2)},
+            {"id": 4, "created_at": at(3), "user_id": 1},
+            {"id": 5, "scroll_id": 10, "product_id": 20, "item_type": 1, "created_at": at(4)},
+        ],
+        scrolls=[{"id": 10, "user_id": 7, "category": "art", "quality_score": 0.5,
+                  "products": [1], "views": 10, "likes": -5, "created_at": at(-86400)}],
+        products=[{"id": 20, "user_id": 8, "category": "shoes", "content_category": "wear",
+                   "average_rating": 4.5, "total_sales_count": 1000, "created_at": at()}],
+        scroll_stats=[{"scroll_id": 10, "impressions": 10, "completions": 4,
+                       "qualified_views": 20, "purchases": 1}],
+        item_global_stats=[
+            {"item_id": 20, "item_type": 2, "impressions": 100, "clicks": 10, "product_views": 10,
+             "carts": 5, "purchases": 1},
+            {"item_id": 10, "item_type": 1, "impressions": 1, "clicks": 1}],
+        user_category_affinity=[{"user_id": 1, "category_id": "art", "score": 2.0}],
+        user_creator_affinity=[{"user_id": 1, "creator_id": 8, "score": 3.0}],
+        position_bias_baseline=[{"position_index": 0, "expected_ctr": 0.3}],
+    ))
+    assert set(got) == {"1", "2", "3", "5"}
+    scroll, product, bare, both = got["1"], got["2"], got["3"], got["5"]
+    assert (scroll.item_type, scroll.is_product, scroll.has_products) == (1, 0, 1)
+    assert scroll.video_quality == 0.5
+    assert scroll.completion_rate == 0.4
+    assert scroll.global_ctr == 2.0  # not clamped
+    assert scroll.global_conversion_rate == 0.1
+    assert scroll.social_proof_score == pytest.approx(math.log(11) / 5)
+    assert scroll.content_freshness == pytest.approx(0.5)
+    assert (scroll.user_category_score, scroll.creator_affinity_score) == (2.0, 0.0)
+    assert scroll.expected_ctr_at_position == 0.3
+    assert (scroll.has_semantic_candidate, scroll.semantic_profile_strength) == (1, 0.75)
+    assert scroll.hour_of_day == 12
+    assert (product.item_type, product.is_product, product.has_products) == (2, 1, 1)
+    assert product.video_quality == 4.5
+    assert product.completion_rate == pytest.approx(0.41)
+    assert product.global_ctr == pytest.approx(0.2)
+    assert product.social_proof_score == 1.0
+    assert (product.category, product.content_category) == ("shoes", "wear")
+    assert (product.user_category_score, product.creator_affinity_score) == (0.0, 3.0)
+    assert product.expected_ctr_at_position == 0.05
+    # A product impression that names only a scroll: statistics by the scroll id, no product.
+    assert bare.global_ctr == pytest.approx(0.2)
+    assert (bare.video_quality, bare.category, bare.is_product) == (0.0, None, 1)
+    # The scroll side wins, the product's content category comes before the scroll's category.
+    assert (both.category, both.content_category) == ("art", "wear")
+    assert (both.video_quality, both.session_velocity) == (0.5, 0.0)
+
+
+@pytest.mark.parametrize("age_hours, kind, expected", [
+    (-24, "scroll", 0.0), (-12, "scroll", 2.0), (72, "product", 0.5), (0, "scroll", 1.0)])
+def test_freshness(tables, age_hours, kind, expected):
+    item = {"id": 1, "created_at": at(-age_hours * 3600)}
+    got = built(tables(
+        scroll_impressions=[{"id": 1, f"{kind}_id": 1, "created_at": at()}], **{f"{kind}s": [item]}
+    ))
+    assert got["1"].content_freshness == pytest.approx(expected)
+
+
+def test_item_less_peer_counts(tables):
+    row = {"user_id": 1, "session_id": "a"}
+    got = built(tables(scroll_impressions=[
+        {"id": 1, **row, "created_at": at()},
+        {"id": 2, **row, "scroll_id": 1, "created_at": at(10)}]))
+    assert set(got) == {"2"}
+    assert (got["2"].session_velocity, got["2"].session_dwell_time) == (0.4, 10.0)
+
+
+def test_score_nulls(tables):
+    data = tables(scroll_impressions=[{"id": 1, "scroll_id": 1, "created_at": at()}])
+    assert built(data)["1"].ml_shadow_score is None
+    assert built(data, fill_scores=True)["1"].ml_shadow_score == 0.0
+    assert built(data)["1"].user_id is None
+
+
+def test_time_range_keeps_context(tables):
+    row = {"user_id": 1, "session_id": "a", "scroll_id": 1}
+    data = tables(scroll_impressions=[
+        {"id": i, **row, "created_at": at(i * 60)} for i in range(4)])
+    got = built(data, start=at(60), end=at(180))
+    assert set(got) == {"1", "2"}
+    assert got["2"].session_dwell_time == 120.0
+
+
+def test_newest(table, tables):
+    rows = [{"id": i, "scroll_id": 1, "created_at": at(3600 * i)} for i in range(8)]
+    df = table("scroll_impressions", {"id": 99, "scroll_id": 1}, *rows)
+    assert [r.id for r in newest(df, 1).collect()] == [99]
+    assert [r.id for r in newest(df, 4).collect()] == [99, 7, 6, 5]
+    assert newest(df, 50).count() == 9
+    got = built(tables(scroll_impressions=rows), limit=2)
+    assert set(got) == {"7", "6"}
+
+
+def test_conform(spark):
+    df = spark.range(1).selectExpr("id as x", "cast(null as double) as expected_ctr_at_position")
+    row = frames.feature_frame(df, keep=["x"]).head()
+    assert row.asDict() | {"x": 0} == row.asDict()
+    assert row.expected_ctr_at_position == 0.05 and row.session_velocity == 1.0
+    override = {"expected_ctr_at_position": 0.0}
+    assert frames.feature_frame(df, defaults=override).head().expected_ctr_at_position == 0.0
+    assert frames.training_frame(df).columns == DATASET_COLUMNS
+    labelled = df.selectExpr("*", "1 as is_click", "0D as heuristic_score")
+    assert frames.available_labels(labelled) == ["is_click"]
+    assert frames.available_scores(labelled) == ["heuristic_score"]
+
+
+def test_assert_unique(spark):
+    frames.assert_unique(spark.range(3), ["id"])
+    with pytest.raises(ValueError):
+        frames.assert_unique(spark.range(3).selectExpr("1 as id"), ["id"])
+
+
+def test_spread_join_is_whole_and_even(spark):
+    """A third of the rows on one key and a third without a key."""
+    left = spark.range(3000).selectExpr(
+        "id", "case when id % 3 = 0 then 7L when id % 3 = 1 then id end as k")
+    right = spark.range(3000).selectExpr("id as k", "id * 10 as v")
+    hot = frequent_values(left, ["k"])
+    assert 7 in hot["k"] and len(hot["k"]) <= 100
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        joined = spread_left_join(left, [right], ["k"], "id", hot)
+        plain = left.join(right, "k", "left")
+        key = ["id", "k", "v"]
+        assert sorted(map(str, joined.select(key).collect())) == sorted(
+            map(str, plain.select(key).collect()))
+        parts = joined.groupBy(F.spark_partition_id().alias("part")).count().collect()
+        sizes = [r["count"] for r in parts]
+        assert sum(sizes) == 3000 and max(sizes) < 3000 / 4
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+        spark.conf.unset("spark.sql.adaptive.enabled")
+
+
+def test_hot_keys_change_no_result(tables):
+    rows = [
+        {"id": i, "user_id": i % 3, "scroll_id": 1 if i % 3 else i, "position_index": i % 5,
+         "created_at": at(i)} for i in range(60)]
+    data = tables(
+        scroll_impressions=rows,
+        scrolls=[{"id": i, "user_id": i, "category": f"c{i}"} for i in range(60)],
+        user_category_affinity=[
+            {"user_id": u, "category_id": "c1", "score": float(u)} for u in range(3)])
+    assert built(data) == built(data, hot_support=0.2)
+
+
+def test_broadcast_only_below_the_bound(spark):
+    assert broadcast_if_small(spark.range(10), 10)[1]
+    assert not broadcast_if_small(spark.range(11), 10)[1]
+
+
+def test_retention(spark):
+    runs = spark.createDataFrame([(f"r{i}",) for i in range(5)], "run_id string")
+    assert {r.run_id for r in expired_runs(runs, 2).collect()} == {"r0", "r1", "r2"}
+    assert expired_runs(runs, 0).count() == 0
+
+
+def test_event_codes():
+    assert len(EVENT_TYPES) == 15 and len(set(EVENT_TYPES.values())) == 15
