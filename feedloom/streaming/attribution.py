@@ -12,6 +12,14 @@ from feedloom.operators.items import resolve_items
 KEYS = ["kind", "owner", "item_type", "item_id", "salt"]
 
 
+def key(kind: str, owner: str, item_type: str, item_id: str, salt: str) -> str:
+    """A join key; a null owner or item id matches nothing."""
+    return (
+        f"named_struct('kind', '{kind}', 'owner', cast({owner} as string), "
+        f"'item_type', {item_type}, 'item_id', cast({item_id} as string), 'salt', {salt})"
+    )
+
+
 def attribute_stream(
     impressions: DataFrame,
     interactions: DataFrame,
@@ -31,36 +39,28 @@ def attribute_stream(
     """
     scroll, product = ITEM_TYPES["SCROLL"], ITEM_TYPES["PRODUCT"]
     item = f"case item_type when {scroll} then scroll_id when {product} then product_id end"
+    salt = f"cast(pmod(xxhash64(impression_id), {salts}) as int)"
+    direct = key("direct", "impression_id", "0", "''", "0")
+    asked = f"array({direct}, {key('nearby', 'user_id', 'item_type', item, salt)})"
+    answers = ", ".join(
+        key("nearby", "user_id", str(kind), column, str(i))
+        for kind, column in ((scroll, "scroll_id"), (product, "product_id"))
+        for i in range(salts)
+    )
+    answered = f"if(impression_id is not null, array({direct}), array({answers}))"
     shown = (
         resolve_items(impressions)
         .withWatermark("impressed_at", lateness)
-        .selectExpr(
-            "impression_id", "impressed_at", "session_id as shown_session",
-            f"""inline(array(
-              struct('direct' as kind, cast(impression_id as string) as owner, 0 as item_type,
-                '' as item_id, 0 as salt),
-              struct('nearby', cast(user_id as string), item_type, cast({item} as string),
-                cast(pmod(xxhash64(impression_id), {salts}) as int))))""",
-        )
-        .where("kind = 'direct' or (owner is not null and item_id is not null)")
-    )
-    near = ", ".join(
-        f"struct('nearby', cast(user_id as string), {kind}, cast({column} as string), {salt})"
-        for kind, column in ((scroll, "scroll_id"), (product, "product_id"))
-        for salt in range(salts)
-    )
-    direct = (
-        "struct('direct' as kind, cast(impression_id as string) as owner, 0 as item_type, "
-        "'' as item_id, 0 as salt)"
+        .selectExpr("impression_id", "impressed_at", "session_id as shown_session",
+                    f"inline({asked})")
+        .where("owner is not null and item_id is not null")
     )
     acted = (
         interactions.where(SETS_LABEL)
         .withColumnRenamed("created_at", "acted_at")
         .withWatermark("acted_at", lateness)
-        .selectExpr(
-            "acted_at", "session_id as acted_session", f"{event_bit('event_type')} as bit",
-            f"inline(if(impression_id is not null, array({direct}), array({near})))",
-        )
+        .selectExpr("acted_at", "session_id as acted_session",
+                    f"{event_bit('event_type')} as bit", f"inline({answered})")
         .where("owner is not null and item_id is not null")
         .withColumnsRenamed({k: f"acted_{k}" for k in KEYS})
     )

@@ -1,0 +1,174 @@
+"""Summaries, metrics, promotion and rank scores."""
+import random
+
+import pytest
+from pyspark.sql import functions as F
+
+from feedloom.operators import evaluation, promotion, split, summary
+from feedloom.operators.ranking import rank_scores
+from feedloom.plans.evaluation import calibration_report, shadow_report
+from feedloom.plans.scoring import score
+
+
+def frame(spark, rows, schema="p double, y int"):
+    return spark.createDataFrame(rows, schema)
+
+
+def pair_auc(rows):
+    pos = [p for p, y in rows if y == 1]
+    neg = [p for p, y in rows if y == 0]
+    wins = sum((a > b) + 0.5 * (a == b) for a in pos for b in neg)
+    return wins / (len(pos) * len(neg))
+
+
+@pytest.mark.parametrize("hot", [None, 0.37])
+def test_auc_equals_pair_count(spark, hot):
+    """With a third of all rows on one score as well, and scores outside [0, 1]."""
+    rng = random.Random(1)
+    rows = []
+    for i in range(600):
+        p = hot if hot and i % 3 == 0 else rng.choice([rng.uniform(-2, 3), rng.randrange(5) / 4])
+        rows.append((p, int(rng.random() < 0.3)))
+    df = frame(spark, rows)
+    expected = pair_auc(rows)
+    got = evaluation.auc(df, "y", ["p"]).head()
+    assert got.auc == pytest.approx(expected)
+    assert got.positives + got.negatives == 600
+    for edges in ([], [0.5], [0.1, 0.37, 0.9]):
+        assert evaluation.auc(df, "y", ["p"], edges).head().auc == pytest.approx(expected)
+    flipped = df.selectExpr("-p as p", "y")
+    assert evaluation.auc(flipped, "y", ["p"]).head().auc == pytest.approx(1 - expected)
+
+
+def test_auc_of_one_class_is_null(spark):
+    assert evaluation.auc(frame(spark, [(0.1, 1), (0.2, 1)]), "y", ["p"]).head().auc is None
+
+
+def test_auc_orders_no_single_partition_of_rows(spark):
+    df = frame(spark, [(0.1, 1), (0.2, 0)])
+    plan = evaluation.auc(df, "y", ["p"], [0.15])
+    text = plan._sc._jvm.PythonSQLUtils.explainString(plan._jdf.queryExecution(), "simple")
+    assert "SinglePartition" not in text
+
+
+@pytest.mark.parametrize("p, expected", [(0.0, 0), (0.1, 0), (0.100001, 1), (0.3, 2), (1.0, 9)])
+def test_bins(spark, p, expected):
+    df = frame(spark, [(p, 1)])
+    assert df.select(evaluation.probability_bin(F.col("p")).alias("b")).head().b == expected
+
+
+def test_bin_outside_raises(spark):
+    with pytest.raises(Exception, match="outside"):
+        evaluation.calibration_curve(frame(spark, [(1.5, 1)]), "y", "p").collect()
+
+
+def test_calibration(spark):
+    df = frame(spark, [(0.05, 0), (0.05, 0), (0.95, 1), (None, 1)])
+    brier, curve, error = calibration_report(df, "y", "p")
+    assert brier.head().brier == pytest.approx(0.0025)
+    assert {r.bin: r.rows for r in curve.collect()} == {0: 2, 9: 1}
+    row = error.head()
+    assert row.calibration_error == pytest.approx(0.05)
+    assert row.weighted_calibration_error == pytest.approx(0.05)
+    assert row.verdict in ("high", "moderate")
+    assert evaluation.calibration_error(curve.limit(0)).head().verdict is None
+
+
+def test_shadow_report(spark):
+    schema = "ml_shadow_score double, heuristic_score double, is_click int"
+    df = spark.createDataFrame(
+        [(0.9, 0.1, 1), (0.1, 0.9, 0), (0.8, 0.95, 1), (0.2, 0.2, 0), (None, 0.5, 1)], schema)
+    aucs, lift = shadow_report(df)
+    assert {r.score_name: r.auc for r in aucs.collect()} == {
+        "ml_shadow_score": 1.0, "heuristic_score": 0.5}
+    row = lift.head()
+    assert (row.lift, row.ahead) == (1.0, "ml")
+    with pytest.raises(ValueError):
+        shadow_report(df.drop("heuristic_score"))
+
+
+def test_class_guard(spark):
+    assert not summary.has_both_classes(frame(spark, [(0.1, 1)]), "y").head().usable
+    assert summary.has_both_classes(frame(spark, [(0.1, 1), (0.1, 0)]), "y").head().usable
+
+
+def choose(df):
+    return summary.choose_target(summary.target_candidates(df)).head().target
+
+
+def test_target_choice(spark):
+    few = spark.range(40).selectExpr("if(id < 11, 1, 0) as is_product_click")
+    assert choose(few) is None
+    views = spark.range(40).selectExpr(
+        "1 as is_product_click", "if(id < 12, 1, 0) as is_product_view", "0 as is_purchase")
+    assert choose(views) == "is_product_view"
+    bought = spark.range(40).selectExpr("if(id < 12, 1, 0) as is_purchase")
+    assert choose(bought) == "is_purchase"
+    intent = spark.range(40).selectExpr(
+        "if(id < 6, 1, null) as is_purchase", "if(id between 6 and 12, 1, 0) as is_add_to_cart")
+    assert choose(intent) == "commerce_intent"
+
+
+def test_other_values_count_as_neither(spark):
+    df = spark.range(10).selectExpr("cast(id % 3 as int) as is_purchase")
+    row = summary.target_candidates(df, ["is_purchase"]).head()
+    assert (row.rows, row.positives, row.negatives) == (10, 3, 4)
+
+
+def test_summary_of_nothing(spark):
+    row = summary.dataset_summary(spark.range(0)).head()
+    assert (row.rows, row.click_positives, row.click_rate, row.commerce_rate) == (0, 0, 0.0, 0.0)
+
+
+@pytest.mark.parametrize("active, fallback, force, allow, rows, allowed, reasons", [
+    (False, True, False, False, 10, True, 3),
+    (True, True, False, False, 1000, False, 1),
+    (True, True, True, False, 1000, True, 0),
+    (True, True, False, True, 1000, True, 0),
+    (True, False, False, False, 1000, True, 0),
+    (True, False, False, False, 10, False, 3),
+    (True, False, True, False, 10, True, 3),
+])
+def test_promotion(spark, active, fallback, force, allow, rows, allowed, reasons):
+    positives = 100 if rows > 250 else 1
+    df = spark.createDataFrame(
+        [(rows, positives, positives, active, fallback, False)],
+        "rows bigint, click_positives bigint, commerce_positives bigint, "
+        "active_models_exist boolean, engagement_used_fallback boolean, "
+        "commerce_used_fallback boolean")
+    got = promotion.promotion_gate(df, allow_fallback=allow, force=force).head()
+    assert got.promotion_allowed is allowed
+    assert len(got.promotion_reasons) == reasons
+    if rows == 10:
+        assert got.promotion_reasons[0] == "dataset too small (10 rows < 250)"
+
+
+@pytest.mark.parametrize("e, c, k, hint, expected", [
+    (1.0, 1.0, 1.0, 1.0, {"final_rank_score": 0.95, "fast_skip_score": 0.0}),
+    (0.0, 0.0, 0.0, 0.0, {"final_rank_score": 0.0, "fast_skip_score": 1.0}),
+    (0.5, 0.5, 0.5, 0.05, {"final_rank_score": 0.33}),
+])
+def test_rank_scores(spark, e, c, k, hint, expected):
+    df = spark.createDataFrame(
+        [(e, c, k, hint)], "engagement_score double, commerce_score double, "
+        "completion_rate double, expected_ctr_at_position double")
+    got = rank_scores(df).head().asDict()
+    for name, value in expected.items():
+        assert got[name] == pytest.approx(value)
+
+
+def test_score_without_models(spark):
+    got = score(spark.createDataFrame([(1, 0.5)], "id int, completion_rate double"), keep=["id"])
+    row = got.head()
+    assert (row.engagement_score, row.commerce_score) == (0.5, 0.5)
+    assert row.final_rank_score == pytest.approx(0.33)
+
+
+def test_split_is_stable_and_balanced(spark):
+    df = spark.range(20000).selectExpr("id", "cast(id % 10 = 0 as int) as y")
+    train, test = split.train_test_split(df, "id")
+    again = split.train_test_split(df.repartition(13), "id")[1]
+    assert train.count() + test.count() == 20000
+    assert set(test.collect()) == set(again.collect())
+    for row in split.split_balance(df, "y", "id").collect():
+        assert row.test_share == pytest.approx(0.2, abs=0.02)
