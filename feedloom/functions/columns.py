@@ -20,14 +20,14 @@ def micros(ts: str) -> str:
     return f"unix_micros(cast({ts} as timestamp))"
 
 
-def floor_to(us: str, width: int) -> str:
+def floor_to(us: str, width: str | int) -> str:
     """Start of the time slot of ``width`` microseconds that holds ``us`` (also before 1970)."""
-    return f"(({us}) - pmod({us}, {width}L))"
+    return f"({us} - pmod({us}, cast({width} as bigint)))"
 
 
-def slots(first: str, last: str, width: int) -> str:
+def slots(first: str, last: str, width: str | int) -> str:
     """Array of the starts of all time slots touched by [first, last]."""
-    return f"sequence({floor_to(first, width)}, {floor_to(last, width)}, {width}L)"
+    return f"sequence({floor_to(first, width)}, {floor_to(last, width)}, cast({width} as bigint))"
 
 
 def or_zero(value: str) -> str:

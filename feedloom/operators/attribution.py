@@ -2,10 +2,14 @@
 
 from __future__ import annotations
 
+from datetime import datetime, timedelta
+
 from pyspark.sql import DataFrame
 
 from feedloom.contracts import CLICK_LABELS, EVENT_LABELS, EVENT_TYPES, ITEM_TYPES
 from feedloom.functions.columns import MINUTE, floor_to, micros, slots
+from feedloom.operators.newest import between
+from feedloom.operators.skew import slot_width
 
 LABEL_CODES = {label: EVENT_TYPES[event] for label, event in EVENT_LABELS.items()}
 CODES = sorted(LABEL_CODES.values())
@@ -19,7 +23,7 @@ select impression_id, user_id, item_type, item_id, any_session, session_id, {slo
 from (
   select impression_id, user_id, item_type, session_id is null as any_session, session_id,
     case item_type when {scroll} then scroll_id when {product} then product_id end as item_id,
-    impressed_us as us
+    impressed_us as us, width
   from {{shown}}
   where user_id is not null and impressed_us is not null and item_type in ({scroll}, {product}))
 where item_id is not null
@@ -70,6 +74,9 @@ def nearby_masks(
     interactions: DataFrame,
     horizon_minutes: int = 60,
     slot_minutes: int = 240,
+    hot_users: list | None = None,
+    start: datetime | None = None,
+    end: datetime | None = None,
 ) -> DataFrame:
     """impression_id and mask of events by the same user on the same item within the horizon.
 
@@ -81,33 +88,36 @@ def nearby_masks(
     session), ordered by time, in which each impression asks for the next event of each kind: a
     running minimum over descending time, linear in the stream's length. Events are repeated for
     the "any session" stream. Streams are cut into time slots, so a hot (user, item) spreads over
-    many tasks; events also go to the earlier slot whose impressions may still reach them.
+    many tasks; ``hot_users`` get shorter slots. Events also go to the earlier slot whose
+    impressions may still reach them. If the impressions lie in [start, end), events out of their
+    reach are not read.
     """
-    width = slot_minutes * MINUTE
-    horizon = horizon_minutes * MINUTE
-    acted = interactions.where(
+    wide, horizon = slot_minutes * MINUTE, horizon_minutes * MINUTE
+    width = slot_width("user_id", hot_users, wide, min(wide, horizon))
+    reach = between(interactions, start, end and end + timedelta(minutes=horizon_minutes))
+    acted = reach.where(
         f"{SETS_LABEL} and impression_id is null and user_id is not null and created_at is not null"
     ).selectExpr(
         "user_id", "session_id", "scroll_id", "product_id", "cast(event_type as int) as event_type",
         f"{micros('created_at')} as us",
-    )
+    ).withColumn("width", width)
     kinds = {"scroll": ITEM_TYPES["SCROLL"], "product": ITEM_TYPES["PRODUCT"]}
-    targets = TARGETS_SQL.format(**kinds, slot=floor_to("us", width))
-    signals = SIGNALS_SQL.format(**kinds, slots=slots(f"(us - {horizon - 1}L)", "us", width))
+    targets = TARGETS_SQL.format(**kinds, slot=floor_to("us", "width"))
+    signals = SIGNALS_SQL.format(**kinds, slots=slots(f"(us - {horizon - 1}L)", "us", "width"))
     nearby = NEARBY_SQL.format(
         next_events=", ".join(
             f"min(if(event_type = {c}, us, null)) over ahead as next_{c}" for c in CODES),
         mask=" + ".join(f"if(next_{c} < us + {horizon}L, {1 << c}, 0)" for c in CODES),
     )
     spark = base.sparkSession
-    stream = spark.sql(targets, shown=base).unionByName(spark.sql(signals, acted=acted))
+    stream = spark.sql(targets, shown=base.withColumn("width", width)).unionByName(spark.sql(signals, acted=acted))
     return spark.sql(nearby, stream=stream)
 
 
-def label_masks(base: DataFrame, interactions: DataFrame, **limits) -> DataFrame:
-    """One row per labelled impression_id. Bits are merged before the shuffle, so an impression
+def label_masks(base: DataFrame, interactions: DataFrame, **options) -> DataFrame:
+    """Direct and nearby masks merged (``options`` are those of ``nearby_masks``): one row per labelled impression_id. Bits are merged before the shuffle, so an impression
     with a very large number of interactions costs one row per map task."""
-    both = direct_masks(interactions).unionByName(nearby_masks(base, interactions, **limits))
+    both = direct_masks(interactions).unionByName(nearby_masks(base, interactions, **options))
     return both.groupBy("impression_id").agg({"mask": "bit_or"}).toDF("impression_id", "mask")
 
 

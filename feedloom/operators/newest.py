@@ -1,13 +1,24 @@
-"""Newest rows of a log and retention of runs."""
+"""Time ranges and newest rows of a log, and retention of runs."""
 
 from __future__ import annotations
 
+from datetime import datetime
+
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from feedloom.functions.columns import HOUR, floor_to, micros
 
 
+def between(df: DataFrame, start: datetime | None, end: datetime | None) -> DataFrame:
+    """Rows created in [start, end). The bounds are literals and reach the Parquet scan."""
+    if start is not None:
+        df = df.filter(F.col("created_at") >= F.lit(start))
+    if end is not None:
+        df = df.filter(F.col("created_at") < F.lit(end))
+    return df
+
+
 def newest(df: DataFrame, n: int, time: str = "created_at", tie: str = "id") -> DataFrame:
     """The ``n`` newest rows, rows without a time first, ties by descending ``tie``.
 

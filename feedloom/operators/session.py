@@ -2,24 +2,28 @@
 
 from __future__ import annotations
 
+from datetime import datetime
+
 from pyspark.sql import DataFrame
 
 from feedloom.functions.columns import MINUTE, SECOND, floor_to, micros, slots
+from feedloom.operators.skew import slot_width
 
-# Rows of each slot with what they look back to. Placeholders: rows, slot, reach.
+# Rows of each slot with what they look back to. Placeholders: rows, slot, reach,
+# since, recent, live, until.
 POINTS_SQL = """
-select if(slot = {slot}, impression_id, null) as impression_id, user_id, session_id, us, slot,
-  1 as weight
-from (select *, explode({reach}) as slot from {{rows}})
+select if(slot = {slot} and {since}, impression_id, null) as impression_id, user_id, session_id,
+  us, slot, 1 as weight
+from (select *, explode({reach}) as slot from {{rows}} where {recent})
 union all
 select null, user_id, session_id, us, slot, 0
 from (
-  select user_id, session_id, slot, min(first_us) over (
+  select user_id, session_id, slot, width, min(first_us) over (
       partition by user_id, session_id order by slot
-      rows between unbounded preceding and 1 preceding) as us
-  from (select user_id, session_id, {slot} as slot, min(us) as first_us from {{rows}}
-        where session_id is not null group by user_id, session_id, {slot}))
-where us is not null
+      rows between unbounded preceding and {until}) as us
+  from (select user_id, session_id, width, {slot} as slot, min(us) as first_us from {{rows}}
+        where session_id is not null group by user_id, session_id, width, {slot}))
+where us is not null and {live}
 """
 
 # Placeholders: points, velocity, idle, minutes, second.
@@ -55,6 +59,8 @@ def session_context(
     velocity_minutes: int = 5,
     idle_minutes: int = 30,
     slot_minutes: int = 240,
+    hot_users: list | None = None,
+    since: datetime | None = None,
 ) -> DataFrame:
     """One row per impression with a user and a time: impression_id, session_velocity,
     session_dwell_time. Impressions left out have 0 for both.
@@ -63,20 +69,33 @@ def session_context(
     session, those of any session in the last ``idle_minutes``. Velocity is the number of peers of
     the last ``velocity_minutes`` per minute; dwell is the seconds since the earliest peer.
 
-    The log is cut into time slots, so a user or session of any length spreads over many tasks.
-    A slot also holds what its rows look back to: copies of the rows just before it, and for each
-    session running into it one weightless row at the session's start. Every frame starts at the
-    slot's beginning, so the work per slot is linear in its rows: a count over the last minutes is
-    the difference of two growing counts, and the earliest peer after an idle cut is what follows
-    the last row before the cut. One shuffle by user and slot serves all five frames.
+    The log is cut into time slots, so a user or session of any length spreads over many tasks;
+    ``hot_users`` get shorter slots. A slot also holds what its rows look back to: copies of the
+    rows just before it, and for each session running into it one weightless row at the session's
+    start. Every frame starts at the slot's beginning, so the work per slot is linear in its rows:
+    a count over the last minutes is the difference of two growing counts, and the earliest peer
+    after an idle cut is what follows the last row before the cut. One shuffle by user and slot
+    serves all five frames.
+
+    With ``since`` only impressions from then on are returned; older ones merely contribute their
+    session's start, merged per session and slot before any shuffle. The first slot may then lack
+    its oldest rows, so a session's start also counts the slot it is in.
     """
-    width = slot_minutes * MINUTE
+    wide = slot_minutes * MINUTE
     back = max(velocity_minutes, idle_minutes) * MINUTE
-    rows = impressions.where("user_id is not null and created_at is not null").selectExpr(
-        "id as impression_id", "user_id", "session_id", f"{micros('created_at')} as us"
+    rows = (
+        impressions.where("user_id is not null and created_at is not null")
+        .selectExpr("id as impression_id", "user_id", "session_id", f"{micros('created_at')} as us")
+        .withColumn("width", slot_width("user_id", hot_users, wide, min(wide, back)))
     )
+    start = int(since.timestamp() * SECOND) if since else None
     points = POINTS_SQL.format(
-        slot=floor_to("us", width), reach=slots("us", f"us + {back}L", width))
+        slot=floor_to("us", "width"), reach=slots("us", f"(us + {back}L)", "width"),
+        since=f"us >= {start}L" if since else "true",
+        recent=f"us >= {start - back}L" if since else "true",
+        live=f"slot + width > {start - back}L" if since else "true",
+        until="current row" if since else "1 preceding",
+    )
     context = CONTEXT_SQL.format(
         velocity=f"{velocity_minutes * MINUTE + 1}L", idle=f"{idle_minutes * MINUTE + 1}L",
         minutes=f"{velocity_minutes}D", second=f"{SECOND}D",

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from feedloom.functions.columns import any_of
@@ -47,6 +47,15 @@ def spread_left_join(
     return out.drop("_salt")
 
 
+def slot_width(user: str, hot_users: list | None, wide: int, narrow: int) -> Column:
+    """Width of a user's time slots: ``narrow`` for users with a large share of the rows, so that
+    their rows make many small groups; ``wide`` for all others, so that few rows sit near an edge
+    and have to be copied into the neighbouring slot."""
+    if not hot_users:
+        return F.lit(wide)
+    return F.when(F.col(user).isin(hot_users), narrow).otherwise(wide)
+
+
 def broadcast_if_small(df: DataFrame, max_rows: int = 10_000) -> tuple[DataFrame, bool]:
     """``df`` with a broadcast hint if it has at most ``max_rows`` rows, and whether it has.
 

@@ -5,7 +5,6 @@ from __future__ import annotations
 from datetime import datetime
 
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
 from feedloom.operators.affinity import (
     join_category_affinity,
@@ -15,22 +14,13 @@ from feedloom.operators.affinity import (
 from feedloom.operators.attribution import label_masks, with_labels
 from feedloom.operators.frames import training_frame
 from feedloom.operators.items import PRODUCT_KEY, item_features, join_items, resolve_items
-from feedloom.operators.newest import newest
+from feedloom.operators.newest import between, newest
 from feedloom.operators.session import session_context, with_session_context
 from feedloom.operators.skew import frequent_values
 
 Tables = dict[str, DataFrame]
 
 
-def between(df: DataFrame, start: datetime | None, end: datetime | None) -> DataFrame:
-    """Rows created in [start, end). The bounds are literals and reach the Parquet scan."""
-    if start is not None:
-        df = df.filter(F.col("created_at") >= F.lit(start))
-    if end is not None:
-        df = df.filter(F.col("created_at") < F.lit(end))
-    return df
-
-
 def hot_keys(base: DataFrame, support: float | None) -> dict[str, list]:
     """Frequent join keys of the log, found in one scan of three columns; none if switched off."""
     if support is None:
@@ -67,8 +57,10 @@ def build_dataset(
     base = resolve_items(chosen)
     hot = hot_keys(base, hot_support)
 
-    masks = label_masks(base, tables["scroll_interactions"])
-    context = session_context(between(impressions, None, end))
+    users = hot.get("user_id")
+    masks = label_masks(
+        base, tables["scroll_interactions"], hot_users=users, start=start, end=end)
+    context = session_context(between(impressions, None, end), hot_users=users, since=start)
     rows = with_session_context(with_labels(base, masks), context)
     rows = join_items(
         rows, tables["scrolls"], tables["products"], tables["scroll_stats"],

@@ -132,9 +132,14 @@ def test_hot_pair_across_slots(table, slot_minutes):
                   "impression_id": rng.choice([None, None, rng.randrange(400)])}
         for i in range(300)
     ]
-    got = labels(table, shown, acted, slot_minutes=slot_minutes)
-    got = {k: v - {"is_click"} for k, v in got.items()}
-    assert got == brute_force(shown, acted)
+    expected = brute_force(shown, acted)
+    for hot_users in (None, [1, 2]):
+        got = labels(table, shown, acted, slot_minutes=slot_minutes, hot_users=hot_users)
+        assert {k: v - {"is_click"} for k, v in got.items()} == expected
+    start, end = at(2 * 3600), at(5 * 3600)
+    some = [row for row in shown if start <= row["created_at"] < end]
+    got = labels(table, some, acted, slot_minutes=slot_minutes, start=start, end=end)
+    assert {k: v - {"is_click"} for k, v in got.items()} == brute_force(some, acted)
 
 
 def test_plan_builds_no_pairs(table):

@@ -90,4 +90,13 @@ def test_sessions_across_slots(table, slot_minutes):
             "session_id": "h" if hot else rng.choice([None, "a", "b"]),
             "created_at": at(rng.randrange(0, 6 * 3600, 20)),
         })
-    assert context(table, rows, slot_minutes=slot_minutes) == brute_force(rows)
+    expected = brute_force(rows)
+    assert context(table, rows, slot_minutes=slot_minutes) == expected
+    assert context(table, rows, slot_minutes=slot_minutes, hot_users=[1, 3]) == expected
+    since = at(3 * 3600)
+    df = table("scroll_impressions", *rows)
+    late = session_context(df, slot_minutes=slot_minutes, since=since).collect()
+    got = {r.impression_id: (round(r.session_velocity, 6), r.session_dwell_time) for r in late}
+    assert got == {
+        r["id"]: expected[r["id"]] for r in rows
+        if r["user_id"] is not None and r["created_at"] >= since}
