@@ -4,11 +4,11 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 
-from feedloom.operators.skew import broadcast_if_small, frequent_values, spread_left_join
+from feedloom.operators.skew import Hot, broadcast_if_small, frequent_values, spread_left_join
 
 
 def join_category_affinity(
-    base: DataFrame, affinity: DataFrame, hot: dict[str, list] | None = None
+    base: DataFrame, affinity: DataFrame, hot: Hot | None = None
 ) -> DataFrame:
     """user_category_score by (user_id, content_category); null where there is none."""
     scores = affinity.selectExpr(
@@ -18,7 +18,7 @@ def join_category_affinity(
 
 
 def join_creator_affinity(
-    base: DataFrame, affinity: DataFrame, hot: dict[str, list] | None = None
+    base: DataFrame, affinity: DataFrame, hot: Hot | None = None
 ) -> DataFrame:
     """creator_affinity_score by (user_id, creator_id); null where there is none."""
     scores = affinity.selectExpr(

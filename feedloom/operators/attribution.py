@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterable
 from datetime import datetime, timedelta
 
 from pyspark.sql import DataFrame
@@ -74,7 +75,7 @@ def nearby_masks(
     interactions: DataFrame,
     horizon_minutes: int = 60,
     slot_minutes: int = 240,
-    hot_users: list | None = None,
+    hot_users: Iterable | None = None,
     start: datetime | None = None,
     end: datetime | None = None,
 ) -> DataFrame:

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 
 from feedloom.contracts import ITEM_TYPES
 from feedloom.functions.columns import DAY, HOUR, micros, or_zero, ratio
-from feedloom.operators.skew import spread_left_join
+from feedloom.operators.skew import Hot, spread_left_join
 
 SCROLL, PRODUCT = ITEM_TYPES["SCROLL"], ITEM_TYPES["PRODUCT"]
 
@@ -97,7 +97,7 @@ def join_items(
     products: DataFrame,
     scroll_stats: DataFrame,
     item_stats: DataFrame,
-    hot: dict[str, list] | None = None,
+    hot: Hot | None = None,
 ) -> DataFrame:
     """Attach the item tables. Two shuffles of the log at most: one by scroll, one by product."""
     with_scroll = spread_left_join(

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterable
 from datetime import datetime
 
 from pyspark.sql import DataFrame
@@ -59,7 +60,7 @@ def session_context(
     velocity_minutes: int = 5,
     idle_minutes: int = 30,
     slot_minutes: int = 240,
-    hot_users: list | None = None,
+    hot_users: Iterable | None = None,
     since: datetime | None = None,
 ) -> DataFrame:
     """One row per impression with a user and a time: impression_id, session_velocity,

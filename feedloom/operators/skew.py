@@ -2,58 +2,80 @@
 
 from __future__ import annotations
 
+import math
+from collections.abc import Iterable
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from feedloom.functions.columns import any_of
 
-SALTS = 256
+NULL_SALTS = 1024
+
+# Per column, the frequent values and into how many groups each should be split.
+Hot = dict[str, dict[object, int]]
 
 
-def frequent_values(df: DataFrame, columns: list[str], support: float = 0.01) -> dict[str, list]:
-    """Values that may hold at least ``support`` of the rows, per column.
+def frequent_values(df: DataFrame, columns: list[str], support: float = 0.001) -> Hot:
+    """Values that hold at least ``support`` of the rows, per column.
 
-    One scan without a shuffle. Each list holds every value above the threshold and at most
-    1/support values in all, so it is safe to bring to the driver whatever the table's size.
+    One scan with a fixed-size sketch per column and no shuffle of rows. At most 1/support values
+    come back per column, whatever the table's size. A value gets a power of four as its number of
+    groups, enough to bring each group below ``support`` of the rows.
     """
-    found = df.select(*columns).stat.freqItems(columns, support).head()
-    return {c: [v for v in found[f"{c}_freqItems"] if v is not None] for c in columns}
+    k = math.ceil(1 / support)
+    sketches = [f"approx_top_k({c}, {k}, {min(10 * k, 1_000_000)}) as {c}" for c in columns]
+    found = df.selectExpr("count(*) as _rows", *sketches).head()
+    least = support * found["_rows"]
+    return {
+        c: {
+            top["item"]: 4 ** math.ceil(math.log(2 * top["count"] / least, 4))
+            for top in found[c] if top["item"] is not None and top["count"] >= least
+        }
+        for c in columns
+    }
+
+
+def group_count(on: list[str], hot: Hot) -> Column:
+    """Into how many groups the rows of a key are split: 1 unless a key column is hot."""
+    out = F.lit(1)
+    for key in on:
+        values = hot.get(key, {})
+        for groups in sorted(set(values.values())):
+            members = [value for value, n in values.items() if n == groups]
+            out = F.greatest(out, F.when(F.col(key).isin(members), groups).otherwise(1))
+    return out
 
 
 def spread_left_join(
-    left: DataFrame,
-    rights: list[DataFrame],
-    on: list[str],
-    row_id: str,
-    hot: dict[str, list] | None = None,
-    salts: int = SALTS,
+    left: DataFrame, rights: list[DataFrame], on: list[str], row_id: str, hot: Hot | None = None
 ) -> DataFrame:
     """Left equi-join of ``left`` with one or more tables that are unique on the same keys.
 
     Rows with a null key match nothing and rows with a hot key match one row, so both get a salt
-    from their row id and spread over ``salts`` groups; of the right side only the rows with a hot
-    key are repeated, at most 1/support * salts of them. All rights share the salted key, so the
-    left side is shuffled once for all of them. Whether a right side is small enough to broadcast
-    is left to Spark, which compares its size with spark.sql.autoBroadcastJoinThreshold.
+    from their row id and spread over many groups; of the right side only the rows with a hot key
+    are repeated, in proportion to the key's share (4/support copies per unit of share at most, so
+    a few thousand rows where the hot column is the whole key). All rights share the salted key,
+    so the left side is shuffled once for all of them. Whether a right side is small enough to
+    broadcast is left to Spark, which compares its size with spark.sql.autoBroadcastJoinThreshold.
     """
-    hot = {key: values for key, values in (hot or {}).items() if key in on and values}
-    is_hot = F.coalesce(any_of([F.col(k).isin(v) for k, v in hot.items()]), F.lit(False))
-    no_key = F.expr(" or ".join(f"{k} is null" for k in on))
-    salt = F.expr(f"cast(pmod(xxhash64({row_id}), {salts}) as int)")
-    every_salt = F.when(is_hot, F.expr(f"sequence(0, {salts - 1})")).otherwise(F.expr("array(0)"))
-    out = left.withColumn("_salt", F.when(no_key | is_hot, salt).otherwise(F.lit(0)))
+    groups = group_count(on, hot or {})
+    no_key = any_of([F.col(k).isNull() for k in on])
+    split = F.when(no_key, NULL_SALTS).otherwise(groups)
+    out = left.withColumn("_salt", F.pmod(F.xxhash64(row_id), split).cast("int"))
+    copies = F.explode(F.sequence(F.lit(0), groups - 1))
     for right in rights:
-        out = out.join(right.withColumn("_salt", F.explode(every_salt)), [*on, "_salt"], "left")
+        out = out.join(right.withColumn("_salt", copies), [*on, "_salt"], "left")
     return out.drop("_salt")
 
 
-def slot_width(user: str, hot_users: list | None, wide: int, narrow: int) -> Column:
+def slot_width(user: str, hot_users: Iterable | None, wide: int, narrow: int) -> Column:
     """Width of a user's time slots: ``narrow`` for users with a large share of the rows, so that
     their rows make many small groups; ``wide`` for all others, so that few rows sit near an edge
     and have to be copied into the neighbouring slot."""
     if not hot_users:
         return F.lit(wide)
-    return F.when(F.col(user).isin(hot_users), narrow).otherwise(wide)
+    return F.when(F.col(user).isin(list(hot_users)), narrow).otherwise(wide)
 
 
 def broadcast_if_small(df: DataFrame, max_rows: int = 10_000) -> tuple[DataFrame, bool]:

@@ -16,13 +16,13 @@ from feedloom.operators.frames import training_frame
 from feedloom.operators.items import PRODUCT_KEY, item_features, join_items, resolve_items
 from feedloom.operators.newest import between, newest
 from feedloom.operators.session import session_context, with_session_context
-from feedloom.operators.skew import frequent_values
+from feedloom.operators.skew import Hot, frequent_values
 
 Tables = dict[str, DataFrame]
 
 
-def hot_keys(base: DataFrame, support: float | None) -> dict[str, list]:
-    """Frequent join keys of the log, found in one scan of three columns; none if switched off."""
+def hot_keys(base: DataFrame, support: float | None) -> Hot:
+    """Frequent join keys of the log, found in one scan of the key columns; none if switched off."""
     if support is None:
         return {}
     keys = base.selectExpr("scroll_id", f"{PRODUCT_KEY} as product_key", "user_id")
@@ -41,7 +41,7 @@ def build_dataset(
     end: datetime | None = None,
     limit: int | None = None,
     fill_scores: bool = False,
-    hot_support: float | None = 0.01,
+    hot_support: float | None = 0.001,
 ) -> DataFrame:
     """The training frame of the impressions created in [start, end), or of the ``limit`` newest.
 

@@ -38,7 +38,7 @@ def base(spark: SparkSession, sf: str) -> tuple[dict, DataFrame]:
 
 def joined(spark: SparkSession, sf: str) -> tuple[dict, DataFrame, dict]:
     tables, rows = base(spark, sf)
-    hot = hot_keys(rows, 0.01)
+    hot = hot_keys(rows, 0.001)
     return tables, items.join_items(
         rows, tables["scrolls"], tables["products"], tables["scroll_stats"],
         tables["item_global_stats"], hot), hot
