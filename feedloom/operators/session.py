@@ -3,13 +3,15 @@
 from __future__ import annotations
 
 from collections.abc import Iterable
-from datetime import datetime
+from datetime import datetime, timedelta, timezone
 
 from pyspark.sql import DataFrame
 
 from feedloom.functions.columns import MINUTE, SECOND, floor_to, micros, slots
 from feedloom.operators.skew import slot_width
 
+EPOCH = datetime(1970, 1, 1, tzinfo=timezone.utc)
+
 # Rows of each slot with what they look back to. Placeholders: rows, slot, reach,
 # since, recent, live, until.
 POINTS_SQL = """
@@ -55,6 +57,34 @@ where impression_id is not null
 """
 
 
+def slot_points(
+    impressions: DataFrame,
+    velocity_minutes: int = 5,
+    idle_minutes: int = 30,
+    slot_minutes: int = 240,
+    hot_users: Iterable | None = None,
+    since: datetime | None = None,
+) -> DataFrame:
+    """The log cut into time slots per user, see ``session_context``: its rows, copies of those a
+    later slot looks back to (without id), and session starts (without id and weight)."""
+    wide = slot_minutes * MINUTE
+    back = max(velocity_minutes, idle_minutes) * MINUTE
+    rows = (
+        impressions.where("user_id is not null and created_at is not null")
+        .selectExpr("id as impression_id", "user_id", "session_id", f"{micros('created_at')} as us")
+        .withColumn("width", slot_width("user_id", hot_users, wide, min(wide, back)))
+    )
+    start = since and (since.astimezone(timezone.utc) - EPOCH) // timedelta(microseconds=1)
+    text = POINTS_SQL.format(
+        slot=floor_to("us", "width"), reach=slots("us", f"(us + {back}L)", "width"),
+        since=f"us >= {start}L" if since else "true",
+        recent=f"us >= {start - back}L" if since else "true",
+        live=f"slot + width > {start - back}L" if since else "true",
+        until="current row" if since else "1 preceding",
+    )
+    return impressions.sparkSession.sql(text, rows=rows)
+
+
 def session_context(
     impressions: DataFrame,
     velocity_minutes: int = 5,
@@ -82,27 +112,13 @@ def session_context(
     session's start, merged per session and slot before any shuffle. The first slot may then lack
     its oldest rows, so a session's start also counts the slot it is in.
     """
-    wide = slot_minutes * MINUTE
-    back = max(velocity_minutes, idle_minutes) * MINUTE
-    rows = (
-        impressions.where("user_id is not null and created_at is not null")
-        .selectExpr("id as impression_id", "user_id", "session_id", f"{micros('created_at')} as us")
-        .withColumn("width", slot_width("user_id", hot_users, wide, min(wide, back)))
-    )
-    start = int(since.timestamp() * SECOND) if since else None
-    points = POINTS_SQL.format(
-        slot=floor_to("us", "width"), reach=slots("us", f"(us + {back}L)", "width"),
-        since=f"us >= {start}L" if since else "true",
-        recent=f"us >= {start - back}L" if since else "true",
-        live=f"slot + width > {start - back}L" if since else "true",
-        until="current row" if since else "1 preceding",
-    )
-    context = CONTEXT_SQL.format(
+    points = slot_points(
+        impressions, velocity_minutes, idle_minutes, slot_minutes, hot_users, since)
+    text = CONTEXT_SQL.format(
         velocity=f"{velocity_minutes * MINUTE + 1}L", idle=f"{idle_minutes * MINUTE + 1}L",
         minutes=f"{velocity_minutes}D", second=f"{SECOND}D",
     )
-    spark = impressions.sparkSession
-    return spark.sql(context, points=spark.sql(points, rows=rows))
+    return impressions.sparkSession.sql(text, points=points)
 
 
 def with_session_context(base: DataFrame, context: DataFrame) -> DataFrame:

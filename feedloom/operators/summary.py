@@ -91,12 +91,12 @@ def target_candidates(df: DataFrame, names: list[str] = COMMERCE_TARGETS) -> Dat
 
 
 def choose_target(candidates: DataFrame, min_examples: int = MIN_EXAMPLES) -> DataFrame:
-    """One row with the first usable target, null if none is."""
+    """One row: the first usable target with its counts (null if none is), and how many are."""
     usable = (F.col("positives") >= min_examples) & (F.col("negatives") >= min_examples)
-    return candidates.agg(
-        F.min_by("target", F.when(usable, F.col("priority"))).alias("target"),
-        F.count_if(usable).alias("usable_targets"),
-    )
+    first = F.min_by(
+        F.struct("target", "rows", "positives", "negatives"), F.when(usable, F.col("priority")))
+    return candidates.agg(first.alias("first"), F.count_if(usable).alias("usable_targets")).select(
+        "first.*", "usable_targets")
 
 
 def scored(df: DataFrame, scores: list[str]) -> DataFrame:

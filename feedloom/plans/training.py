@@ -43,9 +43,8 @@ def usable_target(task: Task):
     def check(df: DataFrame) -> dict | None:
         names = [task.target] if task.target else None
         candidates = target_candidates(df, names) if names else target_candidates(df)
-        chosen = choose_target(candidates, MIN_EXAMPLES)
-        counts = candidates.join(F.broadcast(chosen), "target").head()  # six rows at most
-        return counts.asDict() if counts else None
+        chosen = choose_target(candidates, MIN_EXAMPLES).head()
+        return chosen.asDict() if chosen["target"] else None
 
     return check
 
@@ -124,7 +123,8 @@ def train(
     set_checkpoint_dir(spark, f"{model_path}.checkpoints")
     df, path, used_fallback, found = load_with_fallback(spark, paths, usable_target(task))
     model, scored = fit(task, df, found["target"])
-    quality = auc(scored, "_label", ["score"]).head()
+    # Stored once, so that the two passes of the metric do not score the rows twice.
+    quality = auc(scored.select("_label", "score").checkpoint(), "_label", ["score"]).head()
     model.write().overwrite().save(model_path)
     return model, {
         "task": task.name,

@@ -15,7 +15,7 @@ from feedloom.operators.affinity import (
     join_creator_affinity,
     join_position_bias,
 )
-from feedloom.operators.frames import conform
+from feedloom.operators.frames import conform, feature_frame
 from feedloom.operators.ranking import rank_scores
 from feedloom.operators.session import session_context, with_session_context
 from feedloom.plans import scoring, training
@@ -121,7 +121,8 @@ def training_frame(spark, sf):
 
 
 def target_choice(spark, sf):
-    return summary.choose_target(summary.target_candidates(labelled(spark, sf)))
+    chosen = summary.choose_target(summary.target_candidates(labelled(spark, sf)))
+    return chosen.select("target", "usable_targets")
 
 
 def calibration_error(spark, sf):
@@ -198,8 +199,8 @@ def bootstrap(spark, sf):
 
 def trained(spark, sf):
     """A small engagement model over the whole dataset, which is stored once for all passes."""
-    training.set_checkpoint_dir(spark, tempfile.mkdtemp(prefix="feedloom-"))
-    rows = build_dataset(load(spark, sf)).checkpoint()
+    training.set_checkpoint_dir(spark, f"{tempfile.gettempdir()}/feedloom-checkpoints")
+    rows = feature_frame(build_dataset(load(spark, sf)), ["impression_id", "is_click"]).checkpoint()
     task = replace(training.ENGAGEMENT, max_iter=3)
     return training.fit(task, rows, "is_click")[0], rows
 
