@@ -29,10 +29,12 @@ def hot_keys(base: DataFrame, support: float | None) -> Hot:
     return frequent_values(keys, keys.columns, support)
 
 
-def labelled_impressions(tables: Tables) -> DataFrame:
+def labelled_impressions(tables: Tables, hot_support: float | None = None) -> DataFrame:
     """Impressions that name an item, with all behaviour labels."""
     base = resolve_items(tables["scroll_impressions"])
-    return with_labels(base, label_masks(base, tables["scroll_interactions"]))
+    hot = frequent_values(base, ["user_id"], hot_support) if hot_support else {}
+    masks = label_masks(base, tables["scroll_interactions"], hot_users=hot.get("user_id"))
+    return with_labels(base, masks)
 
 
 def build_dataset(

@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from pyspark.ml import PipelineModel
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Row, SparkSession
 
 from feedloom.operators.frames import feature_frame
 from feedloom.operators.ranking import rank_scores
@@ -13,9 +13,8 @@ from feedloom.sources import ledger
 Models = tuple[PipelineModel | None, PipelineModel | None]
 
 
-def active_models(spark: SparkSession, ledger_path: str) -> Models:
-    """Engagement and commerce model of the active run, None each if nothing was promoted."""
-    entry = ledger.active(spark, ledger_path)
+def load_models(entry: Row | None) -> Models:
+    """Engagement and commerce model of a ledger entry, None each without one."""
     if entry is None:
         return None, None
     return (
@@ -24,6 +23,11 @@ def active_models(spark: SparkSession, ledger_path: str) -> Models:
     )
 
 
+def active_models(spark: SparkSession, ledger_path: str) -> Models:
+    """The models of the active run, None each if nothing was promoted."""
+    return load_models(ledger.active(spark, ledger_path))
+
+
 def score(
     items: DataFrame,
     models: Models = (None, None),

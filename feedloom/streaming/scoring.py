@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql.streaming import StreamingQuery
 
-from feedloom.plans.scoring import active_models, score
+from feedloom.plans.scoring import load_models, score
+from feedloom.sources import ledger
 
 
 def score_stream(
@@ -18,11 +19,19 @@ def score_stream(
 ) -> StreamingQuery:
     """Start a query that scores each micro-batch and writes it under ``output_path``.
 
-    The active run is looked up per batch, so a promotion takes effect with the next one. A batch
-    writes its own folder in overwrite mode: repeated after a failure, it replaces itself.
+    The active run is looked up per batch, so a promotion takes effect with the next one; its models
+    are loaded once. A batch writes its own folder in overwrite mode: repeated after a failure, it
+    replaces itself.
     """
+    loaded: dict = {}
+
     def write(batch: DataFrame, batch_id: int) -> None:
-        models = active_models(batch.sparkSession, ledger_path)
+        entry = ledger.active(batch.sparkSession, ledger_path)
+        run = entry and entry["run_id"]
+        if run not in loaded:
+            loaded.clear()
+            loaded[run] = load_models(entry)
+        models = loaded[run]
         target = f"{output_path}/batch_id={batch_id}"
         score(batch, models, keep).write.mode("overwrite").parquet(target)
 
