@@ -8,6 +8,7 @@ items of the slots 8 and 9 get ids that the item tables do not know.
 
 from __future__ import annotations
 
+from functools import lru_cache
 from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
@@ -96,8 +97,10 @@ def with_views(dialect: dict[str, str]) -> str:
     return "with " + ",\n".join(f"{n} as ({t.format(**dialect)})" for n, t in VIEWS.items())
 
 
+@lru_cache(maxsize=4)
 def load(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
-    """The nine input tables as DataFrames over the Parquet files of ``sf_dir``."""
+    """The nine input tables as DataFrames over the Parquet files of ``sf_dir``. Only the analysed
+    plans are kept between calls; every query reads the files."""
     for name in ("events", "part"):
         spark.read.parquet(str(Path(sf_dir) / f"{name}.parquet")).createOrReplaceTempView(name)
     views = {}
