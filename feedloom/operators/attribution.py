@@ -111,13 +111,15 @@ def nearby_masks(
         mask=" + ".join(f"if(next_{c} < us + {horizon}L, {1 << c}, 0)" for c in CODES),
     )
     spark = base.sparkSession
-    stream = spark.sql(targets, shown=base.withColumn("width", width)).unionByName(spark.sql(signals, acted=acted))
+    asking = spark.sql(targets, shown=base.withColumn("width", width))
+    stream = asking.unionByName(spark.sql(signals, acted=acted))
     return spark.sql(nearby, stream=stream)
 
 
 def label_masks(base: DataFrame, interactions: DataFrame, **options) -> DataFrame:
-    """Direct and nearby masks merged (``options`` are those of ``nearby_masks``): one row per labelled impression_id. Bits are merged before the shuffle, so an impression
-    with a very large number of interactions costs one row per map task."""
+    """Direct and nearby masks merged (``options`` are those of ``nearby_masks``): one row per
+    labelled impression_id. Bits are merged before the shuffle, so an impression with a very large
+    number of interactions costs one row per map task."""
     both = direct_masks(interactions).unionByName(nearby_masks(base, interactions, **options))
     return both.groupBy("impression_id").agg({"mask": "bit_or"}).toDF("impression_id", "mask")
 

@@ -37,7 +37,9 @@ def newest(df: DataFrame, n: int, time: str = "created_at", tie: str = "id") ->
     return df.filter(late).orderBy(F.col(time).desc_nulls_first(), F.desc(tie)).limit(n)
 
 
-def newest_first(df: DataFrame, time: str = "impressed_at", tie: str = "impression_id") -> DataFrame:
+def newest_first(
+    df: DataFrame, time: str = "impressed_at", tie: str = "impression_id"
+) -> DataFrame:
     """Whole frame in descending time. A range-partitioned sort; not needed before writing."""
     return df.orderBy(F.col(time).desc_nulls_first(), F.desc(tie))
 
