@@ -3,7 +3,12 @@
 from __future__ import annotations
 
 import math
+import tempfile
+import zipfile
+from functools import lru_cache
+from pathlib import Path
 
+from pyspark import SparkContext
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -97,3 +102,19 @@ def set_checkpoint_dir(spark: SparkSession) -> None:
         named = spark.conf.get("spark.checkpoint.dir", None)
         spark.sparkContext.setCheckpointDir(
             named or spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/_checkpoints")
+
+
+def ship(spark: SparkSession) -> None:
+    """Send the package's code to the Python workers, once per application, for sessions that were
+    started without it."""
+    _ship(spark.sparkContext)
+
+
+@lru_cache(maxsize=1)
+def _ship(context: SparkContext) -> None:
+    package = Path(__file__).resolve().parents[1]
+    archive = Path(tempfile.mkdtemp()) / f"{package.name}_code.zip"
+    with zipfile.ZipFile(archive, "w") as file:
+        for path in sorted(package.rglob("*.py")):
+            file.write(path, path.relative_to(package.parent))
+    context.addPyFile(str(archive))

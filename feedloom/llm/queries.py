@@ -14,10 +14,12 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from feedloom.llm import chat, tokens
+from feedloom.llm import chat, simhash, tokens
+from feedloom.llm.common import ship
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    ship(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
@@ -25,6 +27,12 @@ def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "documents")
 
 
+def op7_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = simhash.near_duplicates(documents(spark, sf_dir), length=3, bits=3)
+    return found.select(
+        "doc_id", F.lower(F.lpad(F.hex("fingerprint"), 16, "0")).alias("fingerprint"), "component_id")
+
+
 def op9_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     counted = tokens.count_tokens(
         documents(spark, sf_dir), public_tokenizers.path("word_bpe_49k.json"), 2048)
@@ -63,6 +71,7 @@ def op10_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op7_simhash_near_dedup": op7_simhash_near_dedup,
     "op9_token_counts": op9_token_counts,
     "op10_chat_formatting": op10_chat_formatting,
 }
