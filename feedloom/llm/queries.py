@@ -14,7 +14,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from feedloom.llm import chat, simhash, tokens
+from feedloom.llm import chat, sharding, simhash, tokens
 from feedloom.llm.common import ship
 
 
@@ -27,6 +27,14 @@ def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "documents")
 
 
+def op2_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    placed = sharding.shuffle_into_shards(documents(spark, sf_dir).select("doc_id", "text"), 24, seed=2)
+    size = F.coalesce(F.octet_length("text"), F.lit(0)).cast("bigint") + 8
+    return placed.select(
+        "doc_id", size.alias("size"), F.crc32(F.coalesce("text", F.lit(""))).alias("text_crc32"),
+        F.lit("rows").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard"))
+
+
 def op7_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = simhash.near_duplicates(documents(spark, sf_dir), length=3, bits=3)
     return found.select(
@@ -71,6 +79,7 @@ def op10_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op2_sharding": op2_sharding,
     "op7_simhash_near_dedup": op7_simhash_near_dedup,
     "op9_token_counts": op9_token_counts,
     "op10_chat_formatting": op10_chat_formatting,
