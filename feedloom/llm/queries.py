@@ -14,7 +14,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from feedloom.llm import chat, sharding, simhash, tokens
+from feedloom.llm import chat, mixing, sharding, simhash, tokens
 from feedloom.llm.common import ship
 
 
@@ -41,6 +41,17 @@ def op7_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", F.lower(F.lpad(F.hex("fingerprint"), 16, "0")).alias("fingerprint"), "component_id")
 
 
+def mix_weight(place: int) -> float:
+    """Sources in order weigh 5, 2, 1, 5, 2, 1 and so on."""
+    return (5, 2, 1)[place % 3]
+
+
+def op8_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    mixed = mixing.mix(documents(spark, sf_dir), mix_weight, share=1.5, cap=2, seed=8)
+    return mixed.select("doc_id", "size", "source_size", "target",
+                        (F.col("copies") * F.col("size")).alias("taken"))
+
+
 def op9_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     counted = tokens.count_tokens(
         documents(spark, sf_dir), public_tokenizers.path("word_bpe_49k.json"), 2048)
@@ -81,6 +92,7 @@ def op10_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "op2_sharding": op2_sharding,
     "op7_simhash_near_dedup": op7_simhash_near_dedup,
+    "op8_mixing": op8_mixing,
     "op9_token_counts": op9_token_counts,
     "op10_chat_formatting": op10_chat_formatting,
 }
