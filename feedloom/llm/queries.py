@@ -14,7 +14,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from feedloom.llm import chat, mixing, sharding, simhash, tokens
+from feedloom.llm import chat, fingerprints, mixing, sharding, simhash, tokens
 from feedloom.llm.common import ship
 
 
@@ -27,6 +27,19 @@ def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "documents")
 
 
+def op1_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = fingerprints.fingerprint_documents(documents(spark, sf_dir))
+    own, new, following = F.col("sketch"), F.col("edited_sketch"), F.col("next_sketch")
+    return rows.select(
+        "doc_id", "n_chars", F.sha2(F.col("edited").cast("binary"), 256).alias("edited_sha256"),
+        fingerprints.as_text(own).alias("fingerprint"),
+        fingerprints.as_text(new).alias("edited_fingerprint"),
+        fingerprints.containment(own, new).alias("near_edited"),
+        fingerprints.containment(own, following).alias("near_next"),
+        fingerprints.resemblance(own, new).alias("jaccard_edited"),
+        fingerprints.resemblance(own, following).alias("jaccard_next"))
+
+
 def op2_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     placed = sharding.shuffle_into_shards(documents(spark, sf_dir).select("doc_id", "text"), 24, seed=2)
     size = F.coalesce(F.octet_length("text"), F.lit(0)).cast("bigint") + 8
@@ -90,6 +103,7 @@ def op10_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op1_fingerprints": op1_fingerprints,
     "op2_sharding": op2_sharding,
     "op7_simhash_near_dedup": op7_simhash_near_dedup,
     "op8_mixing": op8_mixing,
