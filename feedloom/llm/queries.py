@@ -14,7 +14,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from feedloom.llm import chat, fingerprints, mixing, sharding, simhash, tokens
+from feedloom.llm import chat, decontamination, fingerprints, mixing, sharding, simhash, tokens
 from feedloom.llm.common import ship
 
 
@@ -48,6 +48,11 @@ def op2_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.lit("rows").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard"))
 
 
+def op3_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontamination.find_contained(
+        documents(spark, sf_dir), table(spark, sf_dir, "benchmark"), least=0.8)
+
+
 def op7_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = simhash.near_duplicates(documents(spark, sf_dir), length=3, bits=3)
     return found.select(
@@ -105,10 +110,27 @@ def op10_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "op1_fingerprints": op1_fingerprints,
     "op2_sharding": op2_sharding,
+    "op3_decontamination": op3_decontamination,
     "op7_simhash_near_dedup": op7_simhash_near_dedup,
     "op8_mixing": op8_mixing,
     "op9_token_counts": op9_token_counts,
     "op10_chat_formatting": op10_chat_formatting,
 }
 
-ORACLES: dict[str, str] = {}
+WORDS = """
+    list_filter(string_split_regex(lower(coalesce(text, '')), '[\\x20\\x09-\\x0D]+'), lambda x: x <> '')"""
+
+#: A shingle is five words, or the whole of a shorter text.
+SHINGLES = """
+    case when len(w) > 0 then list_distinct(list_transform(range(greatest(len(w) - 5, 0) + 1),
+      lambda i: array_to_string(w[i + 1:i + 5], ' '))) else [] end"""
+
+ORACLES: dict[str, str] = {
+    "op3_decontamination": f"""
+        with d as (select doc_id, unnest({SHINGLES}) as s from (select doc_id, {WORDS} as w from documents) x),
+        i as (select item_id, {SHINGLES} as a from (select item_id, {WORDS} as w from benchmark) x),
+        j as (select item_id, len(a) as n, unnest(a) as s from i)
+        select doc_id, item_id, count(*) as shared, any_value(n) as item_shingles,
+          cast(count(*) as double) / any_value(n) as containment
+        from d join j using (s) group by doc_id, item_id having count(*) >= 0.8 * any_value(n)""",
+}
