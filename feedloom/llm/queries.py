@@ -14,7 +14,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from feedloom.llm import chat, decontamination, fingerprints, mixing, sharding, simhash, tokens
+from feedloom.llm import chat, decontamination, fingerprints, mixing, sharding, simhash, tokens, toxicity
 from feedloom.llm.common import ship
 
 
@@ -53,6 +53,12 @@ def op3_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
         documents(spark, sf_dir), table(spark, sf_dir, "benchmark"), least=0.8)
 
 
+def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    scored = toxicity.score_documents(
+        documents(spark, sf_dir).select("doc_id", "text"), table(spark, sf_dir, "labels"))
+    return scored.select("doc_id", toxicity.held_out("doc_id").alias("held_out"), "score", "predicted")
+
+
 def op7_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = simhash.near_duplicates(documents(spark, sf_dir), length=3, bits=3)
     return found.select(
@@ -111,6 +117,7 @@ QUERIES = {
     "op1_fingerprints": op1_fingerprints,
     "op2_sharding": op2_sharding,
     "op3_decontamination": op3_decontamination,
+    "op5_toxicity": op5_toxicity,
     "op7_simhash_near_dedup": op7_simhash_near_dedup,
     "op8_mixing": op8_mixing,
     "op9_token_counts": op9_token_counts,
