@@ -14,7 +14,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from feedloom.llm import chat, decontamination, fingerprints, mixing, sharding, simhash, tokens, toxicity
+from feedloom.llm import chat, decontamination, fingerprints, mixing, pii, sharding, simhash, tokens, toxicity
 from feedloom.llm.common import ship
 
 
@@ -53,6 +53,16 @@ def op3_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
         documents(spark, sf_dir), table(spark, sf_dir, "benchmark"), least=0.8)
 
 
+def op4_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = pii.find_spans(documents(spark, sf_dir).select("doc_id", "text"))
+    counts = [
+        F.size(pii.of_kind("base_spans", i)).cast("bigint").alias(f"n_{kind}")
+        for i, kind in enumerate(pii.KINDS)]
+    return found.select(
+        "doc_id", *counts, F.sha2(pii.as_text("base_spans").cast("binary"), 256).alias("base_sha256"),
+        pii.as_text("spans").alias("spans"))
+
+
 def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     scored = toxicity.score_documents(
         documents(spark, sf_dir).select("doc_id", "text"), table(spark, sf_dir, "labels"))
@@ -117,6 +127,7 @@ QUERIES = {
     "op1_fingerprints": op1_fingerprints,
     "op2_sharding": op2_sharding,
     "op3_decontamination": op3_decontamination,
+    "op4_pii": op4_pii,
     "op5_toxicity": op5_toxicity,
     "op7_simhash_near_dedup": op7_simhash_near_dedup,
     "op8_mixing": op8_mixing,
