@@ -14,7 +14,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from feedloom.llm import chat, decontamination, fingerprints, mixing, pii, sharding, simhash, tokens, toxicity
+from feedloom.llm import chat, decontamination, fingerprints, lines, mixing, pii, sharding, simhash, tokens, toxicity
 from feedloom.llm.common import ship
 
 
@@ -69,6 +69,14 @@ def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scored.select("doc_id", toxicity.held_out("doc_id").alias("held_out"), "score", "predicted")
 
 
+def op6_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    kept = lines.remove_boilerplate(
+        documents(spark, sf_dir).select("doc_id", "text", "source"), least_sites=10)
+    return kept.select(
+        "doc_id", "n_lines", "n_removed", F.length("text").cast("bigint").alias("kept_chars"),
+        F.sha2(F.col("text").cast("binary"), 256).alias("kept_sha256"))
+
+
 def op7_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = simhash.near_duplicates(documents(spark, sf_dir), length=3, bits=3)
     return found.select(
@@ -129,6 +137,7 @@ QUERIES = {
     "op3_decontamination": op3_decontamination,
     "op4_pii": op4_pii,
     "op5_toxicity": op5_toxicity,
+    "op6_line_dedup": op6_line_dedup,
     "op7_simhash_near_dedup": op7_simhash_near_dedup,
     "op8_mixing": op8_mixing,
     "op9_token_counts": op9_token_counts,
@@ -143,7 +152,20 @@ SHINGLES = """
     case when len(w) > 0 then list_distinct(list_transform(range(greatest(len(w) - 5, 0) + 1),
       lambda i: array_to_string(w[i + 1:i + 5], ' '))) else [] end"""
 
+BARE_LINE = r"trim(line, chr(32) || chr(9) || chr(10) || chr(11) || chr(12) || chr(13))"
+
 ORACLES: dict[str, str] = {
+    "op6_line_dedup": f"""
+        with l as (select doc_id, source, unnest(string_split(text, chr(10))) as line,
+            generate_subscripts(string_split(text, chr(10)), 1) as pos from documents where text is not null),
+        b as (select {BARE_LINE} as bare from l group by 1
+            having count(distinct coalesce(source, chr(1))) >= 10 and {BARE_LINE} <> ''),
+        k as (select doc_id, count(*) as n_lines, count(*) - count(b.bare) as left_lines,
+            coalesce(string_agg(case when b.bare is null then line end, chr(10) order by pos), '') as text
+            from l left join b on {BARE_LINE} = b.bare group by doc_id)
+        select d.doc_id, coalesce(k.n_lines, 0) as n_lines, coalesce(k.n_lines - k.left_lines, 0) as n_removed,
+          length(k.text) as kept_chars, sha256(k.text) as kept_sha256
+        from documents d left join k on d.doc_id = k.doc_id""",
     "op3_decontamination": f"""
         with d as (select doc_id, unnest({SHINGLES}) as s from (select doc_id, {WORDS} as w from documents) x),
         i as (select item_id, {SHINGLES} as a from (select item_id, {WORDS} as w from benchmark) x),
