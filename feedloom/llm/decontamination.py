@@ -15,7 +15,7 @@ import math
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from feedloom.llm.common import shingle_hashes, stored, word_array
+from feedloom.llm.common import hidden, pinned, restored, shingle_hashes, stored, word_array
 from feedloom.operators.skew import broadcast_if_small
 
 #: Rows of hashes or candidates that may be broadcast; beyond that they are joined by shuffle.
@@ -27,7 +27,7 @@ def signature_rows(df: DataFrame, text: Column, words: int, keep: list[str]) ->
     least number of bits at which it stands for its bin."""
     df = df.select(*keep, word_array(F.lower(text)).alias("_w"))
     df = df.select(*keep, F.sort_array(F.array_distinct(shingle_hashes("_w", words))).alias("_h"))
-    df = df.select(*keep, F.size("_h").alias("total"), F.inline(F.arrays_zip(
+    df = df.select(*keep, F.size("_h").alias("total"), F.inline_outer(F.arrays_zip(
         F.col("_h").alias("hash"),
         F.concat(F.array(F.lit(None).cast("bigint")), F.slice("_h", F.lit(1), F.greatest(F.size("_h") - 1, F.lit(0)))).alias("before"))))
     differ = F.col("hash").bitwiseXOR(F.col("before"))
@@ -70,16 +70,17 @@ def find_contained(
                          F.md5(text).alias("_item_key")).where("item is not null")
     found = candidates(docs, items, words, least, miss)
     pairs = docs.join(broadcast_if_small(found, BROADCAST_ROWS)[0], "_key")
-    named = items.withColumn("_words", word_array(F.lower("item"))).select(
+    named = pinned(items, _words=word_array(F.lower("item"))).select(
         "item_id", "_item_key", shingle_texts("_words", words).alias("wanted"))
     pairs = pairs.join(broadcast_if_small(named, BROADCAST_ROWS // 20)[0], "_item_key")
-    pairs = pairs.withColumn("_words", word_array(F.lower("text")))
-    shared = F.size(F.array_intersect(shingle_texts("_words", words), "wanted"))
-    pairs = pairs.select(
-        F.col("doc_id").alias(doc_id), F.col("item_id").alias(item_id),
-        shared.cast("bigint").alias("shared"), F.size("wanted").cast("bigint").alias("item_shingles"))
-    share = F.col("shared") / F.col("item_shingles")
-    return pairs.withColumn("containment", share).where(F.col("containment") >= least)
+    pairs = pinned(pairs, _words=word_array(F.lower("text")))
+    pairs = pinned(pairs, shared=F.size(F.array_intersect(
+        shingle_texts("_words", words), "wanted")).cast("bigint"))
+    total = F.size("wanted").cast("bigint")
+    pairs = pairs.where(F.col("shared") / total >= least)
+    return pairs.select(
+        F.col("doc_id").alias(doc_id), F.col("item_id").alias(item_id), "shared",
+        total.alias("item_shingles"), (F.col("shared") / total).alias("containment"))
 
 
 def candidates(
@@ -105,9 +106,10 @@ def candidates(
 def decontaminate(docs: DataFrame, items: DataFrame, text: str = "text", **options) -> DataFrame:
     """``docs`` without the rows whose text contains an item; all columns kept. A row without a
     text stays."""
-    key = "_text_key"
-    keyed = docs.withColumn(key, F.md5(text))
-    found = find_contained(keyed, items, doc_id=key, text=text, **options)
-    leaked = stored(found.select(key).distinct())
-    return keyed.join(broadcast_if_small(leaked, BROADCAST_ROWS)[0], key, "left_anti").select(
-        *docs.columns)
+    docs, at, names = hidden(docs)
+    keyed = docs.withColumn("key", F.md5(at[text]))
+    found = find_contained(keyed.select("key", F.col(at[text]).alias("text")), items.select(
+        "item_id", F.col(text).alias("text")), doc_id="key", **options)
+    leaked = stored(found.select("key").distinct())
+    return restored(
+        keyed.join(broadcast_if_small(leaked, BROADCAST_ROWS)[0], "key", "left_anti"), names)
