@@ -18,7 +18,7 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from feedloom.llm.common import or_empty, set_checkpoint_dir, stored
+from feedloom.llm.common import hidden, or_empty, restored, set_checkpoint_dir, stored
 from feedloom.operators.skew import broadcast_if_small
 
 KINDS = ("email", "ip", "card", "phone")
@@ -174,7 +174,9 @@ def proposals(docs: DataFrame) -> DataFrame:
         names.append(f"_g{i}")
     df = df.withColumn("_proposed", F.array_distinct(F.concat(*names))).drop(*names)
     touched = F.exists("_base", lambda b: (b["start"] < F.col("s.end")) & (b["end"] > F.col("s.start")))
-    rows = df.select("_key", "text", "_base", "_failed", F.explode("_proposed").alias("s"))
+    # An outer explode, as a filter derived from an inner one would compute the spans once more.
+    rows = df.select("_key", "text", "_base", "_failed", F.explode_outer("_proposed").alias("s"))
+    rows = rows.where("s is not null")
     same = F.array_contains("_base", F.col("s"))
     rows = rows.withColumn("label", F.when(same, 1).when(F.array_contains("_failed", F.col("s")), 0))
     rows = rows.where(same | ~touched)
@@ -266,7 +268,9 @@ def find_spans(
     there is too little to learn from, nothing is added. An empty table gives an empty one.
     """
     set_checkpoint_dir(docs.sparkSession)
-    keyed = docs.drop("base_spans", "spans").withColumn("_key", F.md5(text))
+    docs, at, names = hidden(docs, "base_spans", "spans")
+    text = at[text]
+    keyed = docs.withColumn("_key", F.md5(text))
     rows = stored(proposals(keyed.where("_key is not null").select(
         "_key", F.col(text).alias("text"))).dropDuplicates(["_key", "s"]))
     model, thresholds = judge(rows, settings)
@@ -279,13 +283,15 @@ def find_spans(
             .groupBy("_key").agg(F.collect_list("s").alias("_added")))
         out = out.join(broadcast_if_small(stored(more), 50_000)[0], "_key", "left")
         added = F.coalesce("_added", added)
-    return out.withColumn("spans", F.array_sort(F.concat("_base", added))).withColumnRenamed(
-        "_base", "base_spans").select(*[c for c in keyed.columns if c != "_key"], "base_spans", "spans")
+    return restored(out, names, F.col("_base").alias("base_spans"),
+                    F.array_sort(F.concat("_base", added)).alias("spans"))
 
 
 def redact(docs: DataFrame, text: str = "text", settings: Settings = Settings()) -> DataFrame:
     """``docs`` with every span of the text replaced by its kind in angle brackets. A span that
     begins inside another one is part of it."""
+    docs, at, names = hidden(docs)
+    text = at[text]
     found = find_spans(docs, text, settings)
     start = F.struct(F.lit("").alias("out"), F.lit(0).alias("at"))
 
@@ -299,7 +305,7 @@ def redact(docs: DataFrame, text: str = "text", settings: Settings = Settings())
 
     cut = F.aggregate("spans", start, add, lambda acc: F.concat(
         acc["out"], F.substring(text, acc["at"] + 1, F.length(text))))
-    return found.withColumn(text, cut).select(*docs.columns)
+    return restored(found.withColumn(text, cut), names)
 
 
 def as_text(spans: str) -> Column:
