@@ -28,6 +28,13 @@ def word_array(text: Column) -> Column:
         F.array().cast("array<string>"))
 
 
+def pinned(df: DataFrame, **columns: Column) -> DataFrame:
+    """``df`` with ``columns`` computed exactly once per row. The optimiser may move an expression
+    into the filters and loops that use it; it does not look through a generator."""
+    return df.select("*", F.inline_outer(F.array(F.struct(
+        *[value.alias(name) for name, value in columns.items()]))))
+
+
 def shingle_hashes(words: str, length: int = 5) -> Column:
     """A 64-bit hash per run of ``length`` words of the array column ``words``.
 
@@ -47,6 +54,18 @@ def row_key(df: DataFrame, salt: str = "") -> Column:
         F.struct(*[F.col(f"`{c}`") for c in df.columns]), {"ignoreNullFields": "false"})))
 
 
+def hidden(docs: DataFrame, *replaced: str) -> tuple[DataFrame, dict[str, str], list[str]]:
+    """``docs`` without the columns ``replaced`` and with names that no operator uses for its own,
+    the new name per old one, and the old names, for ``restored``. So columns of any name pass."""
+    docs = docs.drop(*replaced)
+    names = [f"c{i}" for i in range(len(docs.columns))]
+    return docs.toDF(*names), dict(zip(docs.columns, names)), docs.columns
+
+
+def restored(df: DataFrame, names: list[str], *more: str | Column) -> DataFrame:
+    return df.select(*[F.col(f"c{i}").alias(n) for i, n in enumerate(names)], *more)
+
+
 def partitions(df: DataFrame) -> int:
     return int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
 

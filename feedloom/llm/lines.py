@@ -13,7 +13,7 @@ import math
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from feedloom.llm.common import SPACES, or_empty, row_key, stored
+from feedloom.llm.common import SPACES, hidden, or_empty, restored, row_key, stored
 from feedloom.operators.skew import broadcast_if_small
 
 #: Registers of a sketch, as a power of two, and the standard errors that count as near.
@@ -62,8 +62,9 @@ def remove_boilerplate(
     lines; an empty one has one blank line. Rows may repeat, columns of the two names are replaced,
     all others are kept. An empty table gives an empty one.
     """
-    docs = docs.drop("n_lines", "n_removed")
-    found = stored(boilerplate(site_lines(docs, text, [f"`{site}`"]), site, least_sites))
+    docs, at, names = hidden(docs, "n_lines", "n_removed")
+    text, site = at[text], at[site]
+    found = stored(boilerplate(site_lines(docs, text, [site]), site, least_sites))
     found, _ = broadcast_if_small(found, BROADCAST_ROWS)
     keyed = docs.withColumn("_row", row_key(docs))
     # The lines to take out of each row: as many as it has lines at most.
@@ -76,7 +77,8 @@ def remove_boilerplate(
     kept = F.filter("_lines", lambda line: ~F.coalesce(
         F.array_contains("_out", line_hash(line)), F.lit(False)))
     rows = rows.withColumn("_kept", F.when(F.size("_out") == 0, F.col("_lines")).otherwise(kept))
-    return rows.select(
-        *[F.array_join("_kept", "\n").alias(text) if c == text else F.col(f"`{c}`") for c in docs.columns],
+    rows = rows.withColumn(text, F.array_join("_kept", "\n"))
+    return restored(
+        rows, names,
         F.coalesce(F.size("_lines"), F.lit(0)).cast("bigint").alias("n_lines"),
         F.coalesce(F.size("_lines") - F.size("_kept"), F.lit(0)).cast("bigint").alias("n_removed"))

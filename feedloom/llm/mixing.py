@@ -17,7 +17,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from feedloom.llm.common import row_key, stored, word_array
+from feedloom.llm.common import hidden, restored, row_key, stored, word_array
 
 #: Documents that one leaf rounds on average, and leaves below one inner node.
 LEAF, FAN_IN = 4096, 256
@@ -101,11 +101,11 @@ def mix(
     a few thousand, however large their source is.
     """
     spark = docs.sparkSession
-    docs = docs.drop("size", "source_size", "target", "copies")
+    docs, at, names = hidden(docs, "size", "source_size", "target", "copies")
     keyed = docs.withColumn("_row", row_key(docs))
     rows = stored(
-        keyed.select("_row", F.col(source).alias("_source"),
-                     F.size(word_array(F.col(text))).cast("bigint").alias("size"))
+        keyed.select("_row", F.col(at[source]).cast("string").alias("_source"),
+                     F.size(word_array(F.col(at[text]))).cast("bigint").alias("size"))
         .groupBy("_row", "_source", "size").agg(F.count("*").alias("times")))
     totals = {r[0]: (r[1], r[2]) for r in rows.groupBy("_source").agg(
         F.sum(F.col("size") * F.col("times")), F.count("*")).collect()}
@@ -137,8 +137,7 @@ def mix(
         nth = F.row_number().over(Window.partitionBy("_row").orderBy("_row"))
         copies = F.floor(F.col("_total") / F.col("times")) + (
             nth <= F.col("_total") % F.col("times")).cast("int")
-    return out.withColumn("copies", copies.cast("int")).select(
-        *docs.columns, "size", "source_size", "target", "copies")
+    return restored(out, names, "size", "source_size", "target", copies.cast("int").alias("copies"))
 
 
 def reduced(rows: DataFrame, leaves: int, seed: int) -> DataFrame:
@@ -162,6 +161,8 @@ def reduced(rows: DataFrame, leaves: int, seed: int) -> DataFrame:
 
 def mixed_rows(docs: DataFrame, *args, **options) -> DataFrame:
     """``docs`` with each row as often as its copies say, columns as they were."""
+    docs, at, names = hidden(docs)
+    options = {"source": "source", "text": "text"} | options
+    options |= {k: at[options[k]] for k in ("source", "text")}
     mixed = mix(docs, *args, **options).where("copies > 0")
-    repeated = mixed.withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("copies"))))
-    return repeated.select(*docs.columns)
+    return restored(mixed.select("*", F.explode(F.sequence(F.lit(1), F.col("copies")))), names)

@@ -12,7 +12,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from feedloom.llm.common import partitions, row_key
+from feedloom.llm.common import hidden, partitions, restored, row_key
 
 #: Standard deviations around the mode within which a count is drawn; less than 1e-30 lies beyond.
 REACH = 12
@@ -107,7 +107,7 @@ def shuffle_into_shards(
     ``buckets`` is the number of partitions by default. Rows travel twice.
     """
     n = buckets or max(shards, partitions(docs))
-    docs = docs.drop("shard", "slot")
+    docs, _, names = hidden(docs, "shard", "slot")
     dealt = docs.withColumn("_key", row_key(docs, f"{seed}:")).withColumn(
         "_bucket", F.pmod(F.xxhash64("_key", F.lit(seed)), F.lit(n)).cast("int"))
     counts = {r[0]: r[1] for r in dealt.groupBy("_bucket").count().collect()}
@@ -131,5 +131,5 @@ def shuffle_into_shards(
     )
     # Sections of a shard, so that a partition holds neighbouring slots and no whole shard.
     section = F.floor(F.col("slot") * F.lit(max(1, n // shards)) / F.col("_size"))
-    return sent.withColumn("_section", section).repartition(n, "shard", "_section").sortWithinPartitions(
-        "shard", "slot").select(*docs.columns, "shard", "slot")
+    sent = sent.withColumn("_section", section).repartition(n, "shard", "_section")
+    return restored(sent.sortWithinPartitions("shard", "slot"), names, "shard", "slot")

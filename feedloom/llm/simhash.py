@@ -18,7 +18,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from feedloom.llm.common import partitions, row_key, stored
+from feedloom.llm.common import hidden, partitions, restored, row_key, stored
 from feedloom.llm.components import components, forest
 
 SEED, LOW_BITS = 42, np.uint64(0x5555555555555555)
@@ -214,10 +214,12 @@ def keep_one(
 ) -> DataFrame:
     """``docs`` with one row of each group: the one with the smallest id (null ids last), between
     rows of one id the one whose key over all columns is smallest. All columns are kept."""
-    key = "_row_key"
+    key = "key"
+    docs, at, names = hidden(docs)
     keyed = docs.withColumn(key, row_key(docs))
     rows = stored(keyed.select(
-        F.col(doc_id).alias("doc_id"), key, fingerprint(F.col(text), length).alias("fingerprint")))
+        F.col(at[doc_id]).alias("doc_id"), key,
+        fingerprint(F.col(at[text]), length).alias("fingerprint")))
     roots = grouped(rows, bits)
     firsts = rows.groupBy("fingerprint").agg(first_row(F.struct("doc_id", key)).alias("first"))
     kept = (
@@ -226,7 +228,7 @@ def keep_one(
         .agg(first_row(F.col("first")).alias("first"))
         .select(F.col(f"first.{key}").alias(key))
     )
-    return keyed.join(kept, key, "left_semi").dropDuplicates([key]).drop(key)
+    return restored(keyed.join(kept, key, "left_semi").dropDuplicates([key]), names)
 
 
 def first_row(row: Column) -> Column:
