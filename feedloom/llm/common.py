@@ -48,10 +48,11 @@ def shingle_hashes(words: str, length: int = 5) -> Column:
     return F.when(F.size(words) > 0, runs).otherwise(F.array().cast("array<bigint>"))
 
 
-def row_key(df: DataFrame, salt: str = "") -> Column:
-    """128 bits of md5 over all columns of a row: the same for equal rows, whatever they hold."""
-    return F.md5(F.concat(F.lit(salt), F.to_json(
-        F.struct(*[F.col(f"`{c}`") for c in df.columns]), {"ignoreNullFields": "false"})))
+def with_row_key(df: DataFrame, name: str, salt: str = "") -> DataFrame:
+    """``df`` with 128 bits of md5 over all its columns: the same for equal rows, whatever they
+    hold. Pinned, as the optimiser would else write the columns out in each condition on the key."""
+    row = F.to_json(F.struct(*[F.col(f"`{c}`") for c in df.columns]), {"ignoreNullFields": "false"})
+    return pinned(df, **{name: F.md5(F.concat(F.lit(salt), row))})
 
 
 def hidden(docs: DataFrame, *replaced: str) -> tuple[DataFrame, dict[str, str], list[str]]:

@@ -13,7 +13,7 @@ import math
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from feedloom.llm.common import SPACES, hidden, or_empty, restored, row_key, stored
+from feedloom.llm.common import SPACES, hidden, or_empty, restored, stored, with_row_key
 from feedloom.operators.skew import broadcast_if_small
 
 #: Registers of a sketch, as a power of two, and the standard errors that count as near.
@@ -66,7 +66,7 @@ def remove_boilerplate(
     text, site = at[text], at[site]
     found = stored(boilerplate(site_lines(docs, text, [site]), site, least_sites))
     found, _ = broadcast_if_small(found, BROADCAST_ROWS)
-    keyed = docs.withColumn("_row", row_key(docs))
+    keyed = with_row_key(docs, "_row")
     # The lines to take out of each row: as many as it has lines at most.
     out = (
         site_lines(keyed, text, ["_row"]).join(found, ["h", "k"], "left_semi")

@@ -17,7 +17,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from feedloom.llm.common import hidden, restored, row_key, stored, word_array
+from feedloom.llm.common import hidden, restored, stored, with_row_key, word_array
 
 #: Documents that one leaf rounds on average, and leaves below one inner node.
 LEAF, FAN_IN = 4096, 256
@@ -102,7 +102,7 @@ def mix(
     """
     spark = docs.sparkSession
     docs, at, names = hidden(docs, "size", "source_size", "target", "copies")
-    keyed = docs.withColumn("_row", row_key(docs))
+    keyed = with_row_key(docs, "_row")
     rows = stored(
         keyed.select("_row", F.col(at[source]).cast("string").alias("_source"),
                      F.size(word_array(F.col(at[text]))).cast("bigint").alias("size"))
@@ -129,7 +129,7 @@ def mix(
     hashed = F.xxhash64("_row", F.lit(seed)) / F.lit(float(1 << 64)) + 0.5
     rows = rows.join(extras, rows["_row"] == extras["row"], "left").withColumn("_total", F.col("whole") + F.when(
         F.col("size") > 0, F.coalesce("extra", F.lit(0))).otherwise((hashed < F.col("chance")).cast("int")))
-    rows = rows.select("_row", "size", "source_size", "target", "times", "_total")
+    rows = stored(rows.select("_row", "size", "source_size", "target", "times", "_total"))
     out = keyed.join(rows, "_row")
     if rows.where("times > 1").isEmpty():
         copies = F.col("_total")
@@ -165,4 +165,5 @@ def mixed_rows(docs: DataFrame, *args, **options) -> DataFrame:
     options = {"source": "source", "text": "text"} | options
     options |= {k: at[options[k]] for k in ("source", "text")}
     mixed = mix(docs, *args, **options).where("copies > 0")
-    return restored(mixed.select("*", F.explode(F.sequence(F.lit(1), F.col("copies")))), names)
+    # An outer explode: the optimiser derives no further filter from it.
+    return restored(mixed.select("*", F.explode_outer(F.sequence(F.lit(1), F.col("copies")))), names)

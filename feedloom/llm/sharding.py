@@ -12,7 +12,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from feedloom.llm.common import hidden, partitions, restored, row_key
+from feedloom.llm.common import hidden, partitions, restored, with_row_key
 
 #: Standard deviations around the mode within which a count is drawn; less than 1e-30 lies beyond.
 REACH = 12
@@ -108,7 +108,7 @@ def shuffle_into_shards(
     """
     n = buckets or max(shards, partitions(docs))
     docs, _, names = hidden(docs, "shard", "slot")
-    dealt = docs.withColumn("_key", row_key(docs, f"{seed}:")).withColumn(
+    dealt = with_row_key(docs, "_key", f"{seed}:").withColumn(
         "_bucket", F.pmod(F.xxhash64("_key", F.lit(seed)), F.lit(n)).cast("int"))
     counts = {r[0]: r[1] for r in dealt.groupBy("_bucket").count().collect()}
     known = sorted(counts)

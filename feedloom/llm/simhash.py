@@ -18,7 +18,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from feedloom.llm.common import hidden, partitions, restored, row_key, stored
+from feedloom.llm.common import hidden, partitions, restored, stored, with_row_key
 from feedloom.llm.components import components, forest
 
 SEED, LOW_BITS = 42, np.uint64(0x5555555555555555)
@@ -216,7 +216,7 @@ def keep_one(
     rows of one id the one whose key over all columns is smallest. All columns are kept."""
     key = "key"
     docs, at, names = hidden(docs)
-    keyed = docs.withColumn(key, row_key(docs))
+    keyed = with_row_key(docs, key)
     rows = stored(keyed.select(
         F.col(at[doc_id]).alias("doc_id"), key,
         fingerprint(F.col(at[text]), length).alias("fingerprint")))

@@ -1,0 +1,44 @@
+import random
+
+import pytest
+
+from feedloom.llm.common import ship
+
+#: Columns whose names the operators use themselves or return.
+CLASHING = ["shard", "slot", "size", "target", "copies", "score", "predicted", "spans", "key",
+            "_key", "_row", "fingerprint", "component_id", "times", "n_lines", "h", "c0", "n_tokens"]
+
+
+@pytest.fixture(scope="session")
+def docs(spark):
+    """Rows (doc_id, text, source) as documents with lang, n_chars and columns of clashing names."""
+    ship(spark)
+
+    def make(rows):
+        schema = "doc_id bigint, text string, lang string, source string, n_chars bigint, " + ", ".join(
+            f"`{c}` string" for c in CLASHING)
+        data = [(i, t, "en", s, None if t is None else len(t), *["x"] * len(CLASHING)) for i, t, s in rows]
+        return spark.createDataFrame(data, schema)
+
+    return make
+
+
+@pytest.fixture(scope="session")
+def prose():
+    """Reproducible invented texts."""
+    def make(seed: int, n: int, words: int = 2000) -> str:
+        rng = random.Random(seed)
+        return " ".join(f"w{rng.randrange(words)}" for _ in range(n))
+
+    return make
+
+
+@pytest.fixture(scope="session")
+def odd_rows(prose):
+    """Nulls in any column, empty, blank and very long texts, repeated rows and ids."""
+    long = prose(1, 30_000)
+    return [
+        (1, None, "a"), (2, "", "a"), (3, " \t\n", None), (4, "one two", "b"), (4, "one two", "b"),
+        (4, "another text of the same id", "b"), (None, "no id here at all, none", "b"),
+        (None, None, None), (5, long, "c"), (6, long, "c"), (7, "ÉÑ 🙂 \x00 ' \" \\", "c"),
+    ]

@@ -1,0 +1,52 @@
+import random
+
+import public_tokenizers
+
+from feedloom.llm import chat
+from feedloom.llm.common import ship
+
+PATH = public_tokenizers.path("byte_bpe_50k.json")
+SIGNS = ["\\", "###", " ", "\n", "</turn>", "\n</turn>\n", "a", "é", "🙂", "漢", "### assistant:\n", ":", "#"]
+SCHEMA = "conv_id bigint, turn bigint, role string, text string, formatted string"
+
+
+def conversations(spark, rows):
+    ship(spark)
+    return spark.createDataFrame([(*r, "x") for r in rows], SCHEMA)
+
+
+def loss(row):
+    return chat.trained_text(row.formatted, row.loss_mask, row.loss_from, row.loss_to)
+
+
+def test_exact_round_trip(spark):
+    rng = random.Random(3)
+    rows, want = [], {}
+    for conv in range(300):
+        turns = [(rng.choice(["user", "assistant", "a:\n#\\n", "", "system"]),
+                  "".join(rng.choice(SIGNS) for _ in range(rng.randrange(9)))) for _ in range(rng.randrange(1, 6))]
+        want[conv] = turns
+        rows += [(conv, i, *t) for i, t in enumerate(turns)]
+    rng.shuffle(rows)
+    got = chat.format_conversations(conversations(spark, rows), PATH).collect()
+    assert {r.conv_id: chat.parse(r.formatted) for r in got} == want
+    assert {r.conv_id: loss(r) for r in got} == {
+        c: "".join(t for role, t in turns if role == "assistant") for c, turns in want.items()}
+
+
+def test_only_tokens_of_trained_turns_are_masked(spark):
+    rows = [(1, 0, "user", "Question here"), (1, 1, "assistant", "An answer"), (1, 2, "user", "Bye")]
+    row, = chat.format_conversations(conversations(spark, rows), PATH).collect()
+    masked = [row.formatted[a:b] for m, a, b in zip(row.loss_mask, row.loss_from, row.loss_to) if m]
+    assert "".join(masked) == "An answer" and len(masked) < len(row.token_ids)
+
+
+def test_nulls_ties_and_empty_tables(spark):
+    rows = [(None, 0, "user", "x"), (2, None, None, None), (2, 0, "assistant", None), (2, 0, "assistant", "b"),
+            (2, 0, "assistant", "a"), (3, 0, "assistant", "long " * 50_000)]
+    got = {r.conv_id: r for r in chat.format_conversations(conversations(spark, rows), PATH).collect()}
+    assert chat.parse(got[None].formatted) == [("user", "x")]
+    assert chat.parse(got[2].formatted) == [
+        ("", ""), ("assistant", ""), ("assistant", "a"), ("assistant", "b")]
+    assert loss(got[2]) == "ab" and loss(got[3]) == "long " * 50_000
+    assert chat.format_conversations(conversations(spark, []), PATH).count() == 0
