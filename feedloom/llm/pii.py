@@ -15,7 +15,7 @@ from dataclasses import dataclass
 from pyspark.ml.classification import GBTClassificationModel, GBTClassifier
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import vector_to_array
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from feedloom.llm.common import hidden, or_empty, restored, set_checkpoint_dir, stored
@@ -58,6 +58,7 @@ FOR, AGAINST = "mail|phone|tel|call|fax|mobil|card|visa|credit|ip|addr|contact|s
 CONTEXT, BLOCK = 24, 256
 
 SPAN = "struct<start: int, kind: int, end: int, match: string>"
+FOUND = SPAN[:-1] + ", before: string, after: string>"
 
 
 @dataclass(frozen=True)
@@ -73,7 +74,8 @@ class Settings:
 
 
 def with_matches(df: DataFrame, text: str, name: str, kind: int, pattern: str, test: str) -> DataFrame:
-    """``df`` with all matches of ``pattern`` in ``text`` as an array of spans in code points.
+    """``df`` with all matches of ``pattern`` in ``text`` as an array of spans in code points, each
+    with the characters right ``before`` and ``after`` it, up to the next match.
 
     Offsets are running sums of the lengths of the matches and of what lies between them, taken per
     block so that texts with very many matches stay near linear. Each step is a column that the
@@ -92,11 +94,13 @@ def with_matches(df: DataFrame, text: str, name: str, kind: int, pattern: str, t
 
     def span(i: Column) -> Column:
         block = F.floor(i / BLOCK).cast("int")
-        start = F.get(base, block) + F.length(F.get(between, i)) + added(
+        gap, match = F.get(between, i), F.get(found, i)
+        start = F.get(base, block) + F.length(gap) + added(
             F.slice(step, block * BLOCK + 1, i - block * BLOCK))
-        match = F.get(found, i)
-        return F.struct(start.alias("start"), F.lit(kind).alias("kind"),
-                        (start + F.length(match)).alias("end"), match.alias("match"))
+        return F.struct(
+            start.alias("start"), F.lit(kind).alias("kind"), (start + F.length(match)).alias("end"),
+            match.alias("match"), F.right(gap, F.lit(CONTEXT)).alias("before"),
+            F.left(F.get(between, i + 1), F.lit(2)).alias("after"))
 
     df = df.withColumns({
         between: F.when(has, F.split(text, pattern, -1)),
@@ -107,7 +111,7 @@ def with_matches(df: DataFrame, text: str, name: str, kind: int, pattern: str, t
         blocks, lambda b: added(F.slice(step, b * BLOCK + 1, F.lit(BLOCK))))))
     df = df.withColumn(base, some(total, F.transform(blocks, lambda b: added(F.slice(total, F.lit(1), b)))))
     spans = some(base, F.transform(F.sequence(F.lit(0), number - 1), span))
-    none = F.array().cast(f"array<{SPAN}>")
+    none = F.array().cast(f"array<{FOUND}>")
     return df.withColumn(name, F.coalesce(spans, none)).drop(between, found, step, total, base)
 
 
@@ -120,7 +124,8 @@ def luhn(number: Column) -> Column:
     turned = F.reverse(number)
 
     def add(total: Column, i: Column) -> Column:
-        d = F.substring(turned, i, F.lit(1)).cast("int") * F.when(i % 2 == 0, 2).otherwise(1)
+        digit = F.coalesce(F.substring(turned, i, F.lit(1)).try_cast("int"), F.lit(0))
+        d = digit * F.when(i % 2 == 0, 2).otherwise(1)
         return total + d - F.when(d > 9, 9).otherwise(0)
 
     sum_ = F.aggregate(F.sequence(F.lit(1), F.greatest(F.length(number), F.lit(1))), F.lit(0), add)
@@ -152,39 +157,50 @@ def of_kind(spans: str, kind: int) -> Column:
     return F.filter(spans, lambda s: s["kind"] == kind)
 
 
+def plain(span: Column) -> Column:
+    return F.struct(*[span[f].alias(f) for f in ("start", "kind", "end", "match")])
+
+
 def with_base(df: DataFrame, text: str) -> DataFrame:
-    """``df`` with ``_base``, the spans of the base formats by start and kind, and ``_failed``, the
-    matches that did not pass their check."""
-    names = []
+    """``df`` with ``_base``, the spans of the base formats by start and kind."""
+    names = [f"_b{i}" for i in range(len(KINDS))]
     for i, kind in enumerate(KINDS):
-        df = with_matches(df, text, f"_b{i}", i, BASE[kind], HAS[kind])
-        names.append(f"_b{i}")
-    good = [F.filter(n, passes_as(kind)) for n, kind in zip(names, KINDS)]
-    df = df.withColumns({"_base": F.array_sort(F.concat(*good)), "_all": F.concat(*names)})
-    return df.withColumn("_failed", F.array_except("_all", "_base")).drop(*names, "_all")
+        df = with_matches(df, text, names[i], i, BASE[kind], HAS[kind])
+    good = [F.transform(F.filter(n, passes_as(kind)), plain) for n, kind in zip(names, KINDS)]
+    return df.withColumn("_base", F.array_sort(F.concat(*good))).drop(*names)
 
 
 def proposals(docs: DataFrame) -> DataFrame:
-    """Proposed spans of the distinct texts (``_key``, ``text``), with features and ``label``:
-    1 for a base span, 0 for a rejected one, null where the base formats say nothing."""
-    df = with_base(docs, "text")
-    names = []
+    """Proposed spans ``s`` of the texts (``_key``, ``text``), once per distinct text, with
+    features and ``label``: 1 for a base span, 0 for a rejected one, null where the base formats
+    say nothing. Proposals that touch a base span without being one are left out."""
+    def marked(spans: str, label, proposed: bool) -> Column:
+        return F.transform(spans, lambda s: F.struct(
+            plain(s).alias("s"), s["before"].alias("before"), s["after"].alias("after"),
+            label(s).alias("label"), F.lit(proposed).alias("proposed")))
+
+    df, parts = docs, []
+    for i, kind in enumerate(KINDS):
+        df = with_matches(df, "text", f"_b{i}", i, BASE[kind], HAS[kind])
+        parts.append(marked(f"_b{i}", lambda s, kind=kind: passes(kind, s["match"]).cast("int"), False))
     for i, (kind, pattern, test) in enumerate(GENERATORS):
         df = with_matches(df, "text", f"_g{i}", KINDS.index(kind), pattern, test)
-        names.append(f"_g{i}")
-    df = df.withColumn("_proposed", F.array_distinct(F.concat(*names))).drop(*names)
-    touched = F.exists("_base", lambda b: (b["start"] < F.col("s.end")) & (b["end"] > F.col("s.start")))
+        parts.append(marked(f"_g{i}", lambda s: F.lit(None).cast("int"), True))
     # An outer explode, as a filter derived from an inner one would compute the spans once more.
-    rows = df.select("_key", "text", "_base", "_failed", F.explode_outer("_proposed").alias("s"))
-    rows = rows.where("s is not null")
-    same = F.array_contains("_base", F.col("s"))
-    rows = rows.withColumn("label", F.when(same, 1).when(F.array_contains("_failed", F.col("s")), 0))
-    rows = rows.where(same | ~touched)
+    rows = df.select("_key", F.inline_outer(F.concat(*parts))).where("s is not null")
+    rows = rows.groupBy("_key", "s").agg(
+        F.max("label").alias("label"), F.max("proposed").alias("proposed"),
+        F.max("before").alias("_before"), F.max("after").alias("_after"))
+    # Base spans before and after a span, over growing frames in either direction.
+    text = Window.partitionBy("_key").rowsBetween(Window.unboundedPreceding, -1)
+    is_base = F.col("label") == 1
+    rows = rows.withColumns({
+        "_reach": F.max(F.when(is_base, F.col("s.end"))).over(text.orderBy("s")),
+        "_ahead": F.min(F.when(is_base, F.col("s.start"))).over(text.orderBy(F.desc("s")))})
+    touched = (F.coalesce("_reach", F.lit(0)) > F.col("s.start")) | F.coalesce(
+        F.col("_ahead") < F.col("s.end"), F.lit(False))
+    rows = rows.where(F.col("proposed") & (F.coalesce(is_base, F.lit(False)) | ~touched))
     match, number = F.col("s.match"), digits(F.col("s.match"))
-    before = F.substring("text", F.greatest(F.col("s.start") - CONTEXT, F.lit(0)) + 1,
-                         F.least(F.col("s.start"), F.lit(CONTEXT)))
-    rows = rows.withColumns({"_before": before, "_after": F.substring("text", F.col("s.end") + 1, F.lit(2))})
-
     def share(pattern: str) -> Column:
         return F.length(match) - F.length(F.regexp_replace(match, pattern, ""))
 
@@ -272,14 +288,19 @@ def find_spans(
     text = at[text]
     keyed = docs.withColumn("_key", F.md5(text))
     rows = stored(proposals(keyed.where("_key is not null").select(
-        "_key", F.col(text).alias("text"))).dropDuplicates(["_key", "s"]))
+        "_key", F.col(text).alias("text"))))
     model, thresholds = judge(rows, settings)
-    out = with_base(keyed.withColumn("_text", or_empty(F.col(text))), "_text").drop("_text", "_failed")
+    out = with_base(keyed.withColumn("_text", or_empty(F.col(text))), "_text").drop("_text")
     added = F.array().cast(f"array<{SPAN}>")
     if thresholds:
         least = F.get(F.array(*[F.lit(thresholds.get(k, 2.0)) for k in range(len(KINDS))]), F.col("s.kind"))
+        # Of two added spans of a kind the one inside the other goes.
+        line = Window.partitionBy("_key", "s.kind").orderBy("s.start", F.desc("s.end")).rowsBetween(
+            Window.unboundedPreceding, -1)
+        inside = F.max("s.end").over(line) >= F.col("s.end")
         more = (
             probability(model, rows.where("label is null")).where(F.col("chance") >= least)
+            .withColumn("_inside", F.coalesce(inside, F.lit(False))).where("not _inside")
             .groupBy("_key").agg(F.collect_list("s").alias("_added")))
         out = out.join(broadcast_if_small(stored(more), 50_000)[0], "_key", "left")
         added = F.coalesce("_added", added)

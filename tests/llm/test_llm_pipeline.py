@@ -1,0 +1,65 @@
+import pytest
+from pyspark.sql import functions as F
+
+import corpus_pipeline
+from feedloom.llm import toxicity
+
+DOCUMENTS = ["doc_id", "text", "lang", "source", "n_chars"]
+
+
+@pytest.fixture(scope="module")
+def folder(spark, docs, prose, odd_rows, tmp_path_factory):
+    """A small corpus with toxic documents, copies, a benchmark passage and clean documents."""
+    path = str(tmp_path_factory.mktemp("corpus"))
+    clean = [(i, prose(i, 60 + i), f"s{i % 4}") for i in range(100, 300)]
+    toxic = [(i, prose(i, 50) + " worthless scum " + prose(i + 1, 20), "s0") for i in range(300, 400)]
+    copies = [(400 + i, prose(777, 200), "hot") for i in range(100)]
+    item = prose(888, 40)
+    leaks = [(600 + i, f"{prose(600 + i, 300)} {item} {prose(i, 10)}", "s1") for i in range(5)]
+    rows = odd_rows + clean + toxic + copies + leaks
+    docs(rows).select(DOCUMENTS).write.parquet(f"{path}/documents.parquet")
+    labels = [(i, 1, int(300 <= i < 400)) for i in range(100, 400)]
+    spark.createDataFrame(labels, "doc_id bigint, quality int, toxic int").write.parquet(f"{path}/labels.parquet")
+    spark.createDataFrame([(0, item)], "item_id bigint, text string").write.parquet(f"{path}/benchmark.parquet")
+    return path
+
+
+def test_each_stage_takes_effect(spark, folder, tmp_path):
+    docs = spark.read.parquet(f"{folder}/documents.parquet")
+    seen = {}
+    for name, stage in corpus_pipeline.STAGES:
+        before = docs
+        stage(spark, docs, folder).write.parquet(f"{tmp_path}/{name}")
+        docs = spark.read.parquet(f"{tmp_path}/{name}")
+        seen[name] = ids = {r.doc_id for r in docs.collect()}
+        clean = set(range(100, 300))
+        if name == "toxicity":
+            assert docs.columns == DOCUMENTS
+            assert not ids & set(range(300, 400)) and clean <= ids and set(range(400, 500)) <= ids
+        elif name == "simhash_near_dedup":
+            assert docs.columns == DOCUMENTS
+            assert ids & set(range(400, 500)) == {400} and clean <= ids and 6 not in ids
+        elif name == "benchmark_decontamination":
+            assert docs.columns == DOCUMENTS
+            assert before.count() - docs.count() == 5 and not ids & set(range(600, 605)) and clean <= ids
+        elif name == "mixing":
+            assert docs.columns == DOCUMENTS
+            assert docs.groupBy(*DOCUMENTS).count().agg(F.max("count")).head()[0] <= 2
+        else:
+            assert docs.columns == [*DOCUMENTS, "shard", "slot"] and docs.count() == before.count()
+    assert len(corpus_pipeline.STAGES) == 5
+
+
+def test_run_gives_what_the_stages_give_and_reruns_agree(spark, folder):
+    first = corpus_pipeline.run(spark, folder)
+    again = corpus_pipeline.run(spark, folder)
+    assert sorted(map(str, first.collect())) == sorted(map(str, again.collect()))
+    sizes = [r[1] for r in first.groupBy("shard").count().collect()]
+    assert max(sizes) - min(sizes) <= 1
+
+
+def test_empty_tables(spark, folder, tmp_path):
+    for name in ("documents", "labels", "benchmark"):
+        spark.read.parquet(f"{folder}/{name}.parquet").limit(0).write.parquet(f"{tmp_path}/{name}.parquet")
+    assert corpus_pipeline.run(spark, str(tmp_path)).count() == 0
+    assert toxicity.held_out("doc_id") is not None
