@@ -90,6 +90,7 @@ EVENT_LABELS = {
     "is_save": "SAVE",
     "is_pause": "SCROLL_PAUSE",
 }
+# The labels that make a click, and those of commerce in order of strength.
 CLICK_LABELS = [
     "is_qualified_view",
     "is_complete",
@@ -114,7 +115,15 @@ SCORE_COLUMNS = list(SCORES)
 LABEL_COLUMNS = list(LABELS)
 DATASET_COLUMNS = [*METADATA, *FEATURES, *SCORES, *LABELS]
 
-# Relational inputs of the dataset build, with the columns it reads.
+# What a scoring request has to hold, and the one default that differs from training.
+SCORING_REQUIRED = [
+    "position_index", "user_category_score", "video_quality", "has_products", "hour_of_day",
+    "completion_rate",
+]
+SCORING_DEFAULTS = {name: default for name, (_, default) in FEATURES.items()} | {
+    "expected_ctr_at_position": 0.0}
+
+# Relational inputs of the dataset build, with the columns it reads.
 SOURCE_COLUMNS = {
     "scroll_impressions": [
         "id", "user_id", "scroll_id", "product_id", "item_type", "session_id", "position_index",

@@ -7,49 +7,65 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from feedloom.contracts import SCORE_COLUMNS
+from feedloom.operators.summary import scored
 
-RANGES = 256
+#: Distinct scores that one window group of ``auc`` should hold about, and sketches merged at first.
+ROWS_PER_RANGE, SKETCH_GROUPS = 1_000_000, 64
+MIN_RANGES, MAX_RANGES = 16, 8192
 
 
-def score_edges(df: DataFrame, scores: list[str], ranges: int = RANGES) -> list[float]:
-    """Values that cut the scores into ranges of about equal row counts.
+def score_edges(df: DataFrame, scores: list[str]) -> dict[str, list[float]]:
+    """Per score the values that cut its rows into ranges of about equal size; the number of ranges
+    follows the number of rows.
 
     They only balance the work of ``auc``; its result is the same for any edges. One scan, no
-    shuffle of rows, and at most ``ranges`` numbers come back.
+    shuffle of rows: quantile sketches are merged in two levels, so no task takes in more than a
+    part of them, and at most MAX_RANGES numbers per score come back.
     """
-    points = [i / ranges for i in range(1, ranges)]
-    values = df.select(F.explode(F.array(*[F.col(c).cast("double") for c in scores])).alias("v"))
-    found = values.agg(F.percentile_approx("v", points, 10 * ranges).alias("edges")).head()["edges"]
-    return sorted(set(found or []))
+    wide = df.select(*[F.nanvl(F.col(c).cast("double"), F.lit(None)).alias(c) for c in scores])
+    ranges = min(MAX_RANGES, max(MIN_RANGES, -(-wide.count() // ROWS_PER_RANGE)))
+    size = min(65_535, max(200, 8 * ranges))
+    parts = wide.groupBy(F.pmod(F.spark_partition_id(), F.lit(SKETCH_GROUPS))).agg(*[
+        F.expr(f"kll_sketch_agg_double(`{c}`, {size})").alias(c) for c in scores])
+    merged = parts.agg(*[F.expr(f"kll_merge_agg_double(`{c}`)").alias(c) for c in scores])
+    ranks = ", ".join(f"{i / ranges}D" for i in range(1, ranges))
+    known = wide.agg(*[F.count(c).alias(c) for c in scores]).head()
+    filled = [c for c in scores if known[c]]
+    found = merged.selectExpr(*[
+        f"kll_sketch_get_quantile_double(`{c}`, array({ranks})) as `{c}`" for c in filled]).head() if filled else {}
+    return {c: sorted(set(found[c])) if c in filled else [] for c in scores}
 
 
 def auc(
     df: DataFrame,
     label: str = "is_click",
     scores: list[str] = SCORE_COLUMNS,
-    edges: list[float] | None = None,
+    edges: dict[str, list[float]] | None = None,
 ) -> DataFrame:
     """Exact area under the ROC curve with ties counted half: one row per score.
 
-    Null if a class is missing. Rows are first merged per distinct score, then cut at ``edges``
-    into ranges. Pairs inside a range are counted by a window in that range, pairs across ranges
-    from the ranges' totals, so no task sees the whole order. Rows without the score are skipped.
+    Null if a class is missing. Rows are first merged per distinct score, then cut at the score's
+    ``edges`` into ranges. Pairs inside a range are counted by a window in that range, pairs across
+    ranges from the ranges' totals, so no task sees the whole order. Rows without the score (null
+    or NaN) are skipped.
     """
-    if edges is None:
-        edges = score_edges(df, scores)
-    splits = [float("-inf"), *(edges or [0.0]), float("inf")]
-    long = df.select(label, *[F.col(c).cast("double").alias(c) for c in scores]).unpivot(
-        [label], scores, "score_name", "score"
-    )
-    values = (
-        long.filter("score is not null")
-        .groupBy("score_name", "score")
+    edges = score_edges(df, scores) if edges is None else edges
+    wide = df.select(F.col(label).alias("_label"), *[
+        F.nanvl(F.col(c).cast("double"), F.lit(None)).alias(f"_s{i}") for i, c in enumerate(scores)])
+    cut = Bucketizer(
+        splitsArray=[[float("-inf"), *(edges.get(c) or [0.0]), float("inf")] for c in scores],
+        inputCols=[f"_s{i}" for i in range(len(scores))],
+        outputCols=[f"_r{i}" for i in range(len(scores))], handleInvalid="keep").transform(wide)
+    pairs = ", ".join(f"'{c}', _s{i}, _r{i}" for i, c in enumerate(scores))
+    cut = (
+        cut.selectExpr("_label", f"stack({len(scores)}, {pairs}) as (score_name, score, range)")
+        .filter("score is not null")
+        .groupBy("score_name", "range", "score")
         .agg(
-            F.count_if(F.col(label) == 1).cast("double").alias("pos"),
-            F.count_if(F.col(label) == 0).cast("double").alias("neg"),
+            F.count_if(F.col("_label") == 1).cast("double").alias("pos"),
+            F.count_if(F.col("_label") == 0).cast("double").alias("neg"),
         )
     )
-    cut = Bucketizer(splits=splits, inputCol="score", outputCol="range").transform(values)
     lower = Window.partitionBy("score_name", "range").orderBy("score")
     ranges = (
         cut.withColumn("beaten", F.sum("neg").over(lower) - F.col("neg") / 2)
@@ -59,7 +75,7 @@ def auc(
             F.sum(F.col("pos") * F.col("beaten")).alias("wins"),
         )
     )
-    # At most ``ranges`` rows per score from here on.
+    # One row per range and score from here on.
     below = Window.partitionBy("score_name").orderBy("range")
     wins = F.col("wins") + F.col("pos") * (F.sum("neg").over(below) - F.col("neg"))
     return (
@@ -88,10 +104,13 @@ def lift(
 
 
 def brier(df: DataFrame, label: str = "is_click", score: str = "ml_shadow_score") -> DataFrame:
-    """One row: mean squared distance of score and label over scored rows."""
+    """One row: mean squared distance of score and label over the rows with a score (neither null
+    nor NaN), and whether both classes are among them; without both it is null."""
     miss = F.col(score).cast("double") - F.col(label)
-    return df.filter(F.col(score).isNotNull()).agg(
-        F.avg(miss * miss).alias("brier"), F.count("*").alias("rows")
+    usable = F.count_distinct(label) >= 2
+    return scored(df, [score]).agg(
+        F.when(usable, F.avg(miss * miss)).alias("brier"), F.count("*").alias("rows"),
+        usable.alias("usable"),
     )
 
 
@@ -108,10 +127,11 @@ def probability_bin(p: Column, bins: int = 10) -> Column:
 def calibration_curve(
     df: DataFrame, label: str = "is_click", score: str = "ml_shadow_score", bins: int = 10
 ) -> DataFrame:
-    """One row per non-empty bin: mean predicted and mean observed rate, and the rows in it."""
+    """One row per non-empty bin of the rows with a score (neither null nor NaN): mean predicted and
+    mean observed rate, and the rows in it."""
     p = F.col(score).cast("double")
     return (
-        df.filter(p.isNotNull())
+        scored(df, [score])
         .groupBy(probability_bin(p, bins).alias("bin"))
         .agg(
             F.avg(p).alias("predicted"), F.avg(label).alias("observed"), F.count("*").alias("rows")
@@ -120,8 +140,10 @@ def calibration_curve(
 
 
 def calibration_error(curve: DataFrame) -> DataFrame:
-    """One row: mean gap over bins, the row-weighted gap, and a verdict on the former."""
+    """One row: mean gap over bins, the row-weighted gap, a verdict on the former, and whether both
+    classes were observed; without both the others are null."""
     gap = F.abs(F.col("predicted") - F.col("observed"))
+    usable = F.coalesce((F.max("observed") > 0) & (F.min("observed") < 1), F.lit(False))
     weighted = F.try_divide(F.sum(gap * F.col("rows")), F.sum("rows"))
     error = F.col("calibration_error")
     # Limits of the verdict.
@@ -129,5 +151,6 @@ def calibration_error(curve: DataFrame) -> DataFrame:
         error.isNotNull(), "miscalibrated"
     )
     return curve.agg(
-        F.avg(gap).alias("calibration_error"), weighted.alias("weighted_calibration_error")
+        F.when(usable, F.avg(gap)).alias("calibration_error"),
+        F.when(usable, weighted).alias("weighted_calibration_error"), usable.alias("usable"),
     ).withColumn("verdict", verdict)

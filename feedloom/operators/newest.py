@@ -44,12 +44,11 @@ def newest_first(
     return df.orderBy(F.col(time).desc_nulls_first(), F.desc(tie))
 
 
-def expired_runs(runs: DataFrame, keep: int) -> DataFrame:
-    """Runs older than the ``keep`` newest run ids; none if ``keep`` is not positive.
-
-    ``runs`` is the ledger, one row per training run, so a single ordered window is enough.
-    """
+def expired_runs(runs: DataFrame, keep: int, active: str | None = None) -> DataFrame:
+    """Runs older than the ``keep`` newest run ids, but for the ``active`` one, whose models serve;
+    none if ``keep`` is not positive. An ordered limit finds the oldest id that stays."""
     if keep <= 0:
         return runs.filter(F.lit(False))
-    place = F.row_number().over(Window.orderBy(F.desc("run_id")))
-    return runs.withColumn("_place", place).filter(F.col("_place") > keep).drop("_place")
+    kept = [r["run_id"] for r in runs.select("run_id").orderBy(F.desc("run_id")).limit(keep).collect()]
+    old = runs.filter(F.col("run_id") < F.lit(min(kept, default="")))
+    return old.filter(F.col("run_id") != F.lit(active)) if active is not None else old

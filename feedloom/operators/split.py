@@ -1,33 +1,66 @@
-"""Reproducible train/test split."""
+"""Reproducible train/test split, stratified by class."""
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from feedloom.functions.columns import hash32
 
-BUCKETS = 1000
+#: Hash values per bucket, as a power of two: 4096 buckets of a 32-bit hash.
+BUCKET_BITS = 20
 
 
-def split_bucket(row_id: str, seed: int = 42) -> Column:
-    """A number in [0, 1000) that depends on the seed and the row's id only."""
-    return F.expr(f"cast(pmod({hash32(str(seed), row_id)}, {BUCKETS}) as int)")
+def split_hash(row_id: str, seed: int = 42) -> Column:
+    """A number in [0, 2^32) that depends on the seed and the row's id only."""
+    return F.expr(f"cast({hash32(str(seed), row_id)} as bigint)")
 
 
-def is_test(row_id: str, fraction: float = 0.2, seed: int = 42) -> Column:
-    return split_bucket(row_id, seed) < int(round(fraction * BUCKETS))
+def test_cuts(
+    df: DataFrame, label: str, row_id: str, fraction: float = 0.2, seed: int = 42
+) -> list[tuple]:
+    """(class, hash, id) of the last test row of each class.
+
+    A class's test rows are the exact share with the smallest (hash, id): ``fraction`` of its rows,
+    rounded, and at least one of two. Rows are counted per class and bucket of the hash, and only
+    the bucket that holds a class's boundary is ordered. One row per class comes back.
+    """
+    rows = df.select(
+        F.col(label).alias("label"), F.col(row_id).alias("id"), split_hash(row_id, seed).alias("hash")
+    ).withColumn("bucket", F.shiftright("hash", BUCKET_BITS))
+    below = Window.partitionBy("label").orderBy("bucket")
+    total = F.sum("rows").over(Window.partitionBy("label"))
+    wanted = F.greatest(F.floor(total * fraction + 0.5), F.least(total - 1, F.lit(1)))
+    edge = (
+        rows.groupBy("label", "bucket").agg(F.count("*").alias("rows"))
+        .withColumns({"wanted": wanted, "upto": F.sum("rows").over(below)})
+        .where("upto >= wanted and upto - rows < wanted")
+        .select(F.col("label").alias("edge_label"), F.col("bucket").alias("edge_bucket"),
+                (F.col("wanted") - F.col("upto") + F.col("rows")).alias("place"))
+    )
+    ordered = rows.join(
+        F.broadcast(edge), F.expr("label <=> edge_label and bucket = edge_bucket"))
+    place = F.row_number().over(Window.partitionBy("label").orderBy("hash", "id"))
+    last = ordered.withColumn("nth", place).where("nth = place")
+    return [tuple(r) for r in last.select("label", "hash", "id").collect()]
+
+
+def is_test(label: str, row_id: str, cuts: list[tuple], seed: int = 42) -> Column:
+    """Whether a row lies at or below its class's cut."""
+    value = split_hash(row_id, seed)
+    out = F.lit(False)
+    for name, hash_, id_ in cuts:
+        inside = (value < hash_) | ((value == hash_) & (F.col(row_id) <= F.lit(id_)))
+        out = F.when(F.col(label).eqNullSafe(F.lit(name)), inside).otherwise(out)
+    return out
 
 
 def train_test_split(
-    df: DataFrame, row_id: str = "impression_id", fraction: float = 0.2, seed: int = 42
+    df: DataFrame, label: str, row_id: str = "impression_id", fraction: float = 0.2, seed: int = 42
 ) -> tuple[DataFrame, DataFrame]:
-    """Train and test rows, without a shuffle; a re-run or a lost task gives the same rows.
-
-    Ids hash independently of the label, so each class is split in the same proportion up to
-    chance; ``split_balance`` reports it.
-    """
-    test = is_test(row_id, fraction, seed)
+    """Train and test rows. A re-run or a lost task gives the same rows, and both sides get rows of
+    every class that has two."""
+    test = is_test(label, row_id, test_cuts(df, label, row_id, fraction, seed), seed)
     return df.filter(~test), df.filter(test)
 
 
@@ -35,7 +68,7 @@ def split_balance(
     df: DataFrame, label: str, row_id: str = "impression_id", fraction: float = 0.2, seed: int = 42
 ) -> DataFrame:
     """Rows, test rows and test share per class."""
-    test = is_test(row_id, fraction, seed)
+    test = is_test(label, row_id, test_cuts(df, label, row_id, fraction, seed), seed)
     return df.groupBy(label).agg(
         F.count("*").alias("rows"),
         F.count_if(test).alias("test_rows"),

@@ -49,11 +49,13 @@ def usable_target(task: Task):
     return check
 
 
-def set_checkpoint_dir(spark: SparkSession, fallback: str) -> None:
-    """Keep the cluster's checkpoint folder; set ``fallback`` only where none is configured."""
+def set_checkpoint_dir(spark: SparkSession) -> None:
+    """Keep the cluster's checkpoint folder; only where none is configured, use one in the
+    warehouse, which all executors share as well."""
     if spark.sparkContext.getCheckpointDir() is None:
         configured = spark.conf.get("spark.checkpoint.dir", None)
-        spark.sparkContext.setCheckpointDir(configured or fallback)
+        warehouse = spark.conf.get("spark.sql.warehouse.dir").rstrip("/")
+        spark.sparkContext.setCheckpointDir(configured or f"{warehouse}/_checkpoints")
 
 
 def row_id(df: DataFrame) -> str:
@@ -69,7 +71,7 @@ def fit(task: Task, df: DataFrame, name: str) -> tuple[PipelineModel, DataFrame]
     key = row_id(df)
     labelled = df.withColumn("_label", target(df, name).cast("double"))
     frame = conform(labelled, FEATURE_COLUMNS, keep=[key, "_label"])
-    train, test = train_test_split(frame, key, seed=task.seed)
+    train, test = train_test_split(frame, "_label", key, seed=task.seed)
     classifier = GBTClassifier(
         labelCol="_label", maxIter=task.max_iter, maxDepth=task.max_depth,
         stepSize=task.step_size, featureSubsetStrategy=str(task.feature_fraction), seed=task.seed,
@@ -120,7 +122,7 @@ def train(
 
     Returns the model and the metadata row the ledger keeps.
     """
-    set_checkpoint_dir(spark, f"{model_path}.checkpoints")
+    set_checkpoint_dir(spark)
     df, path, used_fallback, found = load_with_fallback(spark, paths, usable_target(task))
     model, scored = fit(task, df, found["target"])
     # Stored once, so that the two passes of the metric do not score the rows twice.

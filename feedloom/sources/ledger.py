@@ -19,9 +19,9 @@ SUMMARY = (
     "click_rate double, commerce_rate double"
 )
 CONFIG = (
-    "enabled boolean, interval_seconds int, initial_delay_seconds int, dataset_limit int, "
+    "dataset_limit int, "
     "min_rows int, min_click_positives int, min_commerce_positives int, "
-    "allow_synthetic_fallback_promotion boolean, retain_artifact_runs int"
+    "allow_synthetic_fallback_promotion boolean, retain_artifact_runs int, check_tables boolean"
 )
 LEDGER_SCHEMA = (
     "run_id string, trigger string, state string, started_at timestamp, completed_at timestamp, "

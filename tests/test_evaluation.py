@@ -4,7 +4,7 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
-from feedloom.operators import evaluation, promotion, split, summary
+from feedloom.operators import evaluation, newest, promotion, split, summary
 from feedloom.operators.ranking import rank_scores
 from feedloom.plans.evaluation import calibration_report, shadow_report
 from feedloom.plans.scoring import score
@@ -35,7 +35,9 @@ def test_auc_equals_pair_count(spark, hot):
     assert got.auc == pytest.approx(expected)
     assert got.positives + got.negatives == 600
     for edges in ([], [0.5], [0.1, 0.37, 0.9]):
-        assert evaluation.auc(df, "y", ["p"], edges).head().auc == pytest.approx(expected)
+        assert evaluation.auc(df, "y", ["p"], {"p": edges}).head().auc == pytest.approx(expected)
+    holes = df.union(frame(spark, [(None, 1), (float("nan"), 0), (float("nan"), 1)]))
+    assert evaluation.auc(holes, "y", ["p"]).head() == got
     flipped = df.selectExpr("-p as p", "y")
     assert evaluation.auc(flipped, "y", ["p"]).head().auc == pytest.approx(1 - expected)
 
@@ -46,7 +48,7 @@ def test_auc_of_one_class_is_null(spark):
 
 def test_auc_orders_no_single_partition_of_rows(spark):
     df = frame(spark, [(0.1, 1), (0.2, 0)])
-    plan = evaluation.auc(df, "y", ["p"], [0.15])
+    plan = evaluation.auc(df, "y", ["p"], {"p": [0.15]})
     text = plan._sc._jvm.PythonSQLUtils.explainString(plan._jdf.queryExecution(), "simple")
     assert "SinglePartition" not in text
 
@@ -74,6 +76,27 @@ def test_calibration(spark):
     assert evaluation.calibration_error(curve.limit(0)).head().verdict is None
 
 
+def test_nan_counts_as_missing(spark):
+    df = frame(spark, [(0.05, 0), (0.95, 1), (float("nan"), 1), (None, 0)])
+    brier, curve, error = calibration_report(df, "y", "p")
+    row = brier.head()
+    assert (row.rows, row.usable) == (2, True) and row.brier == pytest.approx(0.0025)
+    assert sum(r.rows for r in curve.collect()) == 2 and error.head().usable
+
+
+@pytest.mark.parametrize("rows", [[], [(0.2, 1), (0.9, 1)], [(0.2, 0)], [(float("nan"), 1), (0.1, 0)]])
+def test_reports_need_both_classes(spark, rows):
+    brier, _, error = calibration_report(frame(spark, rows), "y", "p")
+    assert (brier.head().brier, brier.head().usable) == (None, False)
+    row = error.head()
+    assert (row.calibration_error, row.weighted_calibration_error, row.verdict) == (None,) * 3
+    assert not row.usable
+    schema = "ml_shadow_score double, heuristic_score double, is_click int"
+    both = spark.createDataFrame([(p, p, y) for p, y in rows], schema)
+    aucs, lift = shadow_report(both)
+    assert all(r.auc is None for r in aucs.collect()) and lift.head().lift is None
+
+
 def test_shadow_report(spark):
     schema = "ml_shadow_score double, heuristic_score double, is_click int"
     df = spark.createDataFrame(
@@ -157,18 +180,51 @@ def test_rank_scores(spark, e, c, k, hint, expected):
         assert got[name] == pytest.approx(value)
 
 
+def request(spark, **more):
+    row = {"id": 1, "position_index": 0, "user_category_score": 0.0, "video_quality": 0.0,
+           "has_products": 0, "hour_of_day": 0, "completion_rate": 0.5} | more
+    return spark.createDataFrame([tuple(row.values())], list(row))
+
+
 def test_score_without_models(spark):
-    got = score(spark.createDataFrame([(1, 0.5)], "id int, completion_rate double"), keep=["id"])
-    row = got.head()
+    row = score(request(spark), keep=["id"]).head()
     assert (row.engagement_score, row.commerce_score) == (0.5, 0.5)
-    assert row.final_rank_score == pytest.approx(0.33)
+    assert row.final_rank_score == pytest.approx(0.325)
+    hinted = score(request(spark, expected_ctr_at_position=0.05), keep=["id"]).head()
+    assert hinted.final_rank_score == pytest.approx(0.33)
 
 
-def test_split_is_stable_and_balanced(spark):
+def test_a_request_has_to_hold_six_columns(spark):
+    with pytest.raises(ValueError, match="video_quality"):
+        score(request(spark).drop("video_quality"), keep=["id"])
+
+
+def test_split_is_stable_and_exact(spark):
     df = spark.range(20000).selectExpr("id", "cast(id % 10 = 0 as int) as y")
-    train, test = split.train_test_split(df, "id")
-    again = split.train_test_split(df.repartition(13), "id")[1]
+    train, test = split.train_test_split(df, "y", "id")
+    again = split.train_test_split(df.repartition(13), "y", "id")[1]
     assert train.count() + test.count() == 20000
     assert set(test.collect()) == set(again.collect())
-    for row in split.split_balance(df, "y", "id").collect():
-        assert row.test_share == pytest.approx(0.2, abs=0.02)
+    assert {r.y: r.test_rows for r in split.split_balance(df, "y", "id").collect()} == {0: 3600, 1: 400}
+
+
+@pytest.mark.parametrize("n, expected", [(12, 2), (2, 1), (1, 0), (3, 1)])
+def test_every_class_with_two_rows_reaches_both_sides(spark, n, expected):
+    df = spark.range(500).selectExpr("cast(id as string) as id", f"if(id < {n}, 1, 0) as y")
+    train, test = split.train_test_split(df, "y", "id")
+    assert test.where("y = 1").count() == expected
+    assert train.where("y = 1").count() == n - expected
+
+
+def test_split_with_null_labels_and_no_rows(spark):
+    df = spark.range(100).selectExpr("id", "if(id < 50, null, 1) as y")
+    _, test = split.train_test_split(df, "y", "id")
+    assert test.where("y is null").count() == 10
+    assert split.train_test_split(df.limit(0), "y", "id")[1].count() == 0
+
+
+@pytest.mark.parametrize("active, expired", [(None, ["r00", "r01"]), ("r01", ["r00"]), ("r11", ["r00", "r01"])])
+def test_retention_spares_the_active_run(spark, active, expired):
+    runs = spark.createDataFrame([(f"r{i:02}",) for i in range(12)], "run_id string")
+    assert sorted(r.run_id for r in newest.expired_runs(runs, 10, active).collect()) == expired
+    assert newest.expired_runs(runs, 12).count() == newest.expired_runs(runs, 0).count() == 0

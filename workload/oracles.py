@@ -120,10 +120,11 @@ curve as (
         f"case when p > cast({i * 0.1!r} as double) then 1 else 0 end" for i in range(1, 10)))
 
 AUCS = """
+paired as (select * from scored where p is not null and heuristic_score is not null),
 long as (
-  select 'ml_shadow_score' as score_name, p as s, y from scored
-  union all select 'ml_commerce_score', ml_commerce_score, y from scored
-  union all select 'heuristic_score', heuristic_score, y from scored),
+  select 'ml_shadow_score' as score_name, p as s, y from paired
+  union all select 'ml_commerce_score', ml_commerce_score, y from paired
+  union all select 'heuristic_score', heuristic_score, y from paired),
 ranked as (
   select score_name, y, rank() over (partition by score_name order by s)
     + (count(*) over (partition by score_name, s) - 1) / cast(2 as double) as r
@@ -135,6 +136,14 @@ aucs as (
       / nullif(cast(sum(y) as double) * (count(*) - sum(y)), 0) as auc
   from ranked group by 1)"""
 
+PARTED = """
+parted as (
+  select *, place <= greatest(floor(n * 0.2 + 0.5), least(n - 1, 1)) as is_test
+  from (
+    select *, row_number() over (partition by is_click order by hash, id) as place,
+      count(*) over (partition by is_click) as n
+    from (select id, is_click, ('0x' || substr(md5('42|' || id), 1, 8))::bigint as hash from lab) h) r)"""
+
 SUMMARY_COLUMNS = """
   cast(sum(is_click) as bigint) as click_positives,
   cast(sum(is_purchase) as bigint) as purchase_positives,
@@ -347,21 +356,18 @@ ORACLES = {
             f"when {i} then '{n}'" for i, n in enumerate(EVENT_NAMES, 1))
         + " end as event_name, event_type as event_code from scroll_interactions"),
     "split": query(
-        """select id as impression_id, bucket, bucket < 200 as is_test
-        from (select id, cast(('0x' || substr(md5('42|' || id), 1, 8))::bigint % 1000 as int)
-          as bucket from bi)""", BASE),
+        "select id as impression_id, hash, is_test from parted", BASE, LABELS, PARTED),
     "split_balance": query(
-        """select is_click, count(*) as rows, count(case when b < 200 then 1 end) as test_rows,
-          round(count(case when b < 200 then 1 end) / cast(count(*) as double), 9) as test_share
-        from (select is_click, ('0x' || substr(md5('42|' || id), 1, 8))::bigint % 1000 as b from lab)
-        group by 1""", BASE, LABELS),
+        """select is_click, count(*) as rows, count(case when is_test then 1 end) as test_rows,
+          round(count(case when is_test then 1 end) / cast(count(*) as double), 9) as test_share
+        from parted group by 1""", BASE, LABELS, PARTED),
     "rank_scores": query(
         RANKED, BASE, ITEMS, USERS,
         RANKS.format(e=f"coalesce(ml_shadow_score, {HALF})",
                      c=f"coalesce(ml_commerce_score, {HALF})", hint="expected_ctr_at_position")),
     "rank_scores_without_models": query(
         RANKED, BASE, ITEMS, USERS,
-        RANKS.format(e=HALF, c=HALF, hint="expected_ctr_at_position")),
+        RANKS.format(e=HALF, c=HALF, hint="cast(0 as double)")),
     "promotion_gate": query(
         """select recommendation_run_id, ranking_version, reasons,
           not active or reasons = '' as promotion_allowed from verdicts""",
@@ -373,7 +379,9 @@ ORACLES = {
                 cast(cast(floor(created_us / cast(3600000000 as double)) as bigint) as varchar))
                 as run_id, count(*) as rows
             from scroll_impressions group by 1) t) u
-        where place > 10"""),
+        where place > 10 and place < (select count(distinct concat(recommendation_run_id, '-',
+          cast(cast(floor(created_us / cast(3600000000 as double)) as bigint) as varchar)))
+          from scroll_impressions)"""),
     "bootstrap": query(
         f"""select sample_id, position_index, {rounded('user_category_score', 'video_quality')},
           has_products, hour_of_day, {rounded('completion_rate', 'expected_ctr_at_position')},

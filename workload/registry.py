@@ -2,9 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
-from dataclasses import replace
-
 from pyspark.sql import DataFrame, SparkSession
 
 from feedloom.contracts import EVENT_LABELS, EVENT_TYPES
@@ -20,6 +17,7 @@ from feedloom.operators.ranking import rank_scores
 from feedloom.operators.session import session_context, with_session_context
 from feedloom.plans import scoring, training
 from feedloom.plans.dataset import build_dataset, hot_keys, labelled_impressions
+from feedloom.plans.evaluation import shadow_report
 from feedloom.sources.bootstrap import bootstrap_rows
 from workload.views import load
 
@@ -59,6 +57,10 @@ def labelled(spark: SparkSession, sf: str) -> DataFrame:
     return labelled_impressions(load(spark, sf))
 
 
+def shadow(spark: SparkSession, sf: str) -> tuple[DataFrame, DataFrame]:
+    return shadow_report(labelled(spark, sf))
+
+
 def scored(spark: SparkSession, sf: str) -> DataFrame:
     return summary.scored(labelled(spark, sf), ["ml_shadow_score"])
 
@@ -126,14 +128,8 @@ def target_choice(spark, sf):
 
 
 def calibration_error(spark, sf):
-    return rounded(evaluation.calibration_error(evaluation.calibration_curve(scored(spark, sf))))
-
-
-def aucs(spark, sf):
-    rows = labelled(spark, sf)
-    scores = evaluation.SCORE_COLUMNS
-    edges = evaluation.score_edges(load(spark, sf)["scroll_impressions"], scores)
-    return evaluation.auc(rows, "is_click", scores, edges)
+    error = evaluation.calibration_error(evaluation.calibration_curve(scored(spark, sf)))
+    return rounded(error.drop("usable"))
 
 
 def event_names(spark, sf):
@@ -143,9 +139,11 @@ def event_names(spark, sf):
 
 
 def split_rows(spark, sf):
-    return base(spark, sf)[1].select(
-        "impression_id", split.split_bucket("impression_id").alias("bucket"),
-        split.is_test("impression_id").alias("is_test"))
+    rows = labelled(spark, sf).select("impression_id", "is_click")
+    cuts = split.test_cuts(rows, "is_click", "impression_id")
+    return rows.select(
+        "impression_id", split.split_hash("impression_id").alias("hash"),
+        split.is_test("is_click", "impression_id", cuts).alias("is_test"))
 
 
 def rank_inputs(spark, sf) -> DataFrame:
@@ -168,8 +166,11 @@ def ranks(spark, sf):
 
 
 def ranks_without_models(spark, sf):
-    rows = scoring.score(rank_inputs(spark, sf), keep=["impression_id"])
-    return rounded(rows.select(*RANK_COLUMNS))
+    """A scoring request: without the position's hint, which then counts as 0."""
+    tables, _, hot = joined(spark, sf)
+    rows = rank_inputs(spark, sf).drop("expected_ctr_at_position")
+    rows = join_category_affinity(rows, tables["user_category_affinity"], hot)
+    return rounded(scoring.score(rows, keep=["impression_id"]).select(*RANK_COLUMNS))
 
 
 def promotion_gate(spark, sf):
@@ -188,8 +189,9 @@ def retention(spark, sf):
     hour = f"cast({floor_to('created_us', HOUR)} / {HOUR} as bigint)"
     runs = load(spark, sf)["scroll_impressions"].selectExpr(
         f"concat(recommendation_run_id, '-', cast({hour} as string)) as run_id")
-    return newest.expired_runs(runs.groupBy("run_id").count(), 10).withColumnRenamed(
-        "count", "rows")
+    runs = runs.groupBy("run_id").count().withColumnRenamed("count", "rows")
+    active = runs.agg({"run_id": "min"}).head()[0]
+    return newest.expired_runs(runs, 10, active)
 
 
 def bootstrap(spark, sf):
@@ -250,11 +252,11 @@ QUERIES = {
     "target_choice": target_choice,
     "label_distribution": lambda spark, sf: summary.label_distribution(scored(spark, sf)),
     "class_guard": lambda spark, sf: summary.has_both_classes(scored(spark, sf)),
-    "brier": lambda spark, sf: rounded(evaluation.brier(scored(spark, sf))),
+    "brier": lambda spark, sf: rounded(evaluation.brier(scored(spark, sf)).drop("usable")),
     "calibration_curve": lambda spark, sf: rounded(evaluation.calibration_curve(scored(spark, sf))),
     "calibration_error": calibration_error,
-    "auc": lambda spark, sf: rounded(aucs(spark, sf)),
-    "lift": lambda spark, sf: rounded(evaluation.lift(aucs(spark, sf))),
+    "auc": lambda spark, sf: rounded(shadow(spark, sf)[0]),
+    "lift": lambda spark, sf: rounded(shadow(spark, sf)[1]),
     "event_names": event_names,
     "split": split_rows,
     "split_balance": lambda spark, sf: rounded(
