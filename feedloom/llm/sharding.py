@@ -16,6 +16,8 @@ from feedloom.llm.common import hidden, partitions, restored, with_row_key
 
 #: Standard deviations around the mode within which a count is drawn; less than 1e-30 lies beyond.
 REACH = 12
+#: Sections of shards per partition of the exchange.
+SECTIONS = 16
 
 
 def hypergeometric(rng: np.random.Generator, good: int, bad: int, drawn: int) -> int:
@@ -129,7 +131,8 @@ def shuffle_into_shards(
         .withColumns({"_size": size, "_arrival": F.col("_rank") + F.get("_shift", F.col("shard"))})
         .withColumn("slot", slot_in_shard(F.col("shard"), F.col("_arrival"), F.col("_size"), seed))
     )
-    # Sections of a shard, so that a partition holds neighbouring slots and no whole shard.
-    section = F.floor(F.col("slot") * F.lit(max(1, n // shards)) / F.col("_size"))
+    # Sections of a shard, so that a partition holds runs of slots and no whole shard; several per
+    # partition, as they meet there by hash.
+    section = F.floor(F.col("slot") * F.lit(max(1, SECTIONS * n // shards)) / F.col("_size"))
     sent = sent.withColumn("_section", section).repartition(n, "shard", "_section")
     return restored(sent.sortWithinPartitions("shard", "slot"), names, "shard", "slot")
