@@ -120,8 +120,13 @@ def label_masks(base: DataFrame, interactions: DataFrame, **options) -> DataFram
     """Direct and nearby masks merged (``options`` are those of ``nearby_masks``): one row per
     labelled impression_id. Bits are merged before the shuffle, so an impression with a very large
     number of interactions costs one row per map task."""
-    both = direct_masks(interactions).unionByName(nearby_masks(base, interactions, **options))
-    return both.groupBy("impression_id").agg({"mask": "bit_or"}).toDF("impression_id", "mask")
+    return merged_masks(
+        direct_masks(interactions).unionByName(nearby_masks(base, interactions, **options)))
+
+
+def merged_masks(masks: DataFrame) -> DataFrame:
+    """One mask per impression_id."""
+    return masks.groupBy("impression_id").agg({"mask": "bit_or"}).toDF("impression_id", "mask")
 
 
 def label_columns(mask: str) -> list[str]:

@@ -6,75 +6,86 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from feedloom.contracts import ITEM_TYPES
-from feedloom.operators.attribution import SETS_LABEL, event_bit, label_columns
+from feedloom.operators.attribution import (
+    SETS_LABEL,
+    direct_masks,
+    event_bit,
+    merged_masks,
+    with_labels,
+)
 from feedloom.operators.items import resolve_items
 
-KEYS = ["kind", "owner", "item_type", "item_id", "salt"]
+KEYS = ["owner", "item_type", "item_id", "salt"]
 
 
-def key(kind: str, owner: str, item_type: str, item_id: str, salt: str) -> str:
-    """A join key; a null owner or item id matches nothing."""
-    return (
-        f"named_struct('kind', '{kind}', 'owner', cast({owner} as string), "
-        f"'item_type', {item_type}, 'item_id', cast({item_id} as string), 'salt', {salt})"
-    )
+def direct_stream(interactions: DataFrame) -> DataFrame:
+    """impression_id and mask of each event that names its impression, as it arrives. Needs no
+    state, so such an event counts however late it is."""
+    return direct_masks(interactions).selectExpr(
+        "cast(impression_id as string) as impression_id", "mask")
 
 
-def attribute_stream(
+def nearby_stream(
     impressions: DataFrame,
     interactions: DataFrame,
     horizon_minutes: int = 60,
-    direct_minutes: int = 24 * 60,
     lateness: str = "10 minutes",
     salts: int = 1,
 ) -> DataFrame:
-    """impression_id, impressed_at and labels of each impression once its horizon has passed.
+    """impression_id and mask of each impression met by an event of the same user on the same item
+    (and session) within the horizon, for events that name no impression.
 
-    Both logs get a watermark and meet in one left outer join. An impression asks under two keys:
-    its own id (events that name it) and its (user, item); every event answers under one of them.
-    State must end some time, so events that name an impression count within ``direct_minutes``
-    before or after it; the batch form has no such bound. An impression without any event comes out
-    with zeros. ``salts`` above 1 spreads the (user, item) keys: impressions take one salt, events
-    are repeated for each.
+    Both logs get a watermark and meet in one inner join, whose state ends with the horizon plus the
+    lateness. ``salts`` above 1 spreads the keys of a hot user and item: impressions take one salt,
+    events are repeated for each.
     """
     scroll, product = ITEM_TYPES["SCROLL"], ITEM_TYPES["PRODUCT"]
-    item = f"case item_type when {scroll} then scroll_id when {product} then product_id end"
-    salt = f"cast(pmod(xxhash64(impression_id), {salts}) as int)"
-    direct = key("direct", "impression_id", "0", "''", "0")
-    asked = f"array({direct}, {key('nearby', 'user_id', 'item_type', item, salt)})"
-    answers = ", ".join(
-        key("nearby", "user_id", str(kind), column, str(i))
-        for kind, column in ((scroll, "scroll_id"), (product, "product_id"))
-        for i in range(salts)
-    )
-    answered = f"if(impression_id is not null, array({direct}), array({answers}))"
     shown = (
         resolve_items(impressions)
         .withWatermark("impressed_at", lateness)
-        .selectExpr("impression_id", "impressed_at", "session_id as shown_session",
-                    f"inline({asked})")
+        .selectExpr(
+            "cast(impression_id as string) as impression_id", "impressed_at",
+            "session_id as shown_session", "user_id as owner", "item_type",
+            f"case item_type when {scroll} then scroll_id when {product} then product_id end as item_id",
+            f"cast(pmod(xxhash64(impression_id), {salts}) as int) as salt")
         .where("owner is not null and item_id is not null")
     )
+    answers = ", ".join(
+        f"named_struct('item_type', {kind}, 'item_id', {column}, 'salt', {i})"
+        for kind, column in ((scroll, "scroll_id"), (product, "product_id"))
+        for i in range(salts)
+    )
     acted = (
-        interactions.where(SETS_LABEL)
+        interactions.where(f"{SETS_LABEL} and impression_id is null")
         .withColumnRenamed("created_at", "acted_at")
         .withWatermark("acted_at", lateness)
-        .selectExpr("acted_at", "session_id as acted_session",
-                    f"{event_bit('event_type')} as bit", f"inline({answered})")
+        .selectExpr("acted_at", "session_id as acted_session", "user_id as owner",
+                    f"{event_bit('event_type')} as mask", f"inline(array({answers}))")
         .where("owner is not null and item_id is not null")
         .withColumnsRenamed({k: f"acted_{k}" for k in KEYS})
     )
     same_key = " and ".join(f"{k} = acted_{k}" for k in KEYS)
-    behind, reach = direct_minutes, max(horizon_minutes, direct_minutes)
     matches = f"""{same_key}
-      and acted_at >= impressed_at - interval {behind} minutes
-      and acted_at < impressed_at + interval {reach} minutes
-      and (kind = 'direct' or (
-        acted_at >= impressed_at and acted_at < impressed_at + interval {horizon_minutes} minutes
-        and (shown_session is null or shown_session = acted_session)))"""
-    merged = (
-        shown.join(acted, F.expr(matches), "left")
-        .groupBy("impression_id", "impressed_at")
-        .agg(F.bit_or(F.coalesce("bit", F.lit(0))).alias("mask"))
-    )
-    return merged.selectExpr("impression_id", "impressed_at", *label_columns("mask"))
+      and acted_at >= impressed_at and acted_at < impressed_at + interval {horizon_minutes} minutes
+      and (shown_session is null or shown_session = acted_session)"""
+    return shown.join(acted, F.expr(matches)).select("impression_id", "mask")
+
+
+def attribute_stream(impressions: DataFrame, interactions: DataFrame, **options) -> DataFrame:
+    """The masks of both kinds, one row per event that labels an impression, in append mode.
+
+    Write them to a table; ``stream_labels`` merges what is there. An impression may get several
+    rows, and one that is read twice changes nothing, as bits are merged. ``options`` are those of
+    ``nearby_stream``.
+    """
+    return direct_stream(interactions).unionByName(
+        nearby_stream(impressions, interactions, **options))
+
+
+def stream_labels(impressions: DataFrame, masks: DataFrame) -> DataFrame:
+    """The impressions with all labels that ``masks``, the stream's output so far, holds: the same
+    as in batch once the horizon has passed. Impressions without a time or an event are there too."""
+    base = resolve_items(impressions)
+    kind = base.schema["impression_id"].dataType
+    merged = merged_masks(masks.withColumn("impression_id", F.col("impression_id").cast(kind)))
+    return with_labels(base, merged)

@@ -9,23 +9,17 @@ from feedloom.operators.items import resolve_items
 from feedloom.plans import training
 from feedloom.plans.scoring import score
 from feedloom.sources import bootstrap, ledger
-from feedloom.streaming.attribution import attribute_stream
+from feedloom.streaming.attribution import attribute_stream, nearby_stream, stream_labels
 from feedloom.streaming.scoring import score_stream
 
-FAR = 30 * 86400
 NAMES = [*LABEL_CODES, "is_click"]
 
 
 def streamed(spark, tmp_path, table, shown, acted, **options):
-    sentinel = {"id": -1, "user_id": -1, "scroll_id": 1}
-    late = [{**sentinel, "created_at": at(FAR + i)} for i in range(2)]
     paths = {}
-    for name, rows, extra in (
-        ("scroll_impressions", shown, [late[0]]),
-        ("scroll_interactions", acted, [{**late[0], "event_type": 3}]),
-    ):
+    for name, rows in (("scroll_impressions", shown), ("scroll_interactions", acted)):
         paths[name] = str(tmp_path / name)
-        for part in [rows[:len(rows) // 2], rows[len(rows) // 2:], extra]:
+        for part in [rows[:len(rows) // 2], rows[len(rows) // 2:]]:
             table(name, *part).coalesce(1).write.mode("append").parquet(paths[name])
     streams = {
         name: spark.readStream.schema(SCHEMAS[name]).option("maxFilesPerTrigger", 1).parquet(path)
@@ -40,7 +34,8 @@ def streamed(spark, tmp_path, table, shown, acted, **options):
     )
     query.awaitTermination(180)
     assert query.exception() is None
-    rows = spark.read.parquet(out).where("impression_id >= 0").collect()
+    rows = stream_labels(
+        spark.read.parquet(paths["scroll_impressions"]), spark.read.parquet(out)).collect()
     got = {r.impression_id: tuple(r[n] for n in NAMES) for r in rows}
     assert len(got) == len(rows)
     return got
@@ -72,6 +67,40 @@ def test_stream_equals_batch(spark, tmp_path, table, salts):
     assert any(not sum(flags) for flags in got.values())
 
 
+def test_events_that_name_their_impression_count_at_any_time(spark, tmp_path, table):
+    """Two days later, before the impression, and for an impression without a time."""
+    shown = [{"id": 1, "user_id": 1, "scroll_id": 1, "created_at": at(0)},
+             {"id": 2, "user_id": 1, "scroll_id": 2, "created_at": at(60)},
+             {"id": 3, "user_id": 2, "scroll_id": 3, "created_at": None},
+             {"id": 4, "user_id": 2, "scroll_id": 3, "created_at": None}]
+    acted = [{"impression_id": 1, "event_type": 8, "created_at": at(2 * 86400)},
+             {"impression_id": 2, "event_type": 9, "created_at": at(-3600)},
+             {"impression_id": 3, "event_type": 2, "created_at": at(5)},
+             {"impression_id": 3, "event_type": 8, "created_at": None},
+             {"user_id": 1, "scroll_id": 1, "event_type": 7, "created_at": at(30)}]
+    got = streamed(spark, tmp_path, table, shown, acted)
+    assert got == batched(table, shown, acted) and set(got) == {1, 2, 3, 4}
+    purchase = NAMES.index("is_purchase")
+    assert got[1][purchase] == got[3][purchase] == 1 and not any(got[4])
+
+
+def test_a_hot_user_and_item_with_salts(spark, tmp_path, table):
+    shown = [{"id": i, "user_id": 1, "scroll_id": 1, "created_at": at(i)} for i in range(60)]
+    acted = [{"user_id": 1, "scroll_id": 1, "event_type": 1 + i % 15, "created_at": at(3 * i)}
+             for i in range(20)]
+    assert streamed(spark, tmp_path, table, shown, acted, salts=8) == batched(table, shown, acted)
+
+
+def test_nearby_state_ends_with_the_horizon(spark, tmp_path, table):
+    table("scroll_impressions").write.parquet(str(tmp_path / "a"))
+    table("scroll_interactions").write.parquet(str(tmp_path / "b"))
+    stream = nearby_stream(
+        spark.readStream.schema(SCHEMAS["scroll_impressions"]).parquet(str(tmp_path / "a")),
+        spark.readStream.schema(SCHEMAS["scroll_interactions"]).parquet(str(tmp_path / "b")))
+    plan = stream._jdf.queryExecution().analyzed().toString()
+    assert "INTERVAL '60' MINUTE" in plan and "INTERVAL '1440'" not in plan
+
+
 def test_scoring_stream_uses_the_active_models(spark, tmp_path):
     items = str(tmp_path / "items")
     bootstrap.bootstrap(spark, 300).write.parquet(items)

@@ -382,6 +382,13 @@ ORACLES = {
         where place > 10 and place < (select count(distinct concat(recommendation_run_id, '-',
           cast(cast(floor(created_us / cast(3600000000 as double)) as bigint) as varchar)))
           from scroll_impressions)"""),
+    "batch_probability": query(
+        """select count(*) as rows, count(distinct id) as impressions, cast(0 as bigint) as bad_engagement,
+          cast(0 as bigint) as bad_commerce, cast(0 as bigint) as rank_differs from lab""", BASE, LABELS),
+    "feature_importance": """
+        select task, cast(24 as bigint) as features, cast(1 as double) as total,
+          cast(0 as bigint) as negative, (select count(*) from events) as trained_rows, true as above_floor
+        from (values ('engagement'), ('commerce')) t(task)""",
     "bootstrap": query(
         f"""select sample_id, position_index, {rounded('user_category_score', 'video_quality')},
           has_products, hour_of_day, {rounded('completion_rate', 'expected_ctr_at_position')},

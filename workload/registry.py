@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from feedloom.contracts import EVENT_LABELS, EVENT_TYPES
 from feedloom.functions.columns import HOUR, code_to_name, floor_to, name_to_code
@@ -12,7 +13,7 @@ from feedloom.operators.affinity import (
     join_creator_affinity,
     join_position_bias,
 )
-from feedloom.operators.frames import conform, feature_frame
+from feedloom.operators.frames import conform
 from feedloom.operators.ranking import rank_scores
 from feedloom.operators.session import session_context, with_session_context
 from feedloom.plans import scoring, training
@@ -199,22 +200,43 @@ def bootstrap(spark, sf):
     return rounded(bootstrap_rows(ids))
 
 
-def trained(spark, sf):
-    """A small engagement model over the whole dataset, which is stored once for all passes."""
-    training.set_checkpoint_dir(spark, f"{tempfile.gettempdir()}/feedloom-checkpoints")
-    rows = feature_frame(build_dataset(load(spark, sf)), ["impression_id", "is_click"]).checkpoint()
-    task = replace(training.ENGAGEMENT, max_iter=3)
-    return training.fit(task, rows, "is_click")[0], rows
-
-
 def batch_probability(spark, sf):
-    model, rows = trained(spark, sf)
-    return scoring.score(rows, (model, None), keep=["impression_id"]).select(
-        "impression_id", "engagement_score", "commerce_score", "final_rank_score")
+    """Both models, trained in full on the whole dataset, score every row of it. Returned is what
+    does not depend on the trees: the rows, and how many break the contract of a score."""
+    training.set_checkpoint_dir(spark)
+    rows = build_dataset(load(spark, sf)).checkpoint()
+    commerce = summary.choose_target(summary.target_candidates(rows)).head()["target"]
+    models = tuple(
+        training.fit(task, rows, name)[0]
+        for task, name in ((training.ENGAGEMENT, "is_click"), (training.COMMERCE, commerce)))
+    again = rank_scores(scoring.score(rows, models, keep=["impression_id"]).selectExpr(
+        "impression_id", "engagement_score", "commerce_score", "completion_rate",
+        "expected_ctr_at_position", "final_rank_score as given"))
+    bad = "count_if(coalesce({0} is null or isnan({0}) or {0} < 0 or {0} > 1, true))"
+    return again.selectExpr(
+        "count(*) as rows", "count(distinct impression_id) as impressions",
+        f"{bad.format('engagement_score')} as bad_engagement",
+        f"{bad.format('commerce_score')} as bad_commerce",
+        "count_if((abs(final_rank_score - given) < 1e-12) is not true) as rank_differs")
 
 
 def feature_importance(spark, sf):
-    return training.feature_importance(trained(spark, sf)[0])
+    """Both tasks, trained in full on rows with a known click rule: one for each event."""
+    training.set_checkpoint_dir(spark)
+    ids = spark.read.parquet(f"{sf}/events.parquet").selectExpr("event_id as sample_id")
+    rows = bootstrap_rows(ids).checkpoint()
+    out = None
+    for task, name in ((training.ENGAGEMENT, "is_click"), (training.COMMERCE, "is_purchase")):
+        model, tested = training.fit(task, rows, name)
+        quality = evaluation.auc(tested.select("_label", "score").checkpoint(), "_label", ["score"])
+        facts = training.feature_importance(model).selectExpr(
+            "count(*) as features", "round(sum(importance), 9) as total",
+            "count_if(importance < 0) as negative")
+        facts = facts.withColumns({
+            "task": F.lit(task.name), "trained_rows": F.lit(rows.count()),
+            "above_floor": F.lit(bool(quality.head()["auc"] > 0.8))})
+        out = facts if out is None else out.unionByName(facts)
+    return out
 
 
 def scroll_stats(spark, sf):
