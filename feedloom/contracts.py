@@ -151,4 +151,15 @@ SOURCE_COLUMNS = {
     "user_creator_affinity": ["user_id", "creator_id", "score"],
     "position_bias_baseline": ["position_index", "expected_ctr"],
 }
+# What the dataset joins take to be unique.
+TABLE_KEYS = {
+    "scroll_impressions": ["id"],
+    "scrolls": ["id"],
+    "products": ["id"],
+    "scroll_stats": ["scroll_id"],
+    "item_global_stats": ["item_id", "item_type"],
+    "user_category_affinity": ["user_id", "category_id"],
+    "user_creator_affinity": ["user_id", "creator_id"],
+    "position_bias_baseline": ["position_index"],
+}
 REQUIRED_TABLES = ["scrolls", "scroll_interactions", "scroll_impressions"]

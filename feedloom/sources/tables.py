@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 
-from feedloom.contracts import REQUIRED_TABLES, SOURCE_COLUMNS
+from feedloom.contracts import REQUIRED_TABLES, SOURCE_COLUMNS, TABLE_KEYS
 
 
 def from_parquet(spark: SparkSession, root: str) -> dict[str, DataFrame]:
@@ -71,6 +71,18 @@ def missing_columns(tables: dict[str, DataFrame]) -> dict[str, list[str]]:
     return {name: columns for name, columns in gaps.items() if columns}
 
 
+def repeated_keys(tables: dict[str, DataFrame]) -> dict[str, dict]:
+    """One key that occurs twice, per table that has such. Null keys match nothing and may repeat."""
+    found = {}
+    for name, keys in TABLE_KEYS.items():
+        if name in tables:
+            counted = tables[name].dropna(subset=keys).groupBy(*keys).count()
+            rows = counted.where("count > 1").take(1)
+            if rows:
+                found[name] = {k: rows[0][k] for k in keys}
+    return found
+
+
 def path_exists(spark: SparkSession, path: str) -> bool:
     """Whether Parquet data can be read at ``path``, on any file system Spark knows."""
     try:
