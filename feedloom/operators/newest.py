@@ -20,21 +20,32 @@ def between(df: DataFrame, start: datetime | None, end: datetime | None) -> Data
 
 
 def newest(df: DataFrame, n: int, time: str = "created_at", tie: str = "id") -> DataFrame:
-    """The ``n`` newest rows, rows without a time first, ties by descending ``tie``.
+    """The rows of ``newest_rows``, newest first."""
+    return newest_first(newest_rows(df, n, time, tie), time, tie)
 
-    A plain ordered limit sends n rows of every partition to one task. Counting rows per hour
-    first (a small aggregate) tells from which hour on n rows exist; only those hours are sorted.
+
+def newest_rows(df: DataFrame, n: int, time: str = "created_at", tie: str = "id") -> DataFrame:
+    """The ``n`` newest rows, in no order; rows without a time count as newest, equal times go by
+    descending ``tie``.
+
+    Rows are counted per hour first (a small aggregate), which tells the hour that holds the last
+    row to keep. Newer hours are kept whole, and only that hour is ordered.
     """
     hour = F.expr(floor_to(micros(time), HOUR))
     per_hour = df.groupBy(hour.alias("hour")).agg(F.count("*").alias("rows"))
     latest_first = Window.orderBy(F.col("hour").desc_nulls_first())
     newer = F.sum("rows").over(latest_first) - F.col("rows")
-    needed = per_hour.withColumn("newer", newer).filter(F.col("newer") < n)
-    since = needed.agg(F.min("hour").alias("since")).head()["since"]
-    late = F.col(time).isNull()
-    if since is not None:
-        late = late | (F.col(time) >= F.timestamp_micros(F.lit(since)))
-    return df.filter(late).orderBy(F.col(time).desc_nulls_first(), F.desc(tie)).limit(n)
+    last = per_hour.withColumn("newer", newer).filter(F.col("newer") < n).orderBy(
+        F.desc("newer")).head()
+    if last is None:
+        return df.limit(0)
+    if last["hour"] is None:
+        return df.filter(F.col(time).isNull()).orderBy(F.desc(tie)).limit(n)
+    first = F.timestamp_micros(F.lit(last["hour"]))
+    following = F.timestamp_micros(F.lit(last["hour"] + HOUR))
+    edge = df.filter((F.col(time) >= first) & (F.col(time) < following))
+    edge = edge.orderBy(F.desc(time), F.desc(tie)).limit(n - last["newer"])
+    return df.filter(F.col(time).isNull() | (F.col(time) >= following)).unionByName(edge)
 
 
 def newest_first(

@@ -8,23 +8,24 @@ from datetime import datetime, timedelta, timezone
 from pyspark.sql import DataFrame
 
 from feedloom.functions.columns import MINUTE, SECOND, floor_to, micros, slots
+from feedloom.operators.newest import between
 from feedloom.operators.skew import slot_width
 
 EPOCH = datetime(1970, 1, 1, tzinfo=timezone.utc)
 
-# Rows of each slot with what they look back to. Placeholders: rows, slot, reach,
-# since, recent, live, until.
+# Rows of each slot with what they look back to. Placeholders: rows, firsts, slot, reach, since,
+# live, until.
 POINTS_SQL = """
 select if(slot = {slot} and {since}, impression_id, null) as impression_id, user_id, session_id,
   us, slot, 1 as weight
-from (select *, explode({reach}) as slot from {{rows}} where {recent})
+from (select *, explode({reach}) as slot from {{rows}})
 union all
 select null, user_id, session_id, us, slot, 0
 from (
   select user_id, session_id, slot, width, min(first_us) over (
       partition by user_id, session_id order by slot
       rows between unbounded preceding and {until}) as us
-  from (select user_id, session_id, width, {slot} as slot, min(us) as first_us from {{rows}}
+  from (select user_id, session_id, width, {slot} as slot, min(us) as first_us from {{firsts}}
         where session_id is not null group by user_id, session_id, width, {slot}))
 where us is not null and {live}
 """
@@ -69,20 +70,31 @@ def slot_points(
     later slot looks back to (without id), and session starts (without id and weight)."""
     wide = slot_minutes * MINUTE
     back = max(velocity_minutes, idle_minutes) * MINUTE
-    rows = (
-        impressions.where("user_id is not null and created_at is not null")
-        .selectExpr("id as impression_id", "user_id", "session_id", f"{micros('created_at')} as us")
-        .withColumn("width", slot_width("user_id", hot_users, wide, min(wide, back)))
-    )
+    width = slot_width("user_id", hot_users, wide, min(wide, back))
+    known = impressions.where("user_id is not null and created_at is not null").selectExpr(
+        "id as impression_id", "user_id", "session_id", "created_at", f"{micros('created_at')} as us")
+    edge = since and since - timedelta(microseconds=back)
+    rows = between(known, edge, None).withColumn("width", width)
+    firsts = rows.select("user_id", "session_id", "width", "us")
+    if since:
+        firsts = firsts.unionByName(session_starts(
+            between(known, None, edge), between(known, since, None)).withColumn("width", width))
     start = since and (since.astimezone(timezone.utc) - EPOCH) // timedelta(microseconds=1)
     text = POINTS_SQL.format(
         slot=floor_to("us", "width"), reach=slots("us", f"(us + {back}L)", "width"),
         since=f"us >= {start}L" if since else "true",
-        recent=f"us >= {start - back}L" if since else "true",
         live=f"slot + width > {start - back}L" if since else "true",
         until="current row" if since else "1 preceding",
     )
-    return impressions.sparkSession.sql(text, rows=rows)
+    return impressions.sparkSession.sql(text, rows=rows.drop("created_at"), firsts=firsts)
+
+
+def session_starts(history: DataFrame, live: DataFrame) -> DataFrame:
+    """The start (``us``) of each session of ``history`` that goes on in ``live``: one row per
+    session, merged before the shuffle and not cut into slots."""
+    key = ["user_id", "session_id"]
+    first = history.where("session_id is not null").groupBy(*key).agg({"us": "min"}).toDF(*key, "us")
+    return first.join(live.select(*key).distinct(), key, "left_semi")
 
 
 def session_context(
@@ -108,9 +120,10 @@ def session_context(
     after an idle cut is what follows the last row before the cut. One shuffle by user and slot
     serves all five frames.
 
-    With ``since`` only impressions from then on are returned; older ones merely contribute their
-    session's start, merged per session and slot before any shuffle. The first slot may then lack
-    its oldest rows, so a session's start also counts the slot it is in.
+    With ``since`` only impressions from then on are returned. Rows out of their reach merely
+    contribute one start per session that goes on, merged before any shuffle; only the rest is cut
+    into slots. The first slot may then lack its oldest rows, so a session's start also counts the
+    slot it is in.
     """
     points = slot_points(
         impressions, velocity_minutes, idle_minutes, slot_minutes, hot_users, since)

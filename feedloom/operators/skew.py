@@ -11,6 +11,8 @@ from pyspark.sql import functions as F
 from feedloom.functions.columns import any_of
 
 NULL_SALTS = 1024
+#: Sketches of so many groups of partitions are merged first.
+SKETCH_GROUPS = 64
 
 # Per column, the frequent values and into how many groups each should be split.
 Hot = dict[str, dict[object, int]]
@@ -19,13 +21,27 @@ Hot = dict[str, dict[object, int]]
 def frequent_values(df: DataFrame, columns: list[str], support: float = 0.001) -> Hot:
     """Values that hold at least ``support`` of the rows, per column.
 
-    One scan with a fixed-size sketch per column and no shuffle of rows. At most 1/support values
-    come back per column, whatever the table's size. A value gets a power of four as its number of
-    groups, enough to bring each group below ``support`` of the rows.
+    One scan with a fixed-size sketch per column and no shuffle of rows. Sketches are merged in two
+    levels, so no task takes in more than a part of them. At most 1/support values come back per
+    column, whatever the table's size. A value gets a power of four as its number of groups, enough
+    to bring each group below ``support`` of the rows.
     """
     k = math.ceil(1 / support)
-    sketches = [f"approx_top_k({c}, {k}, {min(10 * k, 1_000_000)}) as {c}" for c in columns]
-    found = df.selectExpr("count(*) as _rows", *sketches).head()
+    size = min(10 * k, 1_000_000)
+    parts = df.groupBy(F.pmod(F.spark_partition_id(), F.lit(SKETCH_GROUPS))).agg(
+        F.count("*").alias("_rows"),
+        *[F.expr(f"approx_top_k_accumulate({c}, {size})").alias(c) for c in columns],
+        *[F.count(c).alias(f"_known_{c}") for c in columns])
+    # Grouped by a constant, as combining fails on partitions without rows otherwise.
+    merged = parts.groupBy(F.lit(0).alias("_all")).agg(
+        F.sum("_rows").alias("_rows"),
+        *[F.expr(f"approx_top_k_combine({c}, {size})").alias(c) for c in columns],
+        *[F.sum(f"_known_{c}").alias(f"_known_{c}") for c in columns])
+    # A column of nulls has no sketch to read.
+    found = merged.selectExpr("_rows", *[
+        f"if(_known_{c} > 0, approx_top_k_estimate({c}, {k}), array()) as {c}" for c in columns]).head()
+    if found is None:
+        return {c: {} for c in columns}
     least = support * found["_rows"]
     return {
         c: {

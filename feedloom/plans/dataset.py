@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from datetime import datetime
+from datetime import datetime, timezone
 
 from pyspark.sql import DataFrame
 
@@ -14,9 +14,10 @@ from feedloom.operators.affinity import (
 from feedloom.operators.attribution import label_masks, with_labels
 from feedloom.operators.frames import training_frame
 from feedloom.operators.items import PRODUCT_KEY, item_features, join_items, resolve_items
-from feedloom.operators.newest import between, newest
+from feedloom.operators.newest import between, newest_rows
 from feedloom.operators.session import session_context, with_session_context
 from feedloom.operators.skew import Hot, frequent_values
+from feedloom.plans.training import set_checkpoint_dir
 
 Tables = dict[str, DataFrame]
 
@@ -29,7 +30,7 @@ def hot_keys(base: DataFrame, support: float | None) -> Hot:
     return frequent_values(keys, keys.columns, support)
 
 
-def labelled_impressions(tables: Tables, hot_support: float | None = None) -> DataFrame:
+def labelled_impressions(tables: Tables, hot_support: float | None = 0.001) -> DataFrame:
     """Impressions that name an item, with all behaviour labels."""
     base = resolve_items(tables["scroll_impressions"])
     hot = frequent_values(base, ["user_id"], hot_support) if hot_support else {}
@@ -44,10 +45,13 @@ def build_dataset(
     limit: int | None = None,
     fill_scores: bool = False,
     hot_support: float | None = 0.001,
+    direct: DataFrame | None = None,
 ) -> DataFrame:
     """The training frame of the impressions created in [start, end), or of the ``limit`` newest.
 
-    Session context looks at all earlier impressions, whatever the range. Labels and context are
+    Of impressions before the range, session context reads one start per session that goes on. The
+    newest rows are chosen once and stored, and their oldest time bounds what else is read.
+    ``direct`` is a kept table of the masks of events that name their impression. Labels and context are
     computed on the few columns they need and meet the wide rows in one shuffle by impression id;
     the remaining joins bring in the item, affinity and position tables.
     """
@@ -55,13 +59,16 @@ def build_dataset(
     chosen = between(impressions, start, end).where(
         "scroll_id is not null or product_id is not null")
     if limit is not None:
-        chosen = newest(chosen, limit)
+        set_checkpoint_dir(chosen.sparkSession)
+        chosen = newest_rows(chosen, limit).checkpoint()
+        oldest = chosen.agg({"created_at": "min"}).head()[0]
+        start = oldest and oldest.astimezone(timezone.utc)
     base = resolve_items(chosen)
     hot = hot_keys(base, hot_support)
 
     users = hot.get("user_id")
     masks = label_masks(
-        base, tables["scroll_interactions"], hot_users=users, start=start, end=end)
+        base, tables["scroll_interactions"], direct, hot_users=users, start=start, end=end)
     context = session_context(between(impressions, None, end), hot_users=users, since=start)
     rows = with_session_context(with_labels(base, masks), context)
     rows = join_items(

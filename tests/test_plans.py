@@ -7,9 +7,10 @@ from conftest import T0
 from pyspark.sql import functions as F
 
 from feedloom.contracts import EVENT_LABELS
-from feedloom.operators.attribution import label_masks, with_labels
+from feedloom.operators.attribution import label_masks, thinned, with_labels
 from feedloom.operators.items import resolve_items
-from feedloom.operators.session import slot_points
+from feedloom.operators.session import session_context, slot_points
+from feedloom.operators.skew import frequent_values
 from feedloom.plans.dataset import build_dataset
 from feedloom.sources.tables import from_parquet
 
@@ -85,6 +86,62 @@ def test_time_range_equals_a_cut_of_the_whole(stored):
     assert some.exceptAll(cut).count() == 0
 
 
+def test_history_before_a_range_is_not_cut_into_slots(stored, no_broadcast):
+    """Rows before the range, less the look-back, meet no exchange by slot."""
+    since = T0 + timedelta(hours=6)
+    plan = plan_of(session_context(stored["scroll_impressions"], since=since))
+    scans = re.findall(r"PushedFilters: \[([^\n]*)\]", plan)
+    whole = [p for p in scans if "GreaterThanOrEqual(created_at" not in p]
+    # The one scan of the history groups by user and session alone.
+    assert len(whole) == 1 and "LessThan(created_at" in whole[0]
+    arguments = re.findall(r"Arguments: hashpartitioning\(([^)]*)\)", plan)
+    assert sum(a.startswith("user_id, session_id, ") and "width" not in a and "slot" not in a
+               for a in arguments) >= 2
+
+
+def test_newest_rows_bound_what_is_read(stored):
+    some = build_dataset(stored, limit=150)
+    plan = plan_of(some)
+    pushed = re.findall(r"PushedFilters: \[([^\n]*)\]", plan)
+    assert sum("GreaterThanOrEqual(created_at" in p for p in pushed) >= 2
+    newest = build_dataset(stored).orderBy(F.desc("impressed_at"), F.desc(F.col("impression_id").cast("long"))).limit(150)
+    assert some.count() == 150 and some.exceptAll(newest).count() == 0
+
+
+@pytest.mark.parametrize("hot_users", [[1], [1, 2, 3], list(range(40))])
+def test_labels_of_hot_users_are_the_same(stored, hot_users):
+    base = resolve_items(stored["scroll_impressions"])
+    acted = stored["scroll_interactions"].withColumn(
+        "created_at", F.expr("created_at + make_interval(0, 0, 0, 0, 0, id % 7, id % 61)"))
+    for horizon in (1, 60):
+        plain = with_labels(base, label_masks(base, acted, horizon_minutes=horizon))
+        split = with_labels(base, label_masks(base, acted, horizon_minutes=horizon, hot_users=hot_users))
+        assert split.exceptAll(plain).count() == 0 and split.count() == plain.count()
+
+
+def test_a_hot_key_in_one_slot_spreads(spark, tables):
+    """A third of both logs is one user, item and session within a quarter of an hour."""
+    shown, acted = tables()["scroll_impressions"], tables()["scroll_interactions"]
+    def log(df, n, values):
+        return spark.range(n).selectExpr(*[
+            f"cast({values.get(c, 'null')} as {df.schema[c].dataType.simpleString()}) as {c}" for c in df.columns])
+    values = {
+        "id": "id", "user_id": "if(id % 3 = 0, 1, 100 + id % 500)", "scroll_id": "if(id % 3 = 0, 7, id % 50)",
+        "session_id": "if(id % 3 = 0, 'bot', null)", "event_type": "1 + id % 15",
+        "created_at": "timestamp_micros(1709294400000000 + (id * 7919 % 900) * 1000000)"}
+    base = resolve_items(log(shown, 9000, values))
+    events = log(acted, 9000, values)
+    hot = frequent_values(base, ["user_id"])["user_id"]
+    assert 1 in hot
+    kept = thinned(events.selectExpr("*", "unix_micros(created_at) as us").select(
+        "user_id", "session_id", "scroll_id", "product_id", "event_type", "us"), [1])
+    # 15 minutes, twelve kinds or so, two ends: whatever the number of events.
+    assert kept.where("user_id = 1").count() <= 16 * 15 * 2
+    got = with_labels(base, label_masks(base, events, hot_users=hot))
+    plain = with_labels(base, label_masks(base, events))
+    assert got.exceptAll(plain).count() == 0 and got.count() == 9000
+
+
 def test_hot_user_makes_small_groups(stored):
     """24 hours of log: a third of the rows is one user in one session."""
     shown = stored["scroll_impressions"]

@@ -16,6 +16,7 @@ from feedloom.operators.affinity import (
 from feedloom.operators.frames import conform
 from feedloom.operators.ranking import rank_scores
 from feedloom.operators.session import session_context, with_session_context
+from feedloom.operators.skew import frequent_values
 from feedloom.plans import scoring, training
 from feedloom.plans.dataset import build_dataset, hot_keys, labelled_impressions
 from feedloom.plans.evaluation import shadow_report
@@ -107,14 +108,14 @@ def composite_click(spark, sf):
 def session(spark, sf):
     impressions = load(spark, sf)["scroll_impressions"]
     ids = impressions.selectExpr("id as impression_id")
-    return rounded(with_session_context(ids, session_context(impressions)))
+    hot = frequent_values(impressions, ["user_id"])["user_id"]
+    return rounded(with_session_context(ids, session_context(impressions, hot_users=hot)))
 
 
 def newest_impressions(spark, sf):
     shown = load(spark, sf)["scroll_impressions"].where(
         "scroll_id is not null or product_id is not null")
-    rows = newest.newest(shown, 1000)
-    return newest.newest_first(rows, "created_at", "id").select("id", "created_us", "user_id")
+    return newest.newest(shown, 1000).select("id", "created_us", "user_id")
 
 
 def training_frame(spark, sf):
