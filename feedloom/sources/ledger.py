@@ -44,9 +44,18 @@ def read(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.schema(LEDGER_SCHEMA).parquet(path)
 
 
-def newest_entry(entries: DataFrame) -> Row | None:
+def newest_of(entries: DataFrame) -> DataFrame:
+    """The entry recorded last; no row if there is none."""
     latest = entries.agg(F.max_by(F.struct(*entries.columns), "recorded_at").alias("entry"))
-    return latest.head()["entry"]
+    return latest.where("entry is not null").select("entry.*")
+
+
+def promoted(entries: DataFrame) -> DataFrame:
+    return entries.where("state = 'completed' and promoted")
+
+
+def newest_entry(entries: DataFrame) -> Row | None:
+    return newest_of(entries).head()
 
 
 def latest(spark: SparkSession, path: str) -> Row | None:
@@ -56,7 +65,7 @@ def latest(spark: SparkSession, path: str) -> Row | None:
 
 def active(spark: SparkSession, path: str) -> Row | None:
     """The most recently promoted run; its model paths are the active ones."""
-    return newest_entry(read(spark, path).where("state = 'completed' and promoted"))
+    return newest_entry(promoted(read(spark, path)))
 
 
 def completed_runs(spark: SparkSession, path: str) -> DataFrame:

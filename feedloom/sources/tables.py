@@ -71,18 +71,32 @@ def missing_columns(tables: dict[str, DataFrame]) -> dict[str, list[str]]:
     return {name: columns for name, columns in gaps.items() if columns}
 
 
+def key_counts(table: DataFrame, keys: list[str]) -> DataFrame:
+    """Rows per key. Null keys match nothing and may repeat."""
+    return table.dropna(subset=keys).groupBy(*keys).count()
+
+
 def repeated_keys(tables: dict[str, DataFrame]) -> dict[str, dict]:
-    """One key that occurs twice, per table that has such. Null keys match nothing and may repeat."""
+    """One key that occurs twice, per table that has such."""
     found = {}
     for name, keys in TABLE_KEYS.items():
         if name in tables:
-            counted = tables[name].dropna(subset=keys).groupBy(*keys).count()
-            rows = counted.where("count > 1").take(1)
+            rows = key_counts(tables[name], keys).where("count > 1").take(1)
             if rows:
                 found[name] = {k: rows[0][k] for k in keys}
     return found
 
 
+def repeated_key_counts(tables: dict[str, DataFrame]) -> DataFrame:
+    """Per table its distinct keys, and how many of them occur more than once."""
+    out = None
+    for name, keys in TABLE_KEYS.items():
+        rows = key_counts(tables[name], keys).selectExpr(
+            f"'{name}' as table_name", "count(*) as keys", "count_if(count > 1) as repeated")
+        out = rows if out is None else out.unionByName(rows)
+    return out
+
+
 def path_exists(spark: SparkSession, path: str) -> bool:
     """Whether Parquet data can be read at ``path``, on any file system Spark knows."""
     try:

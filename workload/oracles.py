@@ -144,6 +144,12 @@ parted as (
       count(*) over (partition by is_click) as n
     from (select id, is_click, ('0x' || substr(md5('42|' || id), 1, 8))::bigint as hash from lab) h) r)"""
 
+UNIQUE = {
+    "scroll_impressions": ["id"], "scrolls": ["id"], "products": ["id"], "scroll_stats": ["scroll_id"],
+    "item_global_stats": ["item_id", "item_type"], "user_category_affinity": ["user_id", "category_id"],
+    "user_creator_affinity": ["user_id", "creator_id"], "position_bias_baseline": ["position_index"],
+}
+
 SUMMARY_COLUMNS = """
   cast(sum(is_click) as bigint) as click_positives,
   cast(sum(is_purchase) as bigint) as purchase_positives,
@@ -385,10 +391,34 @@ ORACLES = {
     "batch_probability": query(
         """select count(*) as rows, count(distinct id) as impressions, cast(0 as bigint) as bad_engagement,
           cast(0 as bigint) as bad_commerce, cast(0 as bigint) as rank_differs from lab""", BASE, LABELS),
-    "feature_importance": """
-        select task, cast(24 as bigint) as features, cast(1 as double) as total,
-          cast(0 as bigint) as negative, (select count(*) from events) as trained_rows, true as above_floor
-        from (values ('engagement'), ('commerce')) t(task)""",
+    "feature_importance": query(
+        """select task, target, true as used_fallback_dataset, row_count, positive_count,
+          row_count - positive_count as negative_count, cast(24 as bigint) as features,
+          cast(1 as double) as total, cast(0 as bigint) as negative, true as above_floor
+        from (
+          select 'engagement' as task, 'is_click' as target, count(*) as row_count,
+            count(case when clicked then 1 end) as positive_count from rules
+          union all
+          select 'commerce', 'is_purchase', count(*), count(case when clicked and buys > 0.7 then 1 end)
+          from rules) t""", DRAWN, """
+rules as (
+  select buys, 0.4 * user_category_score + 0.3 * video_quality + 0.2 * has_products - 0.05 * position_index
+    + 2 * expected_ctr_at_position - 0.1 * session_velocity + 0.1 * noise > 1.5 as clicked from drawn)"""),
+    "run_ledger": query(
+        """select 'latest' as kind, max_by(run_id, recorded) as run_id, max_by(state, recorded) as state from runs
+        union all
+        select 'active', max_by(run_id, recorded), max_by(state, recorded) from runs
+        where promoted and state = 'completed'""", """
+runs as (
+  select concat(recommendation_run_id, '-',
+      cast(cast(floor(created_us / cast(3600000000 as double)) as bigint) as varchar)) as run_id,
+    max(created_us * 100 + id % 100) as recorded,
+    case when count(*) % 4 = 0 then 'failed' else 'completed' end as state, count(*) % 3 = 0 as promoted
+  from scroll_impressions group by 1)"""),
+    "key_uniqueness": query(" union all ".join(
+        f"select '{name}' as table_name, count(*) as keys, count(case when n > 1 then 1 end) as repeated "
+        f"from (select count(*) as n from {name} where {' and '.join(f'{k} is not null' for k in keys)} "
+        f"group by {', '.join(keys)}) t" for name, keys in UNIQUE.items())),
     "bootstrap": query(
         f"""select sample_id, position_index, {rounded('user_category_score', 'video_quality')},
           has_products, hour_of_day, {rounded('completion_rate', 'expected_ctr_at_position')},

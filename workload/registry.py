@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -20,6 +22,8 @@ from feedloom.operators.skew import frequent_values
 from feedloom.plans import scoring, training
 from feedloom.plans.dataset import build_dataset, hot_keys, labelled_impressions
 from feedloom.plans.evaluation import shadow_report
+from feedloom.sources import ledger
+from feedloom.sources import tables as tables_source
 from feedloom.sources.bootstrap import bootstrap_rows
 from workload.views import load
 
@@ -222,24 +226,44 @@ def batch_probability(spark, sf):
 
 
 def feature_importance(spark, sf):
-    """Both tasks, trained in full on rows with a known click rule: one for each event."""
+    """Both tasks, trained in full by the job's own path on rows with a known click rule, one for
+    each event; the first dataset asked for is missing. Returned is the metadata that is kept of a
+    run and what holds of its importances whatever the trees are."""
     training.set_checkpoint_dir(spark)
+    folder = f"{spark.sparkContext.getCheckpointDir()}/training-{uuid.uuid4().hex}"
     ids = spark.read.parquet(f"{sf}/events.parquet").selectExpr("event_id as sample_id")
-    rows = bootstrap_rows(ids).checkpoint()
+    bootstrap_rows(ids).write.parquet(f"{folder}/rows")
     out = None
-    for task, name in ((training.ENGAGEMENT, "is_click"), (training.COMMERCE, "is_purchase")):
-        model, tested = training.fit(task, rows, name)
-        quality = evaluation.auc(tested.select("_label", "score").checkpoint(), "_label", ["score"])
-        facts = training.feature_importance(model).selectExpr(
+    for task in (training.ENGAGEMENT, training.COMMERCE):
+        model, facts = training.train(
+            spark, task, [f"{folder}/missing", f"{folder}/rows"], f"{folder}/{task.name}")
+        rows = training.feature_importance(model).selectExpr(
             "count(*) as features", "round(sum(importance), 9) as total",
             "count_if(importance < 0) as negative")
-        facts = facts.withColumns({
-            "task": F.lit(task.name), "trained_rows": F.lit(rows.count()),
-            "above_floor": F.lit(bool(quality.head()["auc"] > 0.8))})
-        out = facts if out is None else out.unionByName(facts)
+        names = ("task", "target", "used_fallback_dataset", "row_count", "positive_count", "negative_count")
+        rows = rows.withColumns({name: F.lit(facts[name]) for name in names}).withColumn(
+            "above_floor", F.lit(facts["auc_roc"] > 0.8))
+        out = rows if out is None else out.unionByName(rows)
     return out
 
 
+def run_ledger(spark, sf):
+    """The newest and the active one of runs that the impressions name, one entry per hour."""
+    hour = f"cast({floor_to('created_us', HOUR)} / {HOUR} as bigint)"
+    entries = load(spark, sf)["scroll_impressions"].groupBy(F.expr(
+        f"concat(recommendation_run_id, '-', cast({hour} as string))").alias("run_id")).agg(
+        F.expr("timestamp_micros(max(created_us * 100 + id % 100))").alias("recorded_at"),
+        F.expr("if(count(*) % 4 = 0, 'failed', 'completed')").alias("state"),
+        F.expr("count(*) % 3 = 0").alias("promoted"))
+    return ledger.newest_of(entries).selectExpr("'latest' as kind", "run_id", "state").unionByName(
+        ledger.newest_of(ledger.promoted(entries)).selectExpr("'active' as kind", "run_id", "state"))
+
+
+def key_uniqueness(spark, sf):
+    """Keys of each input table that occur more than once."""
+    return tables_source.repeated_key_counts(load(spark, sf))
+
+
 def scroll_stats(spark, sf):
     tables = load(spark, sf)
     return stats.scroll_stats(tables["scroll_impressions"], tables["scroll_interactions"])
@@ -291,6 +315,8 @@ QUERIES = {
     "bootstrap": bootstrap,
     "batch_probability": batch_probability,
     "feature_importance": feature_importance,
+    "run_ledger": run_ledger,
+    "key_uniqueness": key_uniqueness,
     "scroll_stats_from_logs": scroll_stats,
     "product_stats_from_logs": product_stats,
     "position_baseline_from_logs": lambda spark, sf: rounded(
