@@ -109,6 +109,14 @@ def range_of(key: Column, starts: list[int]) -> Column:
     return coarse * stride + F.greatest(below(fine) - 1, F.lit(0))
 
 
+def broadcast_if_light(df: DataFrame, weight: str, most: int) -> DataFrame:
+    """``df`` with a broadcast hint if the sum of the expression ``weight`` over its rows, which
+    should follow its size in memory, is at most ``most``. For rows of unbounded width, where a
+    count of rows bounds nothing."""
+    total = df.selectExpr(f"sum({weight})").head()[0] or 0
+    return F.broadcast(df) if total <= most else df
+
+
 def stored(df: DataFrame) -> DataFrame:
     """``df`` computed once and kept in the checkpoint folder, which all executors share, so that
     a lost executor costs no recomputation. The folder is the one the cluster names in

@@ -15,11 +15,13 @@ import math
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from feedloom.llm.common import hidden, pinned, restored, shingle_hashes, stored, word_array
+from feedloom.llm.common import broadcast_if_light, hidden, pinned, restored, shingle_hashes, stored, word_array
 from feedloom.operators.skew import broadcast_if_small
 
 #: Rows of hashes or candidates that may be broadcast; beyond that they are joined by shuffle.
 BROADCAST_ROWS = 200_000
+#: Shingles of all items that may be broadcast as text, each item counting for 40 at least.
+BROADCAST_SHINGLES = 400_000
 
 
 def signature_rows(df: DataFrame, text: Column, words: int, keep: list[str]) -> DataFrame:
@@ -72,7 +74,7 @@ def find_contained(
     pairs = docs.join(broadcast_if_small(found, BROADCAST_ROWS)[0], "_key")
     named = pinned(items, _words=word_array(F.lower("item"))).select(
         "item_id", "_item_key", shingle_texts("_words", words).alias("wanted"))
-    pairs = pairs.join(broadcast_if_small(named, BROADCAST_ROWS // 20)[0], "_item_key")
+    pairs = pairs.join(broadcast_if_light(named, "40 + size(wanted)", BROADCAST_SHINGLES), "_item_key")
     pairs = pinned(pairs, _words=word_array(F.lower("text")))
     pairs = pinned(pairs, shared=F.size(F.array_intersect(
         shingle_texts("_words", words), "wanted")).cast("bigint"))

@@ -18,8 +18,7 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from feedloom.llm.common import hidden, or_empty, restored, set_checkpoint_dir, stored
-from feedloom.operators.skew import broadcast_if_small
+from feedloom.llm.common import broadcast_if_light, hidden, or_empty, restored, set_checkpoint_dir, stored
 
 KINDS = ("email", "ip", "card", "phone")
 LOCAL, LABEL = "[A-Za-z0-9._%+-]", "[A-Za-z0-9-]"
@@ -56,6 +55,8 @@ GENERATORS = (
 FOR, AGAINST = "mail|phone|tel|call|fax|mobil|card|visa|credit|ip|addr|contact|server|host", \
     "token|key|secret|passw|hash|sha|md5|uuid|version|isbn|order|serial"
 CONTEXT, BLOCK = 24, 256
+#: Added spans of all texts that may be broadcast, each text counting for one at least.
+BROADCAST_SPANS = 200_000
 
 SPAN = "struct<start: int, kind: int, end: int, match: string>"
 FOUND = SPAN[:-1] + ", before: string, after: string>"
@@ -302,7 +303,8 @@ def find_spans(
             probability(model, rows.where("label is null")).where(F.col("chance") >= least)
             .withColumn("_inside", F.coalesce(inside, F.lit(False))).where("not _inside")
             .groupBy("_key").agg(F.collect_list("s").alias("_added")))
-        out = out.join(broadcast_if_small(stored(more), 50_000)[0], "_key", "left")
+        more = broadcast_if_light(stored(more), "1 + size(_added)", BROADCAST_SPANS)
+        out = out.join(more, "_key", "left")
         added = F.coalesce("_added", added)
     return restored(out, names, F.col("_base").alias("base_spans"),
                     F.array_sort(F.concat("_base", added)).alias("spans"))

@@ -44,6 +44,7 @@ def tables(spark, docs, corpus):
 @pytest.mark.parametrize("limit", [decontamination.BROADCAST_ROWS, 0])
 def test_all_contained_items_are_found(spark, docs, corpus, monkeypatch, limit):
     monkeypatch.setattr(decontamination, "BROADCAST_ROWS", limit)
+    monkeypatch.setattr(decontamination, "BROADCAST_SHINGLES", limit)
     got = find_contained(*tables(spark, docs, corpus)).collect()
     assert sorted((str(r.doc_id), str(r.item_id), r.shared, r.item_shingles) for r in got) == brute(*corpus)
 
