@@ -29,9 +29,10 @@ def signature_rows(df: DataFrame, text: Column, words: int, keep: list[str]) ->
     least number of bits at which it stands for its bin."""
     df = df.select(*keep, word_array(F.lower(text)).alias("_w"))
     df = df.select(*keep, F.sort_array(F.array_distinct(shingle_hashes("_w", words))).alias("_h"))
+    all_but_last = F.slice("_h", F.lit(1), F.greatest(F.size("_h") - 1, F.lit(0)))
+    before = F.concat(F.array(F.lit(None).cast("bigint")), all_but_last)
     df = df.select(*keep, F.size("_h").alias("total"), F.inline_outer(F.arrays_zip(
-        F.col("_h").alias("hash"),
-        F.concat(F.array(F.lit(None).cast("bigint")), F.slice("_h", F.lit(1), F.greatest(F.size("_h") - 1, F.lit(0)))).alias("before"))))
+        F.col("_h").alias("hash"), before.alias("before"))))
     differ = F.col("hash").bitwiseXOR(F.col("before"))
     bits = F.when(differ.isNull(), 0).when(differ < 0, 1).otherwise(65 - F.length(F.bin(differ)))
     return df.where("hash is not null").select(*keep, "total", "hash", bits.alias("bits"))
