@@ -95,8 +95,8 @@ def nearby_masks(
     many tasks. Events also go to the earlier slot whose impressions may still reach them.
     ``hot_users`` get shorter slots; of their events only the first and the last of each kind and
     minute are kept, which tell the same for a horizon of whole minutes, so their impressions can be
-    spread over HOT_SALTS groups of a slot with these few events repeated in each. If the impressions lie in [start, end), events out of their
-    reach are not read.
+    spread over HOT_SALTS groups of a slot with these few events repeated in each. If the impressions
+    lie in [start, end), events out of their reach are not read.
     """
     wide, horizon = slot_minutes * MINUTE, horizon_minutes * MINUTE
     hot_users = list(hot_users or [])
