@@ -68,8 +68,8 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All stages over documents. Each result is written as Parquet next to the checkpoints, which
-    all executors can reach, and read again."""
+    """All stages over documents. Each result is written as Parquet into a new folder next to the
+    checkpoints, which all executors can reach, and read again; the folder is the caller's to keep."""
     folder = shared_folder(spark)
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     for name, stage in STAGES:
