@@ -134,7 +134,7 @@ def set_checkpoint_dir(spark: SparkSession) -> None:
 
 def ship(spark: SparkSession) -> None:
     """Send the package's code to the Python workers, once per application, for sessions that were
-    started without it."""
+    started without it. The archive of it lies with the driver; Spark copies it to the workers."""
     _ship(spark.sparkContext)
 
 
