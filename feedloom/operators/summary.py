@@ -54,6 +54,7 @@ def dataset_rates(df: DataFrame) -> DataFrame:
 def dataset_summary(df: DataFrame, by: list[str] | None = None) -> DataFrame:
     """Rows, positives per label and two rates (0 if empty), over all or per group."""
     intent, click = commerce_intent(df), binary(df, "is_click")
+    # The names of the record's fields.
     counts = {
         "rows": F.count("*"),
         "click_positives": positives(click),

@@ -128,6 +128,7 @@ def train(
     # Stored once, so that the two passes of the metric do not score the rows twice.
     quality = auc(scored.select("_label", "score").checkpoint(), "_label", ["score"]).head()
     model.write().overwrite().save(model_path)
+    # The names of the metadata's fields.
     return model, {
         "task": task.name,
         "dataset_path": path,

@@ -13,6 +13,7 @@ from feedloom.contracts import (
     SCORE_COLUMNS,
 )
 from feedloom.operators import frames
+from feedloom.operators.affinity import join_position_bias
 from feedloom.operators.newest import expired_runs, newest
 from feedloom.operators.skew import broadcast_if_small, frequent_values, spread_left_join
 from feedloom.plans.dataset import build_dataset
@@ -23,6 +24,17 @@ def built(tables, hot_support=None, **options):
             build_dataset(tables, hot_support=hot_support, **options).collect()}
 
 
+def test_position_baseline_too_large_to_broadcast(table):
+    """The salted join gives what the broadcast gives, with one position in a third of the rows, some
+    unknown and some missing."""
+    base = table("scroll_impressions", *[
+        {"id": i, "position_index": 1 if i % 3 == 0 else None if i % 7 == 0 else i % 40} for i in range(600)]
+    ).withColumnRenamed("id", "impression_id")
+    known = table("position_bias_baseline", *[{"position_index": i, "expected_ctr": i / 100} for i in range(20)])
+    small, large = join_position_bias(base, known), join_position_bias(base, known, max_rows=0)
+    assert large.count() == 600 and large.select(small.columns).exceptAll(small).count() == 0
+
+
 def test_contract():
     assert len(DATASET_COLUMNS) == 53
     assert (len(FEATURE_COLUMNS), len(SCORE_COLUMNS), len(LABEL_COLUMNS)) == (24, 3, 13)
