@@ -64,14 +64,18 @@ FOUND = SPAN[:-1] + ", before: string, after: string>"
 
 @dataclass(frozen=True)
 class Settings:
-    """``max_rows`` labelled proposals at most train and calibrate, those that hash lowest; a kind
-    gets the lowest threshold at which ``precision`` of the held-out proposals are positive."""
+    """About ``max_rows`` labelled proposals at most train, dealt evenly over the kinds and labels;
+    all others calibrate. A kind gets the lowest threshold at which ``precision`` of the held-out
+    proposals are positive. Where the whole table has too few to prove any (16 at 0.98, all of them
+    right), it gets ``unproven``, provided that none of them is wrong there and one of its kind was
+    learnt from."""
 
     max_rows: int = 20_000
     trees: int = 20
     depth: int = 4
     precision: float = 0.98
     thresholds: tuple[float, ...] = (0.5, 0.6, 0.7, 0.8, 0.9, 0.95)
+    unproven: float = 0.95
 
 
 def with_matches(df: DataFrame, text: str, name: str, kind: int, pattern: str, test: str) -> DataFrame:
@@ -247,31 +251,81 @@ def probability(model: GBTClassificationModel, rows: DataFrame) -> DataFrame:
     return scored.withColumn("chance", vector_to_array("probability")[1])
 
 
+def quotas(counts: dict, most: int) -> dict:
+    """How many of each group's ``counts`` to take, ``most`` in all at most: small groups whole,
+    the others alike."""
+    out, left = {}, most
+    for i, (group, n) in enumerate(sorted(counts.items(), key=lambda x: (x[1], x[0]))):
+        out[group] = min(n, left // (len(counts) - i))
+        left -= out[group]
+    return out
+
+
+def calibrated(counts: dict, weights: dict, learnt: set, settings: Settings) -> dict[int, float]:
+    """The threshold of each kind that has one. ``counts`` holds per kind and threshold the held-out
+    positives and negatives that reach it, ``weights`` how many rows a negative and a positive stand
+    for, ``learnt`` the kinds with a positive to learn from."""
+    chosen = {}
+    for kind in learnt:
+        of_kind = counts.get(kind, {})
+        unit = max(weights[kind])
+        for t in settings.thresholds:
+            hits, wrong = of_kind.get(t, (0, 0))
+            hits, wrong = hits * weights[kind][1] / unit, wrong * weights[kind][0] / unit
+            # A third of a case on either side, so that few cases prove little.
+            if (hits + 1 / 3) / (hits + wrong + 2 / 3) >= settings.precision:
+                chosen[kind] = t
+                break
+        else:
+            hits, wrong = of_kind.get(settings.unproven, (0, 0))
+            # Too few to prove any threshold, and none of them is wrong.
+            if not wrong and (hits + 1 / 3) / (hits + 2 / 3) < settings.precision:
+                chosen[kind] = settings.unproven
+    return chosen
+
+
 def judge(rows: DataFrame, settings: Settings) -> tuple[GBTClassificationModel | None, dict[int, float]]:
-    """Trees learnt from labelled proposals, and the threshold of each kind that has one."""
-    sample = stored(
-        rows.where("label is not null").withColumn("_draw", F.xxhash64("_key", "s"))
-        .orderBy("_draw", "_key", "s").limit(settings.max_rows))
-    trains = F.pmod(F.col("_draw"), F.lit(4)) > 0
-    classes = {r[0] for r in sample.where(trains).select("label").distinct().collect()}
-    if len(classes) < 2:
+    """Trees learnt from labelled proposals, and the threshold of each kind that has one.
+
+    A quarter of the labelled proposals never trains. Of the others each kind and label trains with
+    its quota, so that rare ones keep theirs. All that do not train calibrate, in one aggregate;
+    there a row stands for as many as its kind and label lost to the training."""
+    kind, draw = F.col("s.kind"), F.col("_draw")
+    labelled = rows.where("label is not null").withColumn("_draw", F.xxhash64("_key", "s"))
+    may_train = F.pmod(draw, F.lit(4)) > 0
+    numbers = {(r[0], r[1]): r[2:] for r in labelled.groupBy(kind.alias("kind"), "label").agg(
+        F.count("*"), F.count_if(may_train)).collect()}
+    trainable = {group: n[1] for group, n in numbers.items() if n[1]}
+    if len({label for _, label in trainable}) < 2:
+        return None, {}
+    part = {group: n / trainable[group] for group, n in quotas(trainable, settings.max_rows).items()}
+    place = draw / F.lit(float(1 << 64)) + 0.5
+    limit = F.lit(0.0)
+    for (k, label), share in part.items():
+        limit = F.when((kind == k) & (F.col("label") == label), F.lit(
+            2.0 if share >= 1 else share)).otherwise(limit)
+    trains = may_train & (place < limit)
+    sample = stored(labelled.where(trains))
+    taken = {(r[0], r[1]): r[2] for r in sample.groupBy(
+        kind.alias("kind"), "label").agg(F.count("*")).collect()}
+    if len({label for _, label in taken}) < 2:
         return None, {}
     model = GBTClassifier(
         featuresCol="features", labelCol="label", maxIter=settings.trees, maxDepth=settings.depth,
-        stepSize=0.3, seed=4).fit(assembled(sample.where(trains)))
-    tested = probability(model, sample.where(~trains)).groupBy(F.col("s.kind").alias("kind"))
-    counts = [c for t in settings.thresholds for c in (
-        F.sum(((F.col("chance") >= t) & (F.col("label") == 1)).cast("int")).alias(f"hit_{t}"),
-        F.sum((F.col("chance") >= t).cast("int")).alias(f"all_{t}"))]
-    chosen = {}
-    for row in tested.agg(*counts).collect():
-        for i, t in enumerate(settings.thresholds):
-            hits, all_ = row[1 + 2 * i], row[2 + 2 * i]
-            # A third of a case on either side, so that few cases prove little.
-            if (hits + 1 / 3) / (all_ + 2 / 3) >= settings.precision:
-                chosen[row["kind"]] = t
-                break
-    return model, chosen
+        stepSize=0.3, seed=4).fit(assembled(sample))
+    levels = sorted({*settings.thresholds, settings.unproven})
+    found = probability(model, labelled.where(~trains)).groupBy(kind.alias("kind")).agg(*[
+        F.count_if((F.col("chance") >= t) & (F.col("label") == label))
+        for t in levels for label in (1, 0)]).collect()
+    counts = {r[0]: {t: (r[1 + 2 * i], r[2 + 2 * i]) for i, t in enumerate(levels)} for r in found}
+
+    def weight(group: tuple[int, int]) -> float:
+        n, held = numbers.get(group, (0, 0))[0], numbers.get(group, (0, 0))[0] - taken.get(group, 0)
+        return n / held if held else 1.0
+
+    learnt = {k for k, label in taken if label == 1}
+    weights = {k: (weight((k, 0)), weight((k, 1))) for k in learnt}
+    return model, calibrated(counts, weights, learnt, settings)
 
 
 def find_spans(

@@ -72,6 +72,36 @@ def test_trees_add_cards_that_stand_next_to_each_other(docs, rows):
     assert extra <= 3
 
 
+def test_rare_kinds_are_learnt_and_calibrated_beside_a_common_one(docs, prose):
+    """Cards that are a few thousandths of the labelled proposals, and 40 more in a table of IPs."""
+    rng = random.Random(8)
+    logs = [(i, " ".join(f"10.{rng.randrange(300)}.{rng.randrange(256)}.{rng.randrange(256)}"
+                         for _ in range(2000)), "log") for i in range(20)]
+    for few in (40, 150):
+        single = [(1000 + i, f"{prose(i, 8)} is {card(rng)} word", "s") for i in range(few)]
+        single += [(4000 + i, f"{prose(i, 8)} is {16 * str(1 + i % 3)[:1]} word", "s") for i in range(few)]
+        pairs = [(9000 + i, f"first {card(rng)} {card(rng)} last", "s") for i in range(20)]
+        got = {r.doc_id: r for r in pii.find_spans(
+            docs(logs + single + pairs), settings=pii.Settings(max_rows=2000)).collect()}
+        for i, text, _ in pairs:
+            assert {s["match"] for s in got[i].spans} >= set(re.findall("[0-9]{16}", text))
+
+
+def test_quotas_keep_small_groups_whole():
+    assert pii.quotas({"a": 10, "b": 5000, "c": 9000}, 1010) == {"a": 10, "b": 500, "c": 500}
+    assert pii.quotas({"a": 3, "b": 4}, 20_000) == {"a": 3, "b": 4}
+
+
+def test_a_kind_too_rare_to_be_proven_gets_the_documented_threshold():
+    few, bad = {0.5: (5, 1), 0.95: (4, 0)}, {0.5: (5, 1), 0.95: (4, 1)}
+    one = {k: (1.0, 1.0) for k in range(3)}
+    settings = pii.Settings(thresholds=(0.5, 0.95))
+    assert pii.calibrated({0: few, 1: bad, 2: {0.5: (400, 1), 0.95: (300, 0)}}, one, {0, 1, 2}, settings) == {
+        0: 0.95, 2: 0.5}
+    assert pii.calibrated({}, one, {0}, settings) == {0: 0.95} and pii.calibrated({0: few}, one, set(), settings) == {}
+    assert pii.calibrated({0: {0.5: (100, 4), 0.95: (60, 4)}}, {0: (1.0, 4.0)}, {0}, settings) == {0: 0.5}
+
+
 def test_texts_without_examples_get_no_added_spans(docs):
     df = docs([(1, "call +1 (201) 555-0100 now", "a"), (2, "nothing", "a")])
     out = pii.find_spans(df)
