@@ -3,7 +3,9 @@
 Documents are partitioned by their number of shingles (powers of two). A MinHash signature has one
 bin per prefix of the hash, and the least hash of a bin stands for it. Containment t of an item of q
 shingles in a document of up to u means a Jaccard likeness of at least t q / (u + (1 - t) q), and
-each partition takes as many bins for an item as find that likeness with the wanted certainty. Bins
+each partition takes as many bins for an item as find that likeness with the wanted certainty. An
+item of few shingles can meet only in those, and each may be hidden by a smaller hash of its bin, so
+it takes as many bins as that calls for. Bins
 are nested, so one pass over a document's sorted hashes gives the signatures of all sizes: a hash
 stands for its bin of b bits if it differs from the hash before it within the first b bits.
 """
@@ -38,12 +40,39 @@ def signature_rows(df: DataFrame, text: Column, words: int, keep: list[str]) ->
     return df.where("hash is not null").select(*keep, "total", "hash", bits.alias("bits"))
 
 
-def bins(total: Column, item_total: Column, least: float, miss: float) -> Column:
-    """Bits of the signature that a document partition uses for an item: documents of ``total``
-    shingles are taken as large as their partition gets."""
-    upper = F.pow(F.lit(2.0), F.floor(F.log2(total.cast("double"))) + 1)
-    inverse = (upper + item_total * (1 - least)) / (item_total * least)
-    return F.ceil(F.log2(inverse * -math.log(miss)))
+def load(total: Column, least: float, miss: float) -> Column:
+    """Hashes per bin at which an item of ``total`` shingles is missed with the chance ``miss``.
+
+    At a load of x a shared shingle is hidden by a smaller hash of its bin with the chance
+    1 - (1 - exp(-x)) / x, and an item has ``ceil(least * total)`` shared shingles at least. Both
+    first guesses lie below the root, and each step goes nearer to it from there.
+    """
+    shared = F.ceil(total * least - 1e-9)
+    hidden_ = F.pow(F.lit(miss), 1 / shared)
+    low = F.greatest(2 * hidden_, hidden_ / (1 - hidden_))
+    return F.when(hidden_ < 0.1, low).otherwise(F.aggregate(
+        F.sequence(F.lit(1), F.lit(12)), low, lambda x, _: (1 - F.exp(-x)) / (1 - hidden_)))
+
+
+def upper(total: Column) -> Column:
+    """Documents of ``total`` shingles are taken as large as their partition gets."""
+    return F.pow(F.lit(2.0), F.floor(F.log2(total.cast("double"))) + 1)
+
+
+def bins(total: Column, item_total: Column, item_load: Column, least: float, miss: float) -> Column:
+    """Bits of the signature that a document partition uses for an item: as many as both bounds
+    ask for, that of the likeness and that of the few shingles an item has. From 64 bits on the
+    signature is all hashes."""
+    inverse = (upper(total) + item_total * (1 - least)) / (item_total * least)
+    union = upper(total) + item_total * (1 - least)
+    return F.ceil(F.log2(F.greatest(inverse * -math.log(miss), union / item_load)))
+
+
+def most_bins(total: Column, item_total: Column, item_load: Column, least: float, miss: float) -> Column:
+    """At least the bits of any item of ``item_total`` shingles and ``item_load`` or more that the
+    document can contain, which has at most total / least shingles."""
+    inverse = (upper(total) + item_total * (1 - least)) / (item_total * least)
+    return F.ceil(F.log2(F.greatest(inverse * -math.log(miss), upper(total) / least / item_load)))
 
 
 def shingle_texts(words: str, length: int) -> Column:
@@ -91,15 +120,17 @@ def candidates(
 ) -> DataFrame:
     """Distinct (``_key``, ``_item_key``) of a document's and an item's text with a common bin."""
     wanted = stored(signature_rows(
-        items.dropDuplicates(["_item_key"]), F.col("item"), words, ["_item_key"]))
-    smallest = wanted.agg(F.min("total")).head()[0]
+        items.dropDuplicates(["_item_key"]), F.col("item"), words, ["_item_key"]).withColumn(
+            "item_load", load(F.col("total"), least, miss)))
+    smallest, lightest = wanted.agg(F.min("total"), F.min("item_load")).head()
     if smallest is None:
         return docs.sparkSession.createDataFrame([], "_key string, _item_key string")
     wanted = wanted.select("_item_key", "hash", F.col("bits").alias("item_bits"),
-                           F.col("total").alias("item_total"))
+                           F.col("total").alias("item_total"), "item_load")
     rows = signature_rows(docs, F.col("text"), words, ["_key"])
-    rows = rows.where(F.col("bits") <= bins(F.col("total"), F.lit(smallest), least, miss))
-    use = bins(F.col("total"), F.col("item_total"), least, miss)
+    rows = rows.where(F.col("bits") <= most_bins(
+        F.col("total"), F.lit(smallest), F.lit(lightest), least, miss))
+    use = bins(F.col("total"), F.col("item_total"), F.col("item_load"), least, miss)
     return stored(
         rows.join(broadcast_if_small(wanted, BROADCAST_ROWS)[0], "hash")
         .where((F.col("bits") <= use) & (F.col("item_bits") <= use))

@@ -1,4 +1,7 @@
+import math
+
 import pytest
+from pyspark.sql import functions as F
 
 from feedloom.llm import decontamination
 from feedloom.llm.decontamination import decontaminate, find_contained
@@ -65,3 +68,26 @@ def test_empty_sides(spark, docs, corpus):
     assert find_contained(df, items.limit(0)).count() == 0
     assert decontaminate(df, items.limit(0)).count() == df.count()
     assert decontaminate(docs([]), items).count() == 0
+
+
+def test_items_of_few_shingles_are_found_in_thousands_of_documents(spark, docs, prose):
+    """Items of 1 to 5 shingles, each alone in documents of many lengths."""
+    items = [(10 * q + k, prose(7000 + 10 * q + k, 4 + q)) for q in range(1, 6) for k in range(5)]
+    rows = [(i, f"{prose(i, 10 + i % 61)} {items[i % 25][1]} {prose(20_000 + i, 10 + i % 37)}", "a")
+            for i in range(5000)]
+    table = spark.createDataFrame(items, "item_id bigint, text string")
+    wanted, want = {k: shingles(t) for k, t in items}, set()
+    for i, t, _ in rows:
+        own = shingles(t)
+        want |= {(i, k) for k, w in wanted.items() if len(own & w) / len(w) >= 0.8}
+    got = {(r.doc_id, r.item_id) for r in find_contained(docs(rows), table).collect()}
+    assert len(want) >= 5000 and got == want
+
+
+def test_signatures_keep_the_promised_miss(spark):
+    """The load of a bin is the largest at which all shared shingles are hidden at most so often."""
+    loads = {q: x for q, x in spark.range(1, 400).select("id", decontamination.load(F.col("id"), 0.8, 1e-6)).collect()}
+    for q, x in loads.items():
+        chance = (1 - (1 - math.exp(-x)) / x) ** math.ceil(0.8 * q - 1e-9) if x > 1e-4 else x / 2
+        assert 3e-7 < chance <= 1.01e-6
+    assert sorted(loads.values()) == [loads[q] for q in sorted(loads)]
