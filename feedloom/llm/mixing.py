@@ -116,7 +116,7 @@ def mix(
          for i, (s, (size, _)) in enumerate(sorted(totals.items(), key=lambda x: (x[0] is None, x[0])))],
         "_name string, source_no int, source_size bigint, target double, rate double, leaves bigint")
     rows = rows.join(table, F.col("_source").eqNullSafe(F.col("_name"))).drop("_name", "_source")
-    # Rows of one key together expect ``times`` times the rate.
+    # Rows of one key together expect ``times`` times the rate; what is open is one copy of them.
     expected = F.col("times") * F.col("rate")
     whole = F.floor(expected + 1e-9)
     chance = F.greatest(expected - whole, F.lit(0.0))
@@ -124,7 +124,7 @@ def mix(
     open_rows = rows.where("chance > 0 and size > 0").select(
         "source_no", F.pmod(F.xxhash64("_row"), F.col("leaves")).alias("node"),
         F.col("_row").alias("row"), "chance",
-        (F.col("size") * F.col("times")).cast("double").alias("words"), F.lit(None).cast("int").alias("extra"))
+        F.col("size").cast("double").alias("words"), F.lit(None).cast("int").alias("extra"))
     extras = reduced(open_rows, max(leaves.values(), default=1), seed)
     hashed = F.xxhash64("_row", F.lit(seed)) / F.lit(float(1 << 64)) + 0.5
     rows = rows.join(extras, rows["_row"] == extras["row"], "left").withColumn("_total", F.col("whole") + F.when(

@@ -2,6 +2,7 @@ import random
 from collections import Counter, defaultdict
 
 import pytest
+from pyspark.sql import functions as F
 
 from feedloom.llm import mixing
 from feedloom.llm.mixing import mix, mixed_rows, pivot, targets
@@ -95,3 +96,12 @@ def test_odd_and_repeated_rows(docs, odd_rows):
     goal = {r.source: r.target for r in got}["d"]
     assert abs(times[same] * 6 - goal) <= 6 and words == 240
     assert mix(docs([]), weight, 1.5).count() == 0
+
+
+def test_a_large_group_of_repeated_rows_keeps_the_target(docs, prose):
+    df = docs([(9, "ten words that stand in this row for a test", "d")] * 1001
+              + [(100 + i, prose(i, 10), "d") for i in range(3000)])
+    for seed in range(4):
+        got = mix(df, lambda place: 1, 0.7, 2, seed=seed).agg(
+            F.sum(F.col("copies") * F.col("size")), F.first("target")).head()
+        assert abs(got[0] - got[1]) < 10 + 1e-6
