@@ -44,7 +44,6 @@ musulmanes cristianos judíos
 """
 KIND = {term: (line.split(), i) for line in IDENTITY_TERMS.split("\n")
         for i, term in enumerate(line.split())}
-VARIANTS = 2
 WORD = re.compile(r"\w+")
 CACHED_WORDS = 300_000
 
@@ -91,6 +90,16 @@ def swapped(found: list[str], shift: int) -> list[str] | None:
     return out
 
 
+def variants(found: list[str]) -> Iterator[list[str]]:
+    """One variant for every other term of the largest kind named, without those that hold the same
+    words as the text."""
+    own = sorted(found)
+    for shift in range(1, max((len(KIND[w][0]) for w in found if w in KIND), default=0)):
+        variant = swapped(found, shift)
+        if sorted(variant) != own:
+            yield variant
+
+
 class Vectors:
     """Sparse vectors over a list of features: the logarithm of one plus the count."""
 
@@ -166,13 +175,11 @@ def training_rows(names: list[str]):
                 found = words(text)
                 own = vectors.vector(found)
                 out.append((float(label > 0), list(own), list(own.values())))
-                for shift in range(1, VARIANTS + 1):
-                    variant = swapped(found, shift)
-                    if variant is not None:
-                        other = vectors.vector(variant)
-                        change = {i: other.get(i, 0.0) - own.get(i, 0.0) for i in own | other}
-                        change = {i: x for i, x in change.items() if x}
-                        out.append((None, list(change), list(change.values())))
+                for variant in variants(found):
+                    other = vectors.vector(variant)
+                    change = {i: other.get(i, 0.0) - own.get(i, 0.0) for i in own | other}
+                    change = {i: x for i, x in change.items() if x}
+                    out.append((None, list(change), list(change.values())))
             yield pd.DataFrame(out, columns=["label", "ids", "values"])
 
     return run

@@ -1,6 +1,7 @@
 import zlib
 
 import numpy as np
+import pandas as pd
 import pytest
 
 from feedloom.llm import toxicity
@@ -72,6 +73,26 @@ def test_swaps_stay_within_their_kind():
     assert toxicity.swapped(["no", "group"], 1) is None
 
 
+def test_each_other_term_of_a_kind_makes_one_variant():
+    def all_of(text):
+        return [" ".join(v) for v in toxicity.variants(text.split())]
+
+    assert all_of("the women met") == ["the men met"]
+    assert sorted(all_of("a muslim said")) == sorted(
+        f"a {t} said" for t in ("christian", "jewish", "hindu", "buddhist", "atheist"))
+    assert all_of("old women") == ["young men", "elderly women"]
+    assert all_of("women and men") == [] and all_of("no group") == []
+
+
+def test_every_row_of_the_penalty_is_another_text(prose):
+    texts = ["the women met", "a muslim said", "no group"]
+    names = [f for t in texts for w in t.split() for f in toxicity.features(w)] + ["=men"]
+    batch = pd.DataFrame({"text": texts, "label": [0, 1, 0]})
+    rows = pd.concat(toxicity.training_rows(names)(iter([batch])))
+    pairs = rows[rows["label"].isna()]
+    assert len(pairs) == 1 + 5 and all(len(ids) for ids in pairs["ids"])
+
+
 def test_odd_rows_and_missing_labels(spark, docs, odd_rows, labelled):
     none = labels(spark, [])
     df = docs(odd_rows)
