@@ -4,7 +4,11 @@ A sketch keeps every shingle hash below a threshold, a fixed fraction of the has
 sketches hold all their hashes below the lower of their thresholds, so containment can be
 estimated between texts of very unequal length, and the sketch of a union is the union of sketches.
 A text with few hashes below the fixed threshold has a higher one of its own, so that it keeps
-KEPT hashes, or all it has: short texts are compared exactly.
+KEPT hashes, or all it has: two short texts are compared exactly.
+
+A short text against one of more than about SCALE * KEPT shingles is compared by its hashes below
+the fixed threshold alone, about one in SCALE of n shingles. None is there with the chance
+(1 - 1 / SCALE) ** n, 26 % at 10 shingles and 1.4 % at 32, and then nothing is known of the pair.
 """
 
 from __future__ import annotations
@@ -50,7 +54,9 @@ def below(sketch: Column, threshold: Column) -> Column:
 
 def containment(a: Column, b: Column) -> Column:
     """Estimated share of the shingles of a's text that b's text has; 1 for equal sketches, else 0
-    where a has no hash below the common threshold."""
+    where a has no hash below the common threshold. So a short text that is wholly contained in a
+    long one can get 0: with n shingles at a chance of (1 - 1 / SCALE) ** n, and the estimate of
+    others rests on about n / SCALE hashes."""
     common = F.least(a["threshold"], b["threshold"])
     mine = below(a, common)
     share = F.size(F.array_intersect(mine, below(b, common))) / F.size(mine)

@@ -34,6 +34,19 @@ def test_short_texts_are_exact(spark, prose):
     assert tuple(pairs(spark, None, "")) == (1.0, 1.0, 1.0)
 
 
+def test_short_texts_in_long_ones_are_lost_with_the_documented_chance(spark, prose):
+    """Texts of 10 shingles, each wholly in another of 600: (7/8)^10, 26 %, have no common hash."""
+    rows = []
+    for i in range(1000):
+        long = prose(30_000 + i, 604, 10**6)
+        rows.append((" ".join(long.split()[100:114]), long))
+    df = spark.createDataFrame(rows, "a string, b string")
+    df = fp.with_sketch(fp.with_sketch(df, F.col("a"), "x"), F.col("b"), "y")
+    got = [r[0] for r in df.select(fp.containment(F.col("x"), F.col("y"))).collect()]
+    assert set(got) == {0.0, 1.0}
+    assert abs(got.count(0.0) / len(got) - (1 - 1 / fp.SCALE) ** 10) < 0.05
+
+
 def test_containment_between_unequal_texts(spark, prose):
     passage, rest = prose(2, 600, 10**6), prose(3, 20_000, 10**6)
     inside, over, _ = pairs(spark, passage, f"{rest} {passage} {rest[:5000]}")
