@@ -14,7 +14,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from feedloom.llm import chat, decontamination, fingerprints, lines, mixing, pii, sharding, simhash, tokens, toxicity
+from feedloom.llm import bpe, chat, decontamination, fingerprints, lines, mixing, pii, sharding, simhash, tokens, toxicity
 from feedloom.llm.common import ship
 
 
@@ -131,6 +131,15 @@ def op10_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
         "loss_sha256 string, formatted_chars bigint")
 
 
+def op12_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    coded = bpe.encode_documents(
+        documents(spark, sf_dir).select("doc_id", "text"), public_tokenizers.path("word_bpe_49k.json"))
+    listed = F.array_join(F.col("ids").cast("array<string>"), " ")
+    return coded.select(
+        "doc_id", "n_tokens", F.sha2(listed.cast("binary"), 256).alias("ids_sha256"),
+        F.sha2(F.col("decoded").cast("binary"), 256).alias("decoded_sha256"))
+
+
 QUERIES = {
     "op1_fingerprints": op1_fingerprints,
     "op2_sharding": op2_sharding,
@@ -142,6 +151,7 @@ QUERIES = {
     "op8_mixing": op8_mixing,
     "op9_token_counts": op9_token_counts,
     "op10_chat_formatting": op10_chat_formatting,
+    "op12_bpe": op12_bpe,
 }
 
 WORDS = """

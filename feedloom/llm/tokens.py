@@ -8,27 +8,19 @@ from __future__ import annotations
 
 import heapq
 import json
-import unicodedata
 from collections.abc import Iterator
 from functools import lru_cache
 
 import pandas as pd
-import regex
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from feedloom.llm.pieces import Splitter
+
 #: Words kept with their counts per Python worker, and the longest word that is kept.
 CACHED_WORDS, CACHED_LENGTH = 500_000, 64
 
 
-def byte_symbols() -> list[str]:
-    """The printable character that byte-level vocabularies write for each byte: itself where it
-    is printable Latin-1, otherwise the next one from U+0100 on."""
-    shown = [b for b in range(256) if 33 <= b <= 126 or 161 <= b <= 255 and b != 173]
-    hidden = {b: chr(256 + i) for i, b in enumerate(b for b in range(256) if b not in shown)}
-    return [hidden.get(b, chr(b)) for b in range(256)]
-
-
 class MergeCounter:
     """Counts tokens of texts for one vocabulary file with a merge list and word ends."""
 
@@ -38,21 +30,12 @@ class MergeCounter:
         model = spec["model"]
         self.ranks = {tuple(pair): rank for rank, pair in enumerate(model["merges"])}
         self.word_end = model["end_of_word_suffix"] or ""
-        self.symbols = byte_symbols()
-        specials = [regex.escape(t["content"]) for t in spec["added_tokens"]]
-        self.special = regex.compile("|".join(specials)) if specials else None
-        splitter = spec["pre_tokenizer"]["pretokenizers"][0]["pattern"]["Regex"]
-        # White space is Unicode's, without the four separators that Python counts as white space.
-        self.piece = regex.compile(splitter.replace(r"\s", r"\p{White_Space}"))
-        self.gap = regex.compile(r"\p{White_Space}+")
-        self.separators = regex.compile("[\x1c-\x1f]")
+        self.splitter = Splitter(path)
         self.known: dict[str, int] = {}
 
     def merged(self, piece: str) -> int:
-        """Symbols left of one piece once no adjacent pair has a rank."""
-        symbols = [self.symbols[b] for b in piece.encode("utf-8", "surrogatepass")]
-        if not symbols:
-            return 0
+        """Symbols left of one piece, given in byte symbols, once no adjacent pair has a rank."""
+        symbols = list(piece)
         symbols[-1] += self.word_end
         n = len(symbols)
         before, after = list(range(-1, n - 1)), list(range(1, n + 1))
@@ -81,15 +64,11 @@ class MergeCounter:
 
     def chunk(self, chunk: str) -> int:
         """Tokens of a run without white space."""
-        normal = unicodedata.normalize("NFC", chunk)
-        # Each character is lowered by itself; a whole string would give a final sigma its own form.
-        lowered = normal.replace("Σ", "σ").lower()
-        return sum(self.merged(piece) for piece in self.piece.findall(lowered))
+        return sum(map(self.merged, self.splitter.pieces(chunk)))
 
     def plain(self, text: str) -> int:
-        chunks = self.gap.split(text) if self.separators.search(text) else text.split()
         known, total = self.known, 0
-        for chunk in chunks:
+        for chunk in self.splitter.runs(text):
             count = known.get(chunk)
             if count is None:
                 count = self.chunk(chunk)
@@ -101,12 +80,8 @@ class MergeCounter:
         return total
 
     def count(self, text: str | None) -> int:
-        if not text:
-            return 0
-        if self.special is None:
-            return self.plain(text)
-        parts = self.special.split(text)
-        return len(parts) - 1 + sum(map(self.plain, parts))
+        parts = self.splitter.parts(text)
+        return len(parts) // 2 + sum(map(self.plain, parts[::2]))
 
 
 @lru_cache(maxsize=2)

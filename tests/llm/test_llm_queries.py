@@ -40,8 +40,8 @@ def sha(text):
     return hashlib.sha256(text.encode()).hexdigest()
 
 
-def test_all_ten_are_registered():
-    assert [int(n[2:].split("_")[0]) for n in QUERIES] == list(range(1, 11))
+def test_all_are_registered():
+    assert [int(n[2:].split("_")[0]) for n in QUERIES] == list(range(1, 14))
 
 
 @pytest.mark.parametrize("name", sorted(ORACLES))
@@ -147,3 +147,12 @@ def test_op10(spark):
         assert (r.n_turns, r.turns_sha256) == (len(rows), sha("".join(f"{a}\n{b}\n" for a, b in rows)))
         assert (r.loss_chars, r.loss_sha256) == (len(loss), sha(loss))
         assert r.formatted_chars > sum(len(t) for _, t in rows)
+
+
+def test_op12(spark, texts):
+    library = Tokenizer.from_file(public_tokenizers.path("word_bpe_49k.json"))
+    got = by_id(spark, "op12_bpe")
+    for i, t, _ in texts:
+        ids = library.encode(t, add_special_tokens=False).ids
+        assert (got[i].n_tokens, got[i].ids_sha256) == (len(ids), sha(" ".join(map(str, ids))))
+        assert got[i].decoded_sha256 == sha(library.decode(ids, skip_special_tokens=False))

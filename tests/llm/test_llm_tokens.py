@@ -23,6 +23,20 @@ def test_counts_equal_the_librarys(reference):
     assert [counter.count(t) for t in texts] == [reference(t) for t in texts]
 
 
+def test_every_code_point_counts_as_the_library_counts_it():
+    tokenizer, counter, rng = Tokenizer.from_file(PATH), MergeCounter(PATH), random.Random(2)
+    points = [chr(c) for c in range(0x110000) if not 0xD800 <= c < 0xE000]
+    # One text holds a line of code points in each surrounding; a wrong line is looked up singly.
+    for form in ("a{}1", "{}A"):
+        for k in range(0, len(points), 4096):
+            text = " ".join(form.format(c) for c in points[k:k + 4096])
+            assert counter.count(text) == len(tokenizer.encode(text, add_special_tokens=False).ids)
+        counter.known.clear()
+    texts = ["".join(rng.choices(points, k=8)) for _ in range(5_000)]
+    want = [len(e.ids) for e in tokenizer.encode_batch(texts, add_special_tokens=False)]
+    assert [counter.count(t) for t in texts] == want
+
+
 def test_a_small_word_cache_changes_nothing(reference, monkeypatch, prose):
     monkeypatch.setattr("feedloom.llm.tokens.CACHED_WORDS", 3)
     text = prose(2, 300, 20)
