@@ -11,6 +11,7 @@ from pathlib import Path
 from pyspark import SparkContext
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 SPACES = " \t\n\x0b\f\r"
 GAP = r"[\x20\x09-\x0D]+"
@@ -109,6 +110,36 @@ def range_of(key: Column, starts: list[int]) -> Column:
     return coarse * stride + F.greatest(below(fine) - 1, F.lit(0))
 
 
+def placed(df: DataFrame, group: str, *order: str | Column) -> DataFrame:
+    """``df`` with ``place`` (from 0) and ``members``, a row's place among the rows of its ``group`` by
+    ``order`` and their number. Rows equal in group and order come in any order, once.
+
+    One sort over all tasks, whatever the size of a group: a row's number is the number of rows in
+    the partitions before its own plus its index there, less that of the group's first row. A last
+    key splits rows that are equal otherwise. ``df`` should be stored, as the sort reads it twice.
+    ``group`` isn't null. The columns ``_row``, ``_part`` and ``_shift`` are the function's own.
+    """
+    low = (1 << 33) - 1
+    rows = stored(
+        df.withColumn("_row", F.monotonically_increasing_id())
+        .repartitionByRange(partitions(df), group, *order, "_row")
+        .sortWithinPartitions(group, *order, "_row")
+        .withColumn("_row", F.monotonically_increasing_id())
+        .withColumns({"_part": F.shiftright("_row", 33), "_row": F.col("_row").bitwiseAND(F.lit(low))}))
+    # A row per partition of a group, so that the join meets a large group in as many parts. The
+    # window runs over a row per partition, whose number is a setting.
+    seen = stored(rows.groupBy("_part", group).agg(F.min("_row").alias("_least"), F.count("*").alias("n")))
+    before = seen.groupBy("_part").agg(F.sum("n").alias("n")).select("_part", (
+        F.sum("n").over(Window.orderBy("_part")) - F.col("n")).alias("_before"))
+    seen = seen.join(F.broadcast(before), "_part")
+    groups = seen.groupBy(group).agg(
+        F.min(F.col("_least") + F.col("_before")).alias("_first"), F.sum("n").alias("members"))
+    shifts = stored(seen.join(groups, group).select(
+        "_part", group, "members", (F.col("_before") - F.col("_first")).alias("_shift")))
+    return rows.join(shifts, ["_part", group]).withColumn(
+        "place", F.col("_row") + F.col("_shift")).drop("_row", "_part", "_shift")
+
+
 def broadcast_if_light(df: DataFrame, weight: str, most: int) -> DataFrame:
     """``df`` with a broadcast hint if the sum of the expression ``weight`` over its rows, which
     should follow its size in memory, is at most ``most``. For rows of unbounded width, where a

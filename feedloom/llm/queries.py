@@ -7,6 +7,7 @@ the columns that it returns from the operator's output.
 from __future__ import annotations
 
 import hashlib
+import string
 from collections.abc import Iterator
 
 import pandas as pd
@@ -14,7 +15,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from feedloom.llm import bpe, chat, decontamination, fingerprints, lines, mixing, pii, sharding, simhash, tokens, toxicity
+from feedloom.llm import bpe, chat, decontamination, fingerprints, lines, merkle, mixing, pii, sharding, simhash, tokens, toxicity
 from feedloom.llm.common import ship
 
 
@@ -131,6 +132,17 @@ def op10_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
         "loss_sha256 string, formatted_chars bigint")
 
 
+def op11_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    fields = ["doc_id", "source", "lang", "n_chars", "text"]
+    lowered = F.translate("text", string.ascii_uppercase, string.ascii_lowercase)
+    changed = merkle.leaf(*[F.col(f) for f in fields[:-1]], lowered)
+    rows = merkle.manifest(
+        documents(spark, sf_dir), "lang", "doc_id", fields,
+        F.when(F.crc32(F.col("doc_id").cast("string")) % 3 == 0, changed))
+    return rows.select(
+        F.col("id").alias("doc_id"), "leaf", "subroot", "root", "proof_sha256", "folded_root", "verified")
+
+
 def op12_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     coded = bpe.encode_documents(
         documents(spark, sf_dir).select("doc_id", "text"), public_tokenizers.path("word_bpe_49k.json"))
@@ -151,6 +163,7 @@ QUERIES = {
     "op8_mixing": op8_mixing,
     "op9_token_counts": op9_token_counts,
     "op10_chat_formatting": op10_chat_formatting,
+    "op11_merkle_manifest": op11_merkle_manifest,
     "op12_bpe": op12_bpe,
 }
 
@@ -164,7 +177,65 @@ SHINGLES = """
 
 BARE_LINE = r"trim(line, chr(32) || chr(9) || chr(10) || chr(11) || chr(12) || chr(13))"
 
+def field(name: str) -> str:
+    return f"coalesce(strlen(cast({name} as varchar)) || ':' || cast({name} as varchar), '-')"
+
+
+def leaf_sql(text: str) -> str:
+    return f"sha256({' || '.join(map(field, ['doc_id', 'source', 'lang', 'n_chars', text]))})"
+
+
+LOWERED = f"translate(text, '{string.ascii_uppercase}', '{string.ascii_lowercase}')"
+
+
+def climb_sql(name: str, nodes: str) -> str:
+    """The nodes of all levels over ``nodes`` (g, pos, h, n), the last level being the group's top."""
+    return f"""
+        {name} as (select g, 0 as lvl, pos, h, n from {nodes}
+          union all
+          select g, lvl + 1, pos // 8, sha256(string_agg(h, '' order by pos)), max((n + 7) // 8)
+          from {name} where n > 1 group by g, lvl, pos // 8)"""
+
+
+def siblings_sql(nodes: str) -> str:
+    return f"""
+        select b.g, b.lvl, b.pos, coalesce(string_agg(s.h, '' order by s.pos) filter (s.pos < b.pos), '') as l,
+          coalesce(string_agg(s.h, '' order by s.pos) filter (s.pos > b.pos), '') as r
+        from {nodes} b join {nodes} s on b.g = s.g and b.lvl = s.lvl and b.pos // 8 = s.pos // 8
+        where b.n > 1 group by all"""
+
+
+#: CRC-32 of the decimal text of doc_id, bit by bit.
+CRC = """
+    xor(4294967295, list_reduce([4294967295] || list_transform(range(1, length(cast(doc_id as varchar)) + 1),
+        lambda i: cast(ascii(substr(cast(doc_id as varchar), i, 1)) as bigint)),
+      lambda c, b: list_reduce([xor(c, b)] || range(8), lambda x, k: xor(x >> 1, 3988292384 * (x & 1)))))"""
+
 ORACLES: dict[str, str] = {
+    "op11_merkle_manifest": f"""
+        with recursive leaves as (select coalesce('=' || lang, '') as g, doc_id, {leaf_sql("text")} as h,
+            case when {CRC} % 3 = 0 then {leaf_sql(LOWERED)} end as t,
+            row_number() over (partition by lang order by doc_id) - 1 as pos, count(*) over (partition by lang) as n
+          from documents),
+        {climb_sql("nodes", "leaves")},
+        subroots as (select '' as g, g as name, h, row_number() over (order by g) - 1 as pos, count(*) over () as n
+          from nodes where n = 1),
+        {climb_sql("upper", "subroots")},
+        root as (select h as root from upper where n = 1),
+        sides as ({siblings_sql("nodes")}),
+        upper_sides as ({siblings_sql("upper")}),
+        paths as (select doc_id, lvl, s.l, s.r from leaves x join sides s on s.g = x.g and s.pos = x.pos >> (3 * s.lvl)
+          union all select doc_id, 1000 + lvl, s.l, s.r from leaves x join subroots t on t.name = x.g
+          join upper_sides s on s.pos = t.pos >> (3 * s.lvl)),
+        steps as (select *, row_number() over (partition by doc_id order by lvl) - 1 as step from paths),
+        fold as (select doc_id, 0 as step, coalesce(t, h) as h from leaves
+          union all select f.doc_id, f.step + 1, sha256(s.l || f.h || s.r)
+          from fold f join steps s on s.doc_id = f.doc_id and s.step = f.step),
+        proofs as (select doc_id, string_agg(l || r, '' order by step) as p from steps group by doc_id)
+        select x.doc_id, x.h as leaf, t.h as subroot, root, sha256(coalesce(p, '')) as proof_sha256,
+          f.h as folded_root, f.h = root as verified
+        from leaves x join subroots t on t.name = x.g cross join root left join proofs using (doc_id)
+        join (select doc_id, arg_max(h, step) as h from fold group by doc_id) f using (doc_id)""",
     "op6_line_dedup": f"""
         with l as (select doc_id, source, unnest(string_split(text, chr(10))) as line,
             generate_subscripts(string_split(text, chr(10)), 1) as pos from documents where text is not null),
