@@ -15,7 +15,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from feedloom.llm import bpe, chat, decontamination, fingerprints, lines, merkle, mixing, pii, sharding, simhash, tokens, toxicity
+from feedloom.llm import bpe, chat, collocations, decontamination, fingerprints, lines, merkle, mixing, pii, sharding, simhash, tokens, toxicity
 from feedloom.llm.common import ship
 
 
@@ -152,6 +152,10 @@ def op12_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.sha2(F.col("decoded").cast("binary"), 256).alias("decoded_sha256"))
 
 
+def op13_phrase_mining(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations.mine(documents(spark, sf_dir), least=30, longest=4, covered=80, top=2000)
+
+
 QUERIES = {
     "op1_fingerprints": op1_fingerprints,
     "op2_sharding": op2_sharding,
@@ -165,6 +169,7 @@ QUERIES = {
     "op10_chat_formatting": op10_chat_formatting,
     "op11_merkle_manifest": op11_merkle_manifest,
     "op12_bpe": op12_bpe,
+    "op13_phrase_mining": op13_phrase_mining,
 }
 
 WORDS = """
@@ -212,6 +217,23 @@ CRC = """
       lambda c, b: list_reduce([xor(c, b)] || range(8), lambda x, k: xor(x >> 1, 3988292384 * (x & 1)))))"""
 
 ORACLES: dict[str, str] = {
+    "op13_phrase_mining": f"""
+        with p as (select coalesce(lang, 'und') as lang, list_filter(string_split_regex(piece, '[\\x20\\x09]+'), lambda x: x <> '') as w
+          from (select lang, unnest(string_split_regex({LOWERED}, '[.,;:!?\\x0A-\\x0D]')) as piece from documents) x),
+        o as (select lang, w, unnest(range(1, len(w) + 1)) as i from p),
+        g as (select lang, k, w[i:i + k - 1] as g, count(*) as f from o, range(1, 5) t(k)
+          where i + k - 1 <= len(w) group by all having count(*) >= 30),
+        n as (select lang, cast(sum(len(w)) as bigint) as n from p group by lang),
+        cuts as (select lang, g, k, f as a, m, g[1:m] as lg, g[m + 1:] as rg from g, range(1, 4) t(m) where m < k),
+        c as (select x.*, l.f as l, r.f as r, cast(cast(2000000 as hugeint) * a // (l.f + r.f) as bigint) as score
+          from cuts x join g l on l.lang = x.lang and l.g = x.lg join g r on r.lang = x.lang and r.g = x.rg
+          qualify row_number() over (partition by x.lang, x.g order by score, m) = 1),
+        inner_parts as (select lang, g[i:i + len - 1] as g, max(a) as f from c, range(2, 4) s(len), range(1, 4) u(i)
+          where len < k and i + len - 1 <= k group by 1, 2),
+        covered as (select c.lang, c.g from c join inner_parts x on x.lang = c.lang and x.g = c.g where 100 * x.f >= 80 * c.a),
+        ranked as (select lang, row_number() over (partition by lang order by score desc, a desc, array_to_string(g, ' ')) as rank,
+            array_to_string(g, ' ') as phrase, a, l, r, score from c anti join covered using (lang, g))
+        select lang, rank, phrase, a, l, r, n, score from ranked join n using (lang) where rank <= 2000""",
     "op11_merkle_manifest": f"""
         with recursive leaves as (select coalesce('=' || lang, '') as g, doc_id, {leaf_sql("text")} as h,
             case when {CRC} % 3 = 0 then {leaf_sql(LOWERED)} end as t,
