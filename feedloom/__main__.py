@@ -45,9 +45,14 @@ def load(spark: SparkSession, args) -> dict:
 
 
 def build(spark, args):
+    """The dataset of all impressions, of a time range, whose rows replace those of the range in
+    ``--out`` and leave the others, or of the newest, which replace all that is there."""
     frame = dataset.build_dataset(
         load(spark, args), start=args.start, end=args.end, limit=args.limit)
-    datasets.write_dataset(frame, args.out)
+    if args.limit is None:
+        datasets.write_range(frame, args.out, args.start, args.end)
+    else:
+        datasets.write_dataset(frame, args.out, whole=True)
     dataset_rates(datasets.read_dataset(spark, args.out)).show()
 
 
@@ -108,7 +113,8 @@ def calibrate(spark, args):
 
 
 def check(spark, args):
-    """Missing tables and columns, and keys of the item and user tables that occur twice."""
+    """Missing tables and columns, columns of wrong types, keys that are null, and keys of the item
+    and user tables that occur twice."""
     if not args.jdbc and not args.tables:
         missing = tables.missing_tables(spark, database=args.database)
         print("missing tables:", missing)
@@ -116,6 +122,8 @@ def check(spark, args):
             return
     found = load(spark, args)
     print("missing columns:", tables.missing_columns(found))
+    print("wrong types:", tables.wrong_types(found))
+    print("null keys:", tables.null_keys(found))
     print("repeated keys:", tables.repeated_keys(found))
 
 

@@ -151,6 +151,28 @@ SOURCE_COLUMNS = {
     "user_creator_affinity": ["user_id", "creator_id", "score"],
     "position_bias_baseline": ["position_index", "expected_ctr"],
 }
+# What a column may be, by kind; and the kinds of the inputs' columns. Ids may be numbers or text, but
+# those that meet in a join have to be of one kind, which Spark's own analysis sees to.
+KINDS = {
+    "id": ["tinyint", "smallint", "int", "bigint", "string"],
+    "whole": ["tinyint", "smallint", "int", "bigint"],
+    "number": ["tinyint", "smallint", "int", "bigint", "float", "double", "decimal"],
+    "text": ["string"],
+    "time": ["timestamp", "timestamp_ntz"],
+    "list": ["array"],
+}
+COLUMN_KINDS = {
+    "id": ["id", "user_id", "scroll_id", "product_id", "impression_id", "item_id", "creator_id", "category_id"],
+    "whole": ["item_type", "position_index", "event_type"],
+    "text": [
+        "session_id", "feed_type", "recommendation_run_id", "ranking_version", "candidate_source",
+        "recommendation_profile_kind", "category", "content_category",
+    ],
+    "time": ["created_at"],
+    "list": ["products"],
+}
+# What has to be there in every row; null times and users are part of the logs.
+FILLED = {"scroll_impressions": ["id"], "scroll_interactions": ["event_type"], "scrolls": ["id"], "products": ["id"]}
 # What the dataset joins take to be unique.
 TABLE_KEYS = {
     "scroll_impressions": ["id"],

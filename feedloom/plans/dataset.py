@@ -17,7 +17,7 @@ from feedloom.operators.items import PRODUCT_KEY, item_features, join_items, res
 from feedloom.operators.newest import between, newest_rows
 from feedloom.operators.session import session_context, with_session_context
 from feedloom.operators.skew import Hot, frequent_values
-from feedloom.plans.training import set_checkpoint_dir
+from feedloom.sources.files import set_checkpoint_dir
 
 Tables = dict[str, DataFrame]
 

@@ -17,6 +17,7 @@ from feedloom.operators.frames import conform
 from feedloom.operators.split import train_test_split
 from feedloom.operators.summary import MIN_EXAMPLES, choose_target, target, target_candidates
 from feedloom.sources.datasets import load_with_fallback
+from feedloom.sources.files import set_checkpoint_dir
 
 
 @dataclass(frozen=True)
@@ -49,15 +50,6 @@ def usable_target(task: Task):
     return check
 
 
-def set_checkpoint_dir(spark: SparkSession) -> None:
-    """Keep the cluster's checkpoint folder; only where none is configured, use one in the
-    warehouse, which all executors share as well."""
-    if spark.sparkContext.getCheckpointDir() is None:
-        configured = spark.conf.get("spark.checkpoint.dir", None)
-        warehouse = spark.conf.get("spark.sql.warehouse.dir").rstrip("/")
-        spark.sparkContext.setCheckpointDir(configured or f"{warehouse}/_checkpoints")
-
-
 def row_id(df: DataFrame) -> str:
     return "impression_id" if "impression_id" in df.columns else "sample_id"
 

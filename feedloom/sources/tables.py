@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from feedloom.contracts import REQUIRED_TABLES, SOURCE_COLUMNS, TABLE_KEYS
+from feedloom.contracts import COLUMN_KINDS, FILLED, KINDS, REQUIRED_TABLES, SOURCE_COLUMNS, TABLE_KEYS
 
 
 def from_parquet(spark: SparkSession, root: str) -> dict[str, DataFrame]:
@@ -71,6 +74,46 @@ def missing_columns(tables: dict[str, DataFrame]) -> dict[str, list[str]]:
     return {name: columns for name, columns in gaps.items() if columns}
 
 
+def column_kind(name: str) -> str:
+    """The kind of an input column; those without another are numbers."""
+    return next((kind for kind, names in COLUMN_KINDS.items() if name in names), "number")
+
+
+def wrong_types(tables: dict[str, DataFrame]) -> dict[str, dict[str, str]]:
+    """Columns whose type the build can't use, with that type, per table. Read off the schemas, so a
+    database's tables are checked without a query for rows."""
+    faults = {}
+    for name, columns in SOURCE_COLUMNS.items():
+        found = dict(tables[name].dtypes) if name in tables else {}
+        bad = {c: found[c] for c in columns if c in found
+               and re.split("[(<]", found[c])[0] not in KINDS[column_kind(c)]}
+        if bad:
+            faults[name] = bad
+    return faults
+
+
+def null_keys(tables: dict[str, DataFrame]) -> dict[str, dict[str, int]]:
+    """Rows without a value that the build needs, per table and column: one narrow scan a table."""
+    faults = {}
+    for name, columns in FILLED.items():
+        present = [c for c in columns if name in tables and c in tables[name].columns]
+        if present:
+            found = tables[name].agg(*[F.count_if(F.col(c).isNull()).alias(c) for c in present]).head()
+            bad = {c: found[c] for c in present if found[c]}
+            if bad:
+                faults[name] = bad
+    return faults
+
+
+def faults(tables: dict[str, DataFrame]) -> dict[str, dict]:
+    """Everything a build could stumble over, by the name of the check; the cheap checks first, and
+    no rows are read if they fail."""
+    found = {"missing columns": missing_columns(tables), "wrong types": wrong_types(tables)}
+    if not any(found.values()):
+        found |= {"null keys": null_keys(tables), "repeated keys": repeated_keys(tables)}
+    return {check: fault for check, fault in found.items() if fault}
+
+
 def key_counts(table: DataFrame, keys: list[str]) -> DataFrame:
     """Rows per key. Null keys match nothing and may repeat."""
     return table.dropna(subset=keys).groupBy(*keys).count()

@@ -72,7 +72,7 @@ def test_streamed_labels_equal_the_batch(spark, folder, tmp_path):
 
 def test_check_names_faults(spark, folder, tables, table, capsys):
     main(["check", "--tables", folder])
-    assert capsys.readouterr().out == "missing columns: {}\nrepeated keys: {}\n"
+    assert capsys.readouterr().out == "missing columns: {}\nwrong types: {}\nnull keys: {}\nrepeated keys: {}\n"
     data = tables()
     data["scrolls"] = table("scrolls", {"id": 1}, {"id": 1}, {"id": None}, {"id": None})
     data["products"] = table("products", {"id": None}, {"id": None})
