@@ -13,6 +13,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from feedloom.sources.files import set_checkpoint_dir
+
 SPACES = " \t\n\x0b\f\r"
 GAP = r"[\x20\x09-\x0D]+"
 LEAST = -(1 << 63)
@@ -151,18 +153,11 @@ def broadcast_if_light(df: DataFrame, weight: str, most: int) -> DataFrame:
 def stored(df: DataFrame) -> DataFrame:
     """``df`` computed once and kept in the checkpoint folder, which all executors share, so that
     a lost executor costs no recomputation. The folder is the one the cluster names in
-    spark.checkpoint.dir; where none is named it lies next to the warehouse's tables."""
+    spark.checkpoint.dir; a cluster that names none and has no shared warehouse is refused."""
     set_checkpoint_dir(df.sparkSession)
     return df.checkpoint()
 
 
-def set_checkpoint_dir(spark: SparkSession) -> None:
-    if spark.sparkContext.getCheckpointDir() is None:
-        named = spark.conf.get("spark.checkpoint.dir", None)
-        spark.sparkContext.setCheckpointDir(
-            named or spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/_checkpoints")
-
-
 def ship(spark: SparkSession) -> None:
     """Send the package's code to the Python workers, once per application, for sessions that were
     started without it. The archive of it lies with the driver; Spark copies it to the workers."""

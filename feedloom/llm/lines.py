@@ -13,7 +13,7 @@ import math
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from feedloom.llm.common import SPACES, hidden, or_empty, restored, stored, with_row_key
+from feedloom.llm.common import SPACES, hidden, or_empty, pinned, restored, stored, with_row_key
 from feedloom.operators.skew import broadcast_if_small
 
 #: Registers of a sketch, as a power of two, and the standard errors that count as near.
@@ -29,8 +29,10 @@ def line_hash(line: Column) -> Column:
 
 
 def site_lines(docs: DataFrame, text: str, keep: list[str]) -> DataFrame:
-    """``keep`` and the hash (``h``, ``k``) of every distinct line of a text that is not blank."""
-    hashes = F.array_distinct(F.transform(F.split(or_empty(F.col(text)), "\n"), line_hash))
+    """``keep`` and the hash (``h``, ``k``) of every distinct line of a text that is not blank. Lines are
+    made distinct as strings, which goes by hashing, unlike structures; those that differ in white
+    space only may repeat."""
+    hashes = F.transform(F.array_distinct(F.split(or_empty(F.col(text)), "\n")), line_hash)
     return docs.select(*keep, F.inline_outer(hashes)).where("h is not null")
 
 
@@ -67,16 +69,18 @@ def remove_boilerplate(
     found = stored(boilerplate(site_lines(docs, text, [site]), site, least_sites))
     found, _ = broadcast_if_small(found, BROADCAST_ROWS)
     keyed = with_row_key(docs, "_row")
-    # The lines to take out of each row: as many as it has lines at most.
-    out = (
-        site_lines(keyed, text, ["_row"]).join(found, ["h", "k"], "left_semi")
-        .groupBy("_row").agg(F.collect_set(F.struct("h", "k")).alias("_out")))
-    none = F.array().cast("array<struct<h: bigint, k: bigint>>")
-    rows = keyed.join(out, "_row", "left").withColumns({
-        "_lines": F.split(text, "\n"), "_out": F.coalesce("_out", none)})
-    kept = F.filter("_lines", lambda line: ~F.coalesce(
-        F.array_contains("_out", line_hash(line)), F.lit(False)))
-    rows = rows.withColumn("_kept", F.when(F.size("_out") == 0, F.col("_lines")).otherwise(kept))
+    # The places of the lines to take out of each row, as many as it has lines at most; rows equal in
+    # all columns share them.
+    hashes = F.transform(F.split(or_empty(F.col(text)), "\n"), line_hash)
+    placed = keyed.select("_row", F.posexplode(hashes).alias("_place", "_hash")).where(
+        "_hash is not null").select("_row", "_place", "_hash.*")
+    out = placed.join(found, ["h", "k"], "left_semi").groupBy("_row").agg(
+        F.collect_set("_place").alias("_out"))
+    rows = pinned(keyed.join(out, "_row", "left"), _lines=F.split(text, "\n"))
+    # Set difference of integers, linear in the lines.
+    places = F.array_except(F.sequence(F.lit(0), F.size("_lines") - 1), "_out")
+    kept = F.transform(places, lambda i: F.get("_lines", i))
+    rows = pinned(rows, _kept=F.when(F.col("_out").isNull(), F.col("_lines")).otherwise(kept))
     rows = rows.withColumn(text, F.array_join("_kept", "\n"))
     return restored(
         rows, names,

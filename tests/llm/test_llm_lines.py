@@ -1,3 +1,4 @@
+import time
 from collections import defaultdict
 
 import pytest
@@ -43,3 +44,15 @@ def test_lines_equal_brute_force(docs, rows, monkeypatch, least, limit):
 
 def test_empty_table(docs):
     assert lines.remove_boilerplate(docs([])).count() == 0
+
+
+def test_a_document_of_many_removed_lines(docs):
+    """100,000 lines that all go and as many that stay, in one text: linear, so a matter of seconds."""
+    shared = [f"line {i}" for i in range(100_000)]
+    mixed = "\n".join(line for i, s in enumerate(shared) for line in (s, f"own {i}"))
+    rows = [(i, "\n".join(shared), f"site{i}") for i in range(3)] + [(9, mixed, "site0")]
+    began = time.monotonic()
+    got = {r.doc_id: r for r in lines.remove_boilerplate(docs(rows), least_sites=3).collect()}
+    assert time.monotonic() - began < 60
+    assert [(got[i].text, got[i].n_removed) for i in range(3)] == [("", 100_000)] * 3
+    assert got[9].n_lines == 200_000 and got[9].text == "\n".join(f"own {i}" for i in range(100_000))
