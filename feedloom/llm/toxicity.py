@@ -1,8 +1,9 @@
 """Toxicity scores by a linear classifier with counterfactual regularisation.
 
 For every labelled text that names a group, variants are made in which the identity terms are
-swapped for others of the same kind. Training minimises the log loss plus the squared change of the
-score between a text and its variants, so that which group is named does not move the score.
+swapped for others of the same kind. A text that names none gets neutral mentions of groups put in.
+Training minimises the log loss plus the squared change of the score between a text and its variants,
+so that neither which group is named nor that one is named moves the score.
 Features are words and word beginnings, which also meet inflected and compound forms.
 """
 
@@ -10,6 +11,7 @@ from __future__ import annotations
 
 import math
 import re
+import zlib
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
@@ -50,21 +52,26 @@ CACHED_WORDS = 300_000
 
 @dataclass(frozen=True)
 class Settings:
-    """``max_rows`` labelled rows at most train the model, those whose ids hash lowest."""
+    """``max_rows`` labelled rows at most train the model, those whose ids hash lowest. A text that
+    names no group gets ``mentions`` variants with a mention each."""
 
     max_rows: int = 8000
     features: int = 2000
     least_rows: int = 3
     l2: float = 1e-4
     counterfactual: float = 1.0
+    mentions: int = 3
     steps: int = 500
     rate: float = 0.05
 
 
 @dataclass(frozen=True)
 class Model:
+    """Weights of features, and the number of pairs of a text and a variant that the penalty saw."""
+
     weights: dict[str, float]
     bias: float
+    pairs: int = 0
 
 
 def features(word: str) -> list[str]:
@@ -100,6 +107,12 @@ def variants(found: list[str]) -> Iterator[list[str]]:
             yield variant
 
 
+def mentions(found: list[str], terms: list[str], n: int) -> list[list[str]]:
+    """The words with a mention of each of ``n`` of ``terms``, which a checksum of the words picks."""
+    first = zlib.crc32(" ".join(found).encode("utf-8", "replace"))
+    return [found + [terms[(first + k) % len(terms)]] for k in range(min(n, len(terms)))]
+
+
 class Vectors:
     """Sparse vectors over a list of features: the logarithm of one plus the count."""
 
@@ -129,13 +142,19 @@ class Vectors:
 def labelled_sample(
     docs: DataFrame, labels: DataFrame, trains: Column, max_rows: int
 ) -> DataFrame:
-    """``text`` and ``label`` of at most ``max_rows`` labelled rows. Only ids are ordered; the
-    chosen ones, which ``max_rows`` bounds, are sent to the documents."""
+    """``text`` and ``label`` of at most ``max_rows`` labelled rows, those of equal id and text being
+    one. Ids are ordered first and then the rows of the chosen ones, both by hash and without their
+    texts; ``max_rows`` bounds what is sent to the documents each time."""
     chosen = (
         labels.where(trains & F.col("label").isNotNull() & F.col("doc_id").isNotNull())
         .groupBy("doc_id").agg(F.max("label").alias("label"))
         .orderBy(F.xxhash64("doc_id"), "doc_id").limit(max_rows))
-    return docs.join(F.broadcast(chosen), "doc_id").select("text", "label")
+    docs = docs.withColumn("_key", F.md5(F.coalesce("text", F.lit(""))))
+    rows = (
+        docs.select("doc_id", "_key").join(F.broadcast(chosen), "doc_id").distinct()
+        .orderBy(F.xxhash64("doc_id", "_key"), "doc_id", "_key").limit(max_rows))
+    found = docs.join(F.broadcast(rows), ["doc_id", "_key"]).groupBy("doc_id", "_key")
+    return found.agg(F.any_value("text").alias("text"), F.any_value("label").alias("label")).select("text", "label")
 
 
 def feature_counts(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -166,20 +185,25 @@ def informative(sample: DataFrame, positives: int, negatives: int, settings: Set
     return [r.feature for r in top.collect()]
 
 
-def training_rows(names: list[str]):
+def training_rows(names: list[str], put_in: int = 0):
+    """Rows of a text (label, ids, values) and of the change that each of its variants makes (no label).
+    Mentions are of terms that have a feature, ``put_in`` of them at most; others change nothing."""
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         vectors = Vectors(names)
+        terms = [term for term in KIND if any(f in vectors.index for f in features(term))]
         for batch in batches:
             out = []
             for text, label in zip(batch["text"], batch["label"]):
                 found = words(text)
                 own = vectors.vector(found)
                 out.append((float(label > 0), list(own), list(own.values())))
-                for variant in variants(found):
+                others = variants(found) if any(w in KIND for w in found) else mentions(found, terms, put_in)
+                for variant in others:
                     other = vectors.vector(variant)
                     change = {i: other.get(i, 0.0) - own.get(i, 0.0) for i in own | other}
                     change = {i: x for i, x in change.items() if x}
-                    out.append((None, list(change), list(change.values())))
+                    if change:
+                        out.append((None, list(change), list(change.values())))
             yield pd.DataFrame(out, columns=["label", "ids", "values"])
 
     return run
@@ -198,7 +222,7 @@ def fit(docs: DataFrame, labels: DataFrame, trains: Column, settings: Settings =
     if not positives or not negatives:
         return Model({}, bias)
     names = informative(sample, positives, negatives, settings)
-    rows = sample.mapInPandas(training_rows(names), "label double, ids array<int>, values array<double>")
+    rows = sample.mapInPandas(training_rows(names, settings.mentions), "label double, ids array<int>, values array<double>")
     return trained(names, rows.toPandas(), bias, settings)
 
 
@@ -228,7 +252,7 @@ def trained(names: list[str], rows: pd.DataFrame, bias: float, settings: Setting
         square = 0.999 * square + 0.001 * grad * grad
         w -= settings.rate * (mean / (1 - 0.9 ** step)) / (
             np.sqrt(square / (1 - 0.999 ** step)) + 1e-9)
-    return Model({f: float(v) for f, v in zip(names, w) if v}, float(w[n]))
+    return Model({f: float(v) for f, v in zip(names, w) if v}, float(w[n]), pairs)
 
 
 def scorer(model: Model):

@@ -1,8 +1,10 @@
+import math
 import zlib
 
 import numpy as np
 import pandas as pd
 import pytest
+from pyspark.sql import functions as F
 
 from feedloom.llm import toxicity
 from feedloom.llm.toxicity import Settings, held_out, score_documents
@@ -106,3 +108,76 @@ def test_odd_rows_and_missing_labels(spark, docs, odd_rows, labelled):
     assert score_documents(docs([]), doubled).count() == 0
     one_class = labels(spark, [r for r in labelled if r[3] == 0])
     assert score_documents(df, one_class).where("predicted = 1").count() == 0
+
+
+def test_the_sample_is_bounded_whatever_repeats(spark, docs):
+    """100 ids of 500 rows each, two thirds of them equal."""
+    rows = [(k % 100, f"text {k}" if k % 3 == 0 else f"text {k % 100}", "a") for k in range(50_000)]
+    ids = spark.createDataFrame([(i, i % 2) for i in range(100)], "doc_id bigint, label int")
+    sample = toxicity.labelled_sample(docs(rows).select("doc_id", "text"), ids, F.lit(True), 50).collect()
+    assert len(sample) == 50
+    few = toxicity.labelled_sample(docs(rows[:300]).select("doc_id", "text"), ids, F.lit(True), 5000)
+    assert few.count() == len({r[:2] for r in rows[:300]})
+
+
+def test_mentions_are_put_into_texts_without_a_group():
+    names = ["=today", "^wom", "^mus", "^blac"]
+    batch = pd.DataFrame({"text": ["we met today", "", None, "the women met"], "label": [0, 1, 0, 1]})
+    rows = pd.concat(toxicity.training_rows(names, 3)(iter([batch])))
+    pairs = rows[rows["label"].isna()]
+    # Of the terms, women, woman, muslim(s), musulman(e)s and black have a feature.
+    assert len(pairs) == 3 * 3 + 1
+    assert all(set(ids) <= {1, 2, 3} and set(np.sign(x)) <= {1.0, -1.0} for ids, x in zip(pairs["ids"], pairs["values"]))
+    nothing = pd.concat(toxicity.training_rows(["=today"], 3)(iter([batch])))
+    assert nothing["label"].notna().all()
+
+
+def test_mentions_keep_the_beginnings_of_words_from_leaking(spark, docs, prose):
+    """Toxic rows hold a word that begins as some terms do; naming those groups must not count."""
+    rows = [(i, f"{prose(i, 20)} {'musch pathetic' if i % 2 else 'fine'}", "a", i % 2) for i in range(600)]
+    df, found = docs([r[:3] for r in rows]), {}
+    for strength in (0.0, 5.0):
+        model = toxicity.fit(
+            df.select("doc_id", "text"), labels(spark, rows).selectExpr("doc_id", "toxic as label"),
+            ~held_out("doc_id"), Settings(counterfactual=strength))
+        score = toxicity.scorer(model)
+        assert model.pairs > 500 and score("musch pathetic") > 0.9 and score("fine") < 0.1
+        found[strength] = score("the muslims met") - score("the met")
+    assert found[0.0] > 0.2 and abs(found[5.0]) < 0.05
+
+
+def plainly_trained(names, rows, bias, settings):
+    """The training loss and its gradient by loops over rows, and the same steps."""
+    n, w = len(names), [0.0] * len(names) + [bias]
+    mean, square = [0.0] * (n + 1), [0.0] * (n + 1)
+    texts = [(y, dict(zip(i, v))) for y, i, v in rows if y is not None]
+    pairs = [dict(zip(i, v)) for y, i, v in rows if y is None]
+    for step in range(1, settings.steps + 1):
+        grad = [settings.l2 * x for x in w[:n]] + [0.0]
+        for y, x in texts:
+            error = (1 / (1 + math.exp(-(w[n] + sum(w[i] * v for i, v in x.items())))) - y) / len(texts)
+            for i, v in x.items():
+                grad[i] += error * v
+            grad[n] += error
+        for x in pairs:
+            moved = sum(w[i] * v for i, v in x.items())
+            for i, v in x.items():
+                grad[i] += 2 * settings.counterfactual / len(pairs) * moved * v
+        for i, g in enumerate(grad):
+            mean[i] = 0.9 * mean[i] + 0.1 * g
+            square[i] = 0.999 * square[i] + 0.001 * g * g
+            w[i] -= settings.rate * (mean[i] / (1 - 0.9 ** step)) / (math.sqrt(square[i] / (1 - 0.999 ** step)) + 1e-9)
+    return w
+
+
+def test_training_equals_plain_loops():
+    rng, names = np.random.default_rng(4), [f"f{i}" for i in range(12)]
+    rows = []
+    for k in range(60):
+        ids = sorted(rng.choice(12, rng.integers(0, 6), replace=False).tolist())
+        rows.append((float(k % 2) if k < 40 else None, ids, rng.normal(size=len(ids)).tolist()))
+    settings = Settings(steps=40, counterfactual=3.0)
+    model = toxicity.trained(names, pd.DataFrame(rows, columns=["label", "ids", "values"]), -0.3, settings)
+    want = plainly_trained(names, rows, -0.3, settings)
+    assert [model.weights.get(f, 0.0) for f in names] + [model.bias] == pytest.approx(want, abs=1e-7)
+    assert model.pairs == 20
