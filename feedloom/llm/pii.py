@@ -2,10 +2,12 @@
 
 The base formats are found by patterns and checked (ranges, digit counts, Luhn). They miss what
 stands next to other digits, as a pattern then takes both. High-recall generators propose spans of
-any extent, overlapping ones too. Trees learn from format and context which of them are personal
-data: proposals that are base spans are positive, those that the base formats reject as a whole are
-negative, and the others get a probability. A threshold per kind, calibrated on held-out proposals,
-selects what is added. All steps are column expressions and MLlib.
+any extent, overlapping ones too, and what a kind's check refuses is no proposal. Trees learn from
+shape and context, never from what the checks look at: proposals that are base spans are positive;
+negative are decoys, which look alike and are something else: numbers that a check refuses, and for
+addresses a word before a dotted name with no at-sign at all. The other proposals get a probability. A
+threshold per kind, calibrated on held-out proposals, selects what is added. All steps are column
+expressions and MLlib.
 """
 
 from __future__ import annotations
@@ -39,7 +41,8 @@ HAS = {"email": "@", "ip": r"[0-9]\.[0-9]", "card": r"[0-9](?:[\x20-]?[0-9]){12}
 GENERATORS = (
     ("email", rf"(?<!{LOCAL}){LOCAL}{{1,64}}@{LABEL}{{1,63}}(?:\.{LABEL}{{1,63}}){{1,8}}", "@"),
     ("email", rf"(?<!{LOCAL}){LOCAL}{{1,64}}+ ?[(\[]at[)\]] ?{LABEL}{{1,63}}+"
-              rf"(?: ?(?:\.|[(\[]dot[)\]]) ?{LABEL}{{2,63}}+){{1,4}}", r"[(\[]at[)\]]"),
+              rf"(?: ?(?:\.|[(\[]dot[)\]]) ?{LABEL}{{1,63}}){{0,3}} ?(?:\.|[(\[]dot[)\]]) ?[A-Za-z]{{2,24}}(?!{LABEL})",
+     r"[(\[]at[)\]]"),
     ("ip", r"(?<![0-9.])[0-9]{1,4}(?:\.[0-9]{1,4}){3}(?!\.?[0-9])", r"[0-9]\.[0-9]"),
     ("card", r"(?<![0-9])[0-9]{13,19}(?![0-9])", r"[0-9]{13}"),
     ("card", r"(?<![0-9])[0-9]{4}(?:[\x20-][0-9]{4}){3}(?![0-9])", r"[0-9]{4}[\x20-][0-9]{4}"),
@@ -51,6 +54,16 @@ GENERATORS = (
     ("phone", r"(?<![0-9+(])(?:\([0-9]{3}\)|[0-9]{3})[\x20.-][0-9]{3}[\x20.-][0-9]{4}(?![0-9])",
      r"[0-9]{3}[\x20.-][0-9]{4}"),
 )
+#: Decoys: matches are negative examples of their kind, whatever they are.
+DECOYS = (
+    ("email", rf"(?<!{LOCAL}){LOCAL}{{1,64}}+ {LABEL}{{1,63}}+(?:\.{LABEL}{{1,63}}){{0,3}}\.[A-Za-z]{{2,24}}(?!{LABEL})",
+     r"[A-Za-z0-9-]\.[A-Za-z]{2}"),
+)
+#: A wrong check digit is nine times as frequent as a right one among numbers that are no cards, so a
+#: refused number stands for a ninth of one that passes by chance.
+STANDS_FOR = {"card": 1 / 9}
+#: Base addresses that make the last part of their names a known one.
+KNOWN_ENDINGS = 5
 #: Words before a span that speak for or against it.
 FOR, AGAINST = "mail|phone|tel|call|fax|mobil|card|visa|credit|ip|addr|contact|server|host", \
     "token|key|secret|passw|hash|sha|md5|uuid|version|isbn|order|serial"
@@ -67,8 +80,8 @@ class Settings:
     """About ``max_rows`` labelled proposals at most train, dealt evenly over the kinds and labels;
     all others calibrate. A kind gets the lowest threshold at which ``precision`` of the held-out
     proposals are positive. Where the whole table has too few to prove any (16 at 0.98, all of them
-    right), it gets ``unproven``, provided that none of them is wrong there and one of its kind was
-    learnt from."""
+    right), it gets ``unproven``, provided that none of them is wrong there and both labels of its
+    kind were learnt from."""
 
     max_rows: int = 20_000
     trees: int = 20
@@ -176,9 +189,10 @@ def with_base(df: DataFrame, text: str) -> DataFrame:
 
 
 def proposals(docs: DataFrame) -> DataFrame:
-    """Proposed spans ``s`` of the texts (``_key``, ``text``), once per distinct text, with
-    features and ``label``: 1 for a base span, 0 for a rejected one, null where the base formats
-    say nothing. Proposals that touch a base span without being one are left out."""
+    """Proposed spans ``s`` of the texts (``_key``, ``text``), once per distinct text, with features,
+    ``label``: 1 for a base span, 0 for a decoy, null where the base formats say nothing and the check
+    of the kind passes, and ``ending``, the last part of an address's name. Proposals that touch a
+    base span without being one are left out."""
     def marked(spans: str, label, proposed: bool) -> Column:
         return F.transform(spans, lambda s: F.struct(
             plain(s).alias("s"), s["before"].alias("before"), s["after"].alias("after"),
@@ -187,10 +201,13 @@ def proposals(docs: DataFrame) -> DataFrame:
     df, parts = docs, []
     for i, kind in enumerate(KINDS):
         df = with_matches(df, "text", f"_b{i}", i, BASE[kind], HAS[kind])
-        parts.append(marked(f"_b{i}", lambda s, kind=kind: passes(kind, s["match"]).cast("int"), False))
+        parts.append(marked(f"_b{i}", lambda s, kind=kind: base_label(kind, s["match"]), False))
     for i, (kind, pattern, test) in enumerate(GENERATORS):
         df = with_matches(df, "text", f"_g{i}", KINDS.index(kind), pattern, test)
         parts.append(marked(f"_g{i}", lambda s: F.lit(None).cast("int"), True))
+    for i, (kind, pattern, test) in enumerate(DECOYS):
+        df = with_matches(df, "text", f"_d{i}", KINDS.index(kind), pattern, test)
+        parts.append(marked(f"_d{i}", lambda s: F.lit(0), True))
     # An outer explode, as a filter derived from an inner one would compute the spans once more.
     rows = df.select("_key", F.inline_outer(F.concat(*parts))).where("s is not null")
     rows = rows.groupBy("_key", "s").agg(
@@ -204,8 +221,20 @@ def proposals(docs: DataFrame) -> DataFrame:
         "_ahead": F.min(F.when(is_base, F.col("s.start"))).over(text.orderBy(F.desc("s")))})
     touched = (F.coalesce("_reach", F.lit(0)) > F.col("s.start")) | F.coalesce(
         F.col("_ahead") < F.col("s.end"), F.lit(False))
-    rows = rows.where(F.col("proposed") & (F.coalesce(is_base, F.lit(False)) | ~touched))
     match, number = F.col("s.match"), digits(F.col("s.match"))
+    checks = F.get(F.array(*[passes(kind, match) for kind in KINDS]), F.col("s.kind"))
+    rows = rows.where(F.col("proposed") & (F.coalesce(is_base, F.lit(False)) | ~touched) & (
+        F.col("label").isNotNull() | checks))
+    name = F.regexp_replace(match, r" ?[(\[]dot[)\]] ?", ".")
+    local, domain = F.regexp_extract(name, rf"^({LOCAL}+)", 1), F.regexp_extract(name, r"([A-Za-z0-9.-]+)$", 1)
+    parts_ = F.split(domain, r"\.")
+    is_kind = {k: F.col("s.kind") == i for i, k in enumerate(KINDS)}
+    # What a kind's check looks at says nothing here: digits of phones, the numbers of an address.
+    shaped = is_kind["card"]
+
+    def address(value: Column) -> Column:
+        return F.when(is_kind["email"], value)
+
     def share(pattern: str) -> Column:
         return F.length(match) - F.length(F.regexp_replace(match, pattern, ""))
 
@@ -214,16 +243,16 @@ def proposals(docs: DataFrame) -> DataFrame:
 
     columns = {
         **{f"is_{k}": true(F.col("s.kind") == i) for i, k in enumerate(KINDS)},
-        "length": F.length(match),
-        "digits": F.length(number),
-        "separators": share(r"[\x20.()-]"),
-        "letters": share("[A-Za-z]"),
-        "longest_run": F.array_max(F.transform(F.regexp_extract_all(
-            match, F.lit("[0-9]+"), F.lit(0)), lambda x: F.length(x))),
-        "luhn": true(luhn(number)),
-        "small_parts": true(in_range(match)),
-        "first": F.when(match.startswith("+"), 10).otherwise(
-            F.coalesce(F.substring(match, 1, 1).try_cast("int"), F.lit(11))),
+        "length": F.when(shaped, F.length(match)),
+        "separators": F.when(shaped, share(r"[\x20.()-]")),
+        "first": F.when(shaped, F.substring(number, 1, 1).try_cast("int")),
+        "local_length": address(F.length(local)),
+        "local_digits": address(F.length(digits(local))),
+        "local_signs": address(F.length(F.regexp_replace(local, "[A-Za-z0-9]", ""))),
+        "local_capital": address(true(F.rlike(local, F.lit("^[A-Z]")))),
+        "name_parts": address(F.size(parts_)),
+        "name_first": address(F.length(F.get(parts_, F.lit(0)))),
+        "name_digits": address(F.length(digits(domain))),
         "letter_before": true(F.rlike("_before", F.lit(r"\p{L}$"))),
         "digit_before": true(F.rlike("_before", F.lit(r"[0-9][\x20.-]?$"))),
         "quote_before": true(F.rlike("_before", F.lit(r"[\"'=:/_]$"))),
@@ -232,14 +261,36 @@ def proposals(docs: DataFrame) -> DataFrame:
         "words_for": true(F.rlike("_before", F.lit(rf"(?i)\b(?:{FOR})"))),
         "words_against": true(F.rlike("_before", F.lit(rf"(?i)(?:{AGAINST})"))),
     }
-    return rows.select("_key", "s", "label", *[
+    ending = address(F.lower(F.element_at(parts_, -1))).alias("ending")
+    return rows.select("_key", "s", "label", ending, *[
         F.coalesce(c, F.lit(0)).cast("double").alias(n) for n, c in columns.items()])
 
 
+def base_label(kind: str, match: Column) -> Column:
+    """1 for a base span, 0 for a match that the check refuses; null for numbers that are too short or
+    too long for a card, as length alone would tell those."""
+    good = passes(kind, match)
+    if kind == "card":
+        return F.when(F.length(digits(match)).between(14, 19), good.cast("int"))
+    return good.cast("int")
+
+
+def with_known_endings(rows: DataFrame) -> DataFrame:
+    """``rows`` with ``known_ending``: 1 if at least KNOWN_ENDINGS base addresses of the whole table, so
+    others than the row's own too, end in the same last part."""
+    email = F.col("s.kind") == KINDS.index("email")
+    known = rows.where(email & (F.col("label") == 1)).groupBy("ending").count().where(
+        F.col("count") >= KNOWN_ENDINGS).select("ending", F.lit(1.0).alias("known_ending"))
+    known = broadcast_if_light(stored(known), "1", BROADCAST_SPANS)
+    addresses = rows.where(email).join(known, "ending", "left").fillna(0.0, ["known_ending"])
+    return addresses.unionByName(rows.where(~email).withColumn("known_ending", F.lit(0.0)))
+
+
 FEATURES = [
-    *(f"is_{k}" for k in KINDS), "length", "digits", "separators", "letters", "longest_run", "luhn",
-    "small_parts", "first", "letter_before", "digit_before", "quote_before", "letter_after",
-    "digit_after", "words_for", "words_against"]
+    *(f"is_{k}" for k in KINDS), "length", "separators", "first", "local_length", "local_digits",
+    "local_signs", "local_capital", "name_parts", "name_first", "name_digits", "known_ending",
+    "letter_before", "digit_before", "quote_before", "letter_after", "digit_after", "words_for",
+    "words_against"]
 
 
 def assembled(rows: DataFrame) -> DataFrame:
@@ -323,8 +374,8 @@ def judge(rows: DataFrame, settings: Settings) -> tuple[GBTClassificationModel |
         n, held = numbers.get(group, (0, 0))[0], numbers.get(group, (0, 0))[0] - taken.get(group, 0)
         return n / held if held else 1.0
 
-    learnt = {k for k, label in taken if label == 1}
-    weights = {k: (weight((k, 0)), weight((k, 1))) for k in learnt}
+    learnt = {k for k, label in taken if label == 1 and (k, 0) in taken}
+    weights = {k: (weight((k, 0)) * STANDS_FOR.get(KINDS[k], 1.0), weight((k, 1))) for k in learnt}
     return model, calibrated(counts, weights, learnt, settings)
 
 
@@ -342,8 +393,8 @@ def find_spans(
     docs, at, names = hidden(docs, "base_spans", "spans")
     text = at[text]
     keyed = docs.withColumn("_key", F.md5(text))
-    rows = stored(proposals(keyed.where("_key is not null").select(
-        "_key", F.col(text).alias("text"))))
+    rows = with_known_endings(stored(proposals(keyed.where("_key is not null").select(
+        "_key", F.col(text).alias("text")))))
     model, thresholds = judge(rows, settings)
     out = with_base(keyed.withColumn("_text", or_empty(F.col(text))), "_text").drop("_text")
     added = F.array().cast(f"array<{SPAN}>")
