@@ -12,6 +12,7 @@ from __future__ import annotations
 import math
 from collections import Counter
 from collections.abc import Callable, Iterator
+from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
@@ -31,7 +32,7 @@ TILE_BITS = 31 - BITS
 #: What a task holds before it passes it on: distinct pairs, distinct words.
 PAIRS_HELD, WORDS_HELD = 2_000_000, 500_000
 #: Pairs in a row between tasks.
-CHUNK = 1024
+CHUNK = 512
 #: Bytes of the most frequent words or pairs that every task gets; the others are joined.
 BROADCAST_BYTES = 32 << 20
 
@@ -42,7 +43,8 @@ STOPS = b".,;:!?\n\x0b\x0c\r"
 TABLE = bytes.maketrans(LETTERS + STOPS + b"\t", LETTERS.lower() + BREAK * len(STOPS) + b" ")
 SPACED = b" " + BREAK + b" "
 
-TILE_ROWS = "lang string, ti int, tj int, salt int, cells array<int>, counts array<bigint>"
+#: Ascending codes of pairs with counts, by the group of tiles they belong to; ``least`` is the first code.
+TILE_ROWS = "lang string, part int, salt int, least bigint, codes array<bigint>, counts array<bigint>"
 
 
 def tokens(text: bytes) -> list[bytes]:
@@ -191,6 +193,16 @@ def tiled(left: np.ndarray, right: np.ndarray) -> np.ndarray:
             | (left & low) << BITS | right & low)
 
 
+@dataclass(frozen=True)
+class Spread:
+    """How pairs are dealt to tasks: salts of the tile at the origin, groups of the far tiles, and the
+    number of the task that counted."""
+
+    salts: int
+    groups: int
+    task: int
+
+
 def untiled(codes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     low, tile = (1 << BITS) - 1, (1 << TILE_BITS) - 1
     left = (codes >> TILE_BITS + 2 * BITS) << BITS | codes >> BITS & low
@@ -235,28 +247,35 @@ def counted(codes: np.ndarray, counts: np.ndarray | None) -> tuple[np.ndarray, n
     return codes[order], counts[order]
 
 
-def tile_rows(lang: str, codes: np.ndarray, counts: np.ndarray, salts: int, salt: int) -> pa.RecordBatch:
-    """Ascending codes as rows of at most CHUNK pairs of one tile. Only tiles near the origin get
-    one of ``salts`` salts, the fewer the farther, as no other gets many pairs."""
+def tile_rows(lang: str, codes: np.ndarray, counts: np.ndarray, spread: Spread) -> pa.RecordBatch:
+    """Ascending codes as rows of at most CHUNK pairs of one group of tiles. A tile near the origin is a
+    group and gets one of some salts, the fewer the farther it is; the others, of few pairs each, go
+    into groups by hash."""
     tile = codes >> 2 * BITS
-    first = np.flatnonzero(np.diff(tile, prepend=-1))
+    left, right = tile >> TILE_BITS, tile & (1 << TILE_BITS) - 1
+    near = (left < NEAR) & (right < NEAR)
+    mixed = (tile.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15) >> np.uint64(33)).astype(np.int64)
+    part = np.where(near, left * NEAR + right, NEAR * NEAR + mixed % spread.groups)
+    salt = np.where(near, spread.task % np.maximum(spread.salts // (1 + left + right), 1), 0)
+    order = np.argsort(part, kind="stable")
+    codes, counts, part, salt = codes[order], counts[order], part[order], salt[order]
+    first = np.flatnonzero(np.diff(part, prepend=-1))
     within = np.arange(len(codes)) - np.repeat(first, np.diff(first, append=len(codes)))
     starts = np.flatnonzero(within % CHUNK == 0)
-    left, right = tile[starts] >> TILE_BITS, tile[starts] & (1 << TILE_BITS) - 1
     offsets = np.append(starts, len(codes))
     return pa.record_batch({
         "lang": pa.array([lang] * len(starts), pa.string()),
-        "ti": pa.array(left, pa.int32()), "tj": pa.array(right, pa.int32()),
-        "salt": pa.array(salt % np.maximum(salts // (1 + left + right), 1), pa.int32()),
-        "cells": lists(offsets, pa.array(codes & CELLS - 1, pa.int32())),
+        "part": pa.array(part[starts], pa.int32()), "salt": pa.array(salt[starts], pa.int32()),
+        "least": pa.array(codes[starts], pa.int64()),
+        "codes": lists(offsets, pa.array(codes, pa.int64())),
         "counts": lists(offsets, pa.array(counts, pa.int64()))})
 
 
-def pair_counts(salts: int) -> Callable:
+def pair_counts(salts: int, groups: int) -> Callable:
     """Counts of the neighbours in sequences, a task's own put together as far as it holds them."""
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         context = TaskContext.get()
-        salt = context.partitionId() if context else 0
+        spread = Spread(salts, groups, context.partitionId() if context else 0)
         held: dict[str, tuple[np.ndarray, np.ndarray]] = {}
         for whole in batches:
             for lang, batch in by_language(whole):
@@ -267,38 +286,38 @@ def pair_counts(salts: int) -> Callable:
                     new = counted(*(np.concatenate(x) for x in zip(held[lang], new)))
                 held[lang] = new
             if sum(len(codes) for codes, _ in held.values()) > PAIRS_HELD:
-                yield from (tile_rows(lang, *pairs, salts, salt) for lang, pairs in held.items())
+                yield from (tile_rows(lang, *pairs, spread) for lang, pairs in held.items())
                 held.clear()
-        yield from (tile_rows(lang, *pairs, salts, salt) for lang, pairs in held.items())
+        yield from (tile_rows(lang, *pairs, spread) for lang, pairs in held.items())
 
     return count
 
 
 def merged_tiles(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[str, np.ndarray, np.ndarray]]:
-    """The whole count of every tile, from rows that are sorted by tile. The last tile of a batch
-    may go on in the next; it is held with each of its cells once."""
+    """The whole count of every pair, from rows that are sorted by language and first code. Codes
+    below the first one of a batch's last row are in no later row; the others are held, each once."""
     held: tuple[str, np.ndarray, np.ndarray] | None = None
     for whole in batches:
         for lang, batch in by_language(whole):
-            cells, offsets = flat_lists(batch["cells"])
-            tile = batch["ti"].to_numpy().astype(np.int64) << TILE_BITS | batch["tj"].to_numpy()
-            codes = np.repeat(tile << 2 * BITS, np.diff(offsets)) | cells
-            counts = flat_lists(batch["counts"])[0]
+            codes, counts = flat_lists(batch["codes"])[0], flat_lists(batch["counts"])[0]
             if held and held[0] != lang:
                 yield held
             elif held:
                 codes, counts = np.concatenate([held[1], codes]), np.concatenate([held[2], counts])
             codes, counts = counted(codes, counts)
-            last = np.searchsorted(codes, codes[-1] >> 2 * BITS << 2 * BITS)
-            yield lang, codes[:last], counts[:last]
-            held = lang, codes[last:], counts[last:]
+            done = np.searchsorted(codes, batch["least"][-1].as_py())
+            yield lang, codes[:done], counts[:done]
+            held = lang, codes[done:], counts[done:]
     if held:
         yield held
 
 
-def merge_salts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for lang, codes, counts in merged_tiles(batches):
-        yield tile_rows(lang, codes, counts, 1, 0)
+def merge_salts(groups: int) -> Callable:
+    def merge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for lang, codes, counts in merged_tiles(batches):
+            yield tile_rows(lang, codes, counts, Spread(1, groups, 0))
+
+    return merge
 
 
 def frequent(least: int) -> Callable:
@@ -317,10 +336,10 @@ def frequent_pairs(sequences: DataFrame, least: int) -> DataFrame:
     """The pairs (lang, a, b, f) that occur at least ``least`` times. Partial counts of a tile meet
     under several salts first, so that no task takes in those of all others."""
     parts = partitions(sequences)
-    tile = ["lang", "ti", "tj"]
-    partial = sequences.select("lang", "ids").mapInArrow(pair_counts(math.isqrt(parts)), TILE_ROWS)
-    salted = partial.repartition(parts, *tile, "salt").sortWithinPartitions(*tile).mapInArrow(merge_salts, TILE_ROWS)
-    return salted.repartition(parts, *tile).sortWithinPartitions(*tile).mapInArrow(
+    partial = sequences.select("lang", "ids").mapInArrow(pair_counts(math.isqrt(parts), parts), TILE_ROWS)
+    salted = partial.repartition(parts, "lang", "part", "salt").sortWithinPartitions("lang", "least").mapInArrow(
+        merge_salts(parts), TILE_ROWS)
+    return salted.repartition(parts, "lang", "part").sortWithinPartitions("lang", "least").mapInArrow(
         frequent(least), "lang string, a bigint, b bigint, f bigint")
 
 

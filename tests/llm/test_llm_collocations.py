@@ -3,10 +3,11 @@ import re
 from collections import Counter, defaultdict
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from feedloom.llm import collocations
-from feedloom.llm.collocations import CELLS, CHUNK, counted, frequent, merge_salts, mine, tile_rows, tiled, untiled
+from feedloom.llm.collocations import CHUNK, Spread, counted, frequent, merge_salts, mine, tile_rows, tiled, untiled
 
 SHORT = "doc_id bigint, text string, lang string, rank string, n string, row int, ids string"
 
@@ -113,22 +114,27 @@ def test_dense_and_sparse_tiles_count_alike():
 
 def test_rows_of_tiles_merge_across_batches():
     rng = np.random.default_rng(3)
-    parts = [tiled(rng.integers(0, 3000, 20_000) ** 2 // 3000, rng.integers(0, 3000, 20_000)) for _ in range(3)]
-    batches = []
+    parts = [tiled(rng.integers(0, 30_000, 20_000) ** 2 // 30_000, rng.integers(0, 9000, 20_000) ** 2 // 20_000)
+             for _ in range(3)]
+    rows = []
     for k, codes in enumerate(parts):
-        rows = tile_rows("en", *counted(codes, None), 4, k)
-        assert max(map(len, rows["cells"].to_pylist())) <= CHUNK
-        assert rows.schema.names == ["lang", "ti", "tj", "salt", "cells", "counts"]
-        batches += rows.to_pylist()
-    batches.sort(key=lambda r: (r["ti"], r["tj"]))
-    schema = rows.schema
-    cut = [schema.empty_table().from_pylist(batches[i:i + 37], schema).to_batches()[0] for i in range(0, len(batches), 37)]
-    merged = list(merge_salts(iter(cut)))
-    want = {k: v for k, v in counts_of(np.concatenate(parts)).items() if v >= 4}
+        batch = tile_rows("en", *counted(codes, None), Spread(4, 3, k))
+        assert max(map(len, batch["codes"].to_pylist())) <= CHUNK
+        assert set(batch["part"].to_pylist()) <= set(range(16 * 16 + 3)) and max(batch["salt"].to_pylist()) < 4
+        rows += batch.to_pylist()
+    # All rows of a code are in one group of tiles.
+    group = {}
+    for r in rows:
+        assert r["least"] == r["codes"][0] and r["codes"] == sorted(r["codes"])
+        for code in r["codes"]:
+            assert group.setdefault(code, r["part"]) == r["part"]
+    rows.sort(key=lambda r: r["least"])
+    cut = [pa.RecordBatch.from_pylist(rows[i:i + 37], batch.schema) for i in range(0, len(rows), 37)]
+    merged = sorted((r for b in merge_salts(3)(iter(cut)) for r in b.to_pylist()), key=lambda r: r["least"])
     out = {}
-    for batch in frequent(4)(iter(merged)):
-        for row in batch.to_pylist():
+    for found in frequent(4)(iter([pa.RecordBatch.from_pylist(merged, batch.schema)])):
+        for row in found.to_pylist():
             code = int(tiled(np.array([row["a"]]), np.array([row["b"]]))[0])
             assert code not in out
             out[code] = row["f"]
-    assert out == want and CELLS > 0
+    assert out == {k: v for k, v in counts_of(np.concatenate(parts)).items() if v >= 4} and out
