@@ -8,18 +8,25 @@ item of few shingles can meet only in those, and each may be hidden by a smaller
 it takes as many bins as that calls for. Bins
 are nested, so one pass over a document's sorted hashes gives the signatures of all sizes: a hash
 stands for its bin of b bits if it differs from the hash before it within the first b bits.
+
+A shingle of many items would pair each document that holds it with all of them. An item that has
+enough other shingles does without such hot ones: a document with containment t lacks few of its
+shingles, so it holds some of any larger set of them. How many bins a document and an item must share
+follows from that, and is counted before any text is read.
 """
 
 from __future__ import annotations
 
 import math
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from feedloom.llm.common import broadcast_if_light, hidden, pinned, restored, shingle_hashes, stored, word_array
 from feedloom.operators.skew import broadcast_if_small
 
+#: A shingle of more items than this is hot.
+HOT_ITEMS = 8
 #: Rows of hashes or candidates that may be broadcast; beyond that they are joined by shuffle.
 BROADCAST_ROWS = 200_000
 #: Shingles of all items that may be broadcast as text, each item counting for 40 at least.
@@ -40,14 +47,18 @@ def signature_rows(df: DataFrame, text: Column, words: int, keep: list[str]) ->
     return df.where("hash is not null").select(*keep, "total", "hash", bits.alias("bits"))
 
 
-def load(total: Column, least: float, miss: float) -> Column:
-    """Hashes per bin at which an item of ``total`` shingles is missed with the chance ``miss``.
+def fewest(total: Column, least: float) -> Column:
+    """Shingles that a document with containment ``least`` shares with an item of ``total``."""
+    return F.ceil(total * least - 1e-9)
+
+
+def load(shared: Column, miss: float) -> Column:
+    """Hashes per bin at which all of ``shared`` common shingles are hidden with the chance ``miss``.
 
     At a load of x a shared shingle is hidden by a smaller hash of its bin with the chance
-    1 - (1 - exp(-x)) / x, and an item has ``ceil(least * total)`` shared shingles at least. Both
-    first guesses lie below the root, and each step goes nearer to it from there.
+    1 - (1 - exp(-x)) / x. Both first guesses lie below the root, and each step goes nearer to it from
+    there.
     """
-    shared = F.ceil(total * least - 1e-9)
     hidden_ = F.pow(F.lit(miss), 1 / shared)
     low = F.greatest(2 * hidden_, hidden_ / (1 - hidden_))
     return F.when(hidden_ < 0.1, low).otherwise(F.aggregate(
@@ -59,20 +70,24 @@ def upper(total: Column) -> Column:
     return F.pow(F.lit(2.0), F.floor(F.log2(total.cast("double"))) + 1)
 
 
-def bins(total: Column, item_total: Column, item_load: Column, least: float, miss: float) -> Column:
-    """Bits of the signature that a document partition uses for an item: as many as both bounds
-    ask for, that of the likeness and that of the few shingles an item has. From 64 bits on the
-    signature is all hashes."""
-    inverse = (upper(total) + item_total * (1 - least)) / (item_total * least)
-    union = upper(total) + item_total * (1 - least)
-    return F.ceil(F.log2(F.greatest(inverse * -math.log(miss), union / item_load)))
+def union(total: Column, item_total: Column, least: float) -> Column:
+    """Shingles of a document and an item that it contains, at most."""
+    return upper(total) + item_total * (1 - least)
+
+
+def bins(union: Column, shared: Column, item_load: Column, miss: float) -> Column:
+    """Bits of the signature at a ``union`` of so many shingles: as many as both bounds ask for, that
+    of the likeness and that of the few shingles that are ``shared``. From 64 bits on the signature is
+    all hashes."""
+    return F.ceil(F.log2(F.greatest(union / shared * -math.log(miss), union / item_load)))
 
 
-def most_bins(total: Column, item_total: Column, item_load: Column, least: float, miss: float) -> Column:
-    """At least the bits of any item of ``item_total`` shingles and ``item_load`` or more that the
-    document can contain, which has at most total / least shingles."""
-    inverse = (upper(total) + item_total * (1 - least)) / (item_total * least)
-    return F.ceil(F.log2(F.greatest(inverse * -math.log(miss), upper(total) / least / item_load)))
+def needed(union: Column, shared: Column, bits: Column, miss: float) -> Column:
+    """Bins that are common at least, but for a chance of ``miss``. A shared shingle is hidden with the
+    chance x / 2 at most, x being the load, so k of ``shared`` ones are with (shared x / 2)^k at most."""
+    chance = shared * union / F.pow(F.lit(2.0), bits) / 2
+    lost = F.when(chance < 1, F.ceil(F.lit(math.log(miss)) / F.log(chance))).otherwise(shared)
+    return F.greatest(shared - F.when(bits < 64, lost).otherwise(0), F.lit(1))
 
 
 def shingle_texts(words: str, length: int) -> Column:
@@ -115,26 +130,49 @@ def find_contained(
         total.alias("item_shingles"), (F.col("shared") / total).alias("containment"))
 
 
+def wanted_hashes(items: DataFrame, words: int, least: float, miss: float) -> DataFrame:
+    """Per distinct item text (``_item_key``) the hashes that documents are searched for, with their bits,
+    ``item_total``, ``shared`` (of these hashes, those that a document with the wanted containment holds
+    at least) and ``item_load``.
+
+    All hashes that are not hot, and of the hot ones, the least frequent first, as many as make
+    ``shared`` at least 1. An item's rows are as many as its shingles.
+    """
+    rows = stored(signature_rows(items.dropDuplicates(["_item_key"]), F.col("item"), words, ["_item_key"]))
+    common = rows.groupBy("hash").agg(F.count("*").alias("items"))
+    rows = rows.join(common, "hash")
+    place = F.row_number().over(Window.partitionBy("_item_key").orderBy("items", "hash"))
+    cold = F.count_if(F.col("items") <= HOT_ITEMS).over(Window.partitionBy("_item_key"))
+    lacking = F.col("total") - fewest(F.col("total"), least)
+    return stored(
+        rows.withColumns({"place": place, "taken": F.greatest(cold, lacking + 1)}).where("place <= taken")
+        .select("_item_key", "hash", F.col("bits").alias("item_bits"), F.col("total").alias("item_total"),
+                (F.col("taken") - lacking).alias("shared"))
+        .withColumn("item_load", load(F.col("shared"), miss)))
+
+
 def candidates(
     docs: DataFrame, items: DataFrame, words: int, least: float, miss: float
 ) -> DataFrame:
-    """Distinct (``_key``, ``_item_key``) of a document's and an item's text with a common bin."""
-    wanted = stored(signature_rows(
-        items.dropDuplicates(["_item_key"]), F.col("item"), words, ["_item_key"]).withColumn(
-            "item_load", load(F.col("total"), least, miss)))
-    smallest, lightest = wanted.agg(F.min("total"), F.min("item_load")).head()
-    if smallest is None:
+    """Distinct (``_key``, ``_item_key``) of a document's and an item's text with as many common bins as
+    containment calls for."""
+    wanted = wanted_hashes(items, words, least, miss)
+    scarcest, lightest = wanted.agg(F.min("shared"), F.min("item_load")).head()
+    if scarcest is None:
         return docs.sparkSession.createDataFrame([], "_key string, _item_key string")
-    wanted = wanted.select("_item_key", "hash", F.col("bits").alias("item_bits"),
-                           F.col("total").alias("item_total"), "item_load")
     rows = signature_rows(docs, F.col("text"), words, ["_key"])
-    rows = rows.where(F.col("bits") <= most_bins(
-        F.col("total"), F.lit(smallest), F.lit(lightest), least, miss))
-    use = bins(F.col("total"), F.col("item_total"), F.col("item_load"), least, miss)
+    # A document contains no item of more than total / least shingles; so many bits no item exceeds.
+    rows = rows.where(F.col("bits") <= bins(
+        upper(F.col("total")) / least, F.lit(scarcest), F.lit(lightest), miss))
+    either = union(F.col("total"), F.col("item_total"), least)
+    use = bins(either, F.col("shared"), F.col("item_load"), miss)
+    found = rows.join(broadcast_if_small(wanted, BROADCAST_ROWS)[0], "hash").where(
+        (F.col("bits") <= use) & (F.col("item_bits") <= use))
+    # Copies of a text bring each hash again, so hashes are counted once.
     return stored(
-        rows.join(broadcast_if_small(wanted, BROADCAST_ROWS)[0], "hash")
-        .where((F.col("bits") <= use) & (F.col("item_bits") <= use))
-        .select("_key", "_item_key").distinct())
+        found.groupBy("_key", "_item_key", needed(either, F.col("shared"), use, miss).alias("needed"))
+        .agg(F.collect_set("hash").alias("hashes")).where(F.size("hashes") >= F.col("needed"))
+        .select("_key", "_item_key"))
 
 
 def decontaminate(docs: DataFrame, items: DataFrame, text: str = "text", **options) -> DataFrame:

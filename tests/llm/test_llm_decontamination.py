@@ -86,8 +86,35 @@ def test_items_of_few_shingles_are_found_in_thousands_of_documents(spark, docs,
 
 def test_signatures_keep_the_promised_miss(spark):
     """The load of a bin is the largest at which all shared shingles are hidden at most so often."""
-    loads = {q: x for q, x in spark.range(1, 400).select("id", decontamination.load(F.col("id"), 0.8, 1e-6)).collect()}
+    shared = decontamination.fewest(F.col("id"), 0.8)
+    loads = {q: x for q, x in spark.range(1, 400).select("id", decontamination.load(shared, 1e-6)).collect()}
     for q, x in loads.items():
         chance = (1 - (1 - math.exp(-x)) / x) ** math.ceil(0.8 * q - 1e-9) if x > 1e-4 else x / 2
         assert 3e-7 < chance <= 1.01e-6
     assert sorted(loads.values()) == [loads[q] for q in sorted(loads)]
+
+
+def test_a_stock_sentence_of_all_items_makes_no_pairs(spark, docs, prose):
+    """300 items and 1,000 documents that share a sentence; ten documents contain an item each."""
+    stock = "as everybody knows by now this is the one sentence that all of them hold"
+    items = [(k, f"{prose(30_000 + k, 25)} {stock}") for k in range(300)]
+    rows = [(i, f"{prose(i, 40)} {stock} {prose(i + 50_000, 40)}", "a") for i in range(1000)]
+    rows += [(2000 + k, f"{prose(9, 30)} {items[k][1]}", "a") for k in range(10)]
+    frame = docs(rows).selectExpr("doc_id", "text", "md5(text) as _key")
+    table = spark.createDataFrame(items, "item_id bigint, text string")
+    named = table.selectExpr("item_id", "text as item", "md5(text) as _item_key")
+    # Of 303,000 pairs of a document and an item; some share the word before the sentence too.
+    assert decontamination.candidates(frame, named, 5, 0.8, 1e-6).count() <= 300
+    got = {(r.doc_id, r.item_id) for r in find_contained(docs(rows), table).collect()}
+    assert got == {(2000 + k, k) for k in range(10)}
+
+
+def test_items_of_mostly_hot_shingles(spark, docs, prose):
+    """Items that share all, nearly all or half of their shingles with many others, and parts of them."""
+    stock = prose(1, 40)
+    items = [(k, f"{stock} {prose(100 + k, n)}".strip()) for n in (0, 3, 8, 40) for k in range(100 * n, 100 * n + 15)]
+    rows = [(i, f"{prose(i, 20)} {items[i % 60][1] if i % 3 else stock} {prose(i + 900, 9)}", "a") for i in range(120)]
+    words = stock.split()
+    rows += [(500 + n, f"{prose(n, 9)} {' '.join(words[:n])} {prose(n + 1, 9)}", "a") for n in range(5, 40)]
+    got = find_contained(docs(rows), spark.createDataFrame(items, "item_id bigint, text string")).collect()
+    assert sorted((str(r.doc_id), str(r.item_id), r.shared, r.item_shingles) for r in got) == brute(rows, items)
