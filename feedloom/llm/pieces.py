@@ -2,8 +2,8 @@
 strings, runs without white space, and the pieces of a run in byte symbols.
 
 White space separates pieces and is dropped, so runs without it can be looked at one by one. The
-library's own normaliser and splitter judge every run with a character beyond ASCII, since their
-letter, number and lower-case tables are not Python's; within ASCII there is nothing to differ on.
+library's own normaliser and splitter judge every run with a character beyond Latin-1 letters, since
+their letter, number and lower-case tables are not Python's; within these there is nothing to differ on.
 """
 
 from __future__ import annotations
@@ -25,6 +25,13 @@ class Splitter:
         self.special = regex.compile("(" + "|".join(map(regex.escape, self.specials)) + ")")
         pattern = spec["pre_tokenizer"]["pretokenizers"][0]["pattern"]["Regex"]
         self.ascii_piece = regex.compile(pattern, regex.ASCII)
+        # The same for Latin-1 letters, each of which the library lowers and splits alike; its byte
+        # symbols come from the library.
+        letters = [chr(c) for c in range(0xC0, 0x100) if chr(c).isalpha()]
+        self.latin = regex.compile("[!-~" + "".join(letters) + "]+")
+        self.latin_piece = regex.compile(pattern)
+        self.latin_symbols = str.maketrans({
+            c: "".join(p for p, _ in self.split(c)) for c in letters if c == c.lower()})
         self.gap = regex.compile(r"[\x20\x09-\x0D]+")
         self.separators = regex.compile("[\x1c-\x1f]")
 
@@ -45,4 +52,6 @@ class Splitter:
             # Control characters and blanks are the only ASCII bytes whose symbol is another one.
             if run.isprintable():
                 return found
+        elif self.latin.fullmatch(run):
+            return [p.translate(self.latin_symbols) for p in self.latin_piece.findall(run.lower())]
         return [piece for piece, _ in self.split(self.normalise(run))]
