@@ -1,5 +1,6 @@
 """Streaming attribution and scoring against the batch operators."""
 from dataclasses import replace
+from datetime import timedelta
 
 import pytest
 from conftest import SCHEMAS, at
@@ -13,10 +14,18 @@ from feedloom.streaming.attribution import attribute_stream, nearby_stream, stre
 from feedloom.streaming.scoring import score_stream
 
 NAMES = [*LABEL_CODES, "is_click"]
+#: Rows of state after each batch, by the stream's checkpoint.
+STATES: dict[str, list[int]] = {}
+
+
+#: A row of each log long after all others, of a user of its own, with which the watermark passes them.
+LATER = {"user_id": 99, "scroll_id": 99, "created_at": at(30 * 86400)}
 
 
 def streamed(spark, tmp_path, table, shown, acted, **options):
+    """Labels by the stream's masks, once the watermark has passed all rows."""
     paths = {}
+    shown, acted = [*shown, LATER | {"id": -1}], [*acted, LATER | {"event_type": 3}]
     for name, rows in (("scroll_impressions", shown), ("scroll_interactions", acted)):
         paths[name] = str(tmp_path / name)
         for part in [rows[:len(rows) // 2], rows[len(rows) // 2:]]:
@@ -34,10 +43,13 @@ def streamed(spark, tmp_path, table, shown, acted, **options):
     )
     query.awaitTermination(180)
     assert query.exception() is None
+    STATES[str(tmp_path / "checkpoint")] = [
+        sum(op.numRowsTotal for op in progress.stateOperators) for progress in query.recentProgress]
     rows = stream_labels(
         spark.read.parquet(paths["scroll_impressions"]), spark.read.parquet(out)).collect()
     got = {r.impression_id: tuple(r[n] for n in NAMES) for r in rows}
     assert len(got) == len(rows)
+    del got[-1]
     return got
 
 
@@ -98,7 +110,31 @@ def test_nearby_state_ends_with_the_horizon(spark, tmp_path, table):
         spark.readStream.schema(SCHEMAS["scroll_impressions"]).parquet(str(tmp_path / "a")),
         spark.readStream.schema(SCHEMAS["scroll_interactions"]).parquet(str(tmp_path / "b")))
     plan = stream._jdf.queryExecution().analyzed().toString()
-    assert "INTERVAL '60' MINUTE" in plan and "INTERVAL '1440'" not in plan
+    assert "INTERVAL '61' MINUTE" in plan and "INTERVAL '1440'" not in plan
+
+
+def test_output_and_state_in_proportion_to_the_impressions(spark, tmp_path, table):
+    """10,000 impressions and 10,000 events of one user and item within an hour: 10^8 pairs, and no
+    more rows than minutes an impression; the state is gone when the horizon has passed."""
+    n = 10_000
+    shown = [{"id": i, "user_id": 1, "scroll_id": 1, "created_at": at(i * 0.36 + 0.01)} for i in range(n)]
+    acted = [{"user_id": 1, "scroll_id": 1, "event_type": 1 + i % 15, "created_at": at(i * 0.36)} for i in range(n)]
+    got = streamed(spark, tmp_path, table, shown, acted)
+    assert got == batched(table, shown, acted)
+    masks = spark.read.parquet(str(tmp_path / "out"))
+    assert n / 2 < masks.count() <= 61 * n
+    state = STATES[str(tmp_path / "checkpoint")]
+    assert max(state) <= 3 * n and state[-1] <= 4
+
+
+def test_minutes_at_the_edges_of_the_horizon(spark, tmp_path, table):
+    """Events around an impression and around the end of its hour, microseconds apart, out of order."""
+    shown = [{"id": i, "user_id": 1, "scroll_id": 1, "session_id": [None, "a", "b"][i % 3],
+              "created_at": at(30.5) + timedelta(microseconds=i // 3)} for i in range(12)]
+    acted = [{"user_id": 1, "scroll_id": 1, "event_type": 1 + i, "session_id": [None, "a"][i % 4 // 2],
+              "created_at": at(30.5 + 3600 * (i % 2)) + timedelta(microseconds=(i * 4) % 7 - 2)} for i in range(15)]
+    got = streamed(spark, tmp_path, table, shown, acted)
+    assert got == batched(table, shown, acted) and len(set(got.values())) > 3
 
 
 def test_scoring_stream_uses_the_active_models(spark, tmp_path):
