@@ -1,5 +1,5 @@
 """Jobs for spark-submit: bootstrap, build, train, cycle, score, score-stream, attribute-stream,
-labels, evaluate, calibrate, importance, check.
+compact-masks, labels, evaluate, calibrate, importance, check.
 
     python -m feedloom build --tables /data/tables --out /data/training --start 2024-03-01
     python -m feedloom score --data /data/items --runs /data/training_runs --keep id --out /data/scored
@@ -15,7 +15,7 @@ from pyspark.sql import SparkSession
 
 from feedloom.operators.summary import dataset_rates
 from feedloom.plans import cycle, dataset, evaluation, scoring, training
-from feedloom.sources import bootstrap, datasets, tables
+from feedloom.sources import bootstrap, datasets, masks, tables
 from feedloom.streaming import attribution
 from feedloom.streaming.scoring import score_stream
 
@@ -47,8 +47,9 @@ def load(spark: SparkSession, args) -> dict:
 def build(spark, args):
     """The dataset of all impressions, of a time range, whose rows replace those of the range in
     ``--out`` and leave the others, or of the newest, which replace all that is there."""
+    kept = masks.kept_masks(spark, args.masks_table) if args.masks_table else None
     frame = dataset.build_dataset(
-        load(spark, args), start=args.start, end=args.end, limit=args.limit)
+        load(spark, args), start=args.start, end=args.end, limit=args.limit, kept=kept)
     if args.limit is None:
         datasets.write_range(frame, args.out, args.start, args.end)
     else:
@@ -85,10 +86,10 @@ def run_score_stream(spark, args):
 
 def attribute_stream(spark, args):
     """Masks of the logs in the folder of tables, as they arrive."""
-    masks = attribution.attribute_stream(
+    found = attribution.attribute_stream(
         stream_of(spark, f"{args.tables}/scroll_impressions"),
         stream_of(spark, f"{args.tables}/scroll_interactions"), salts=args.salts)
-    masks.writeStream.format("parquet").option("checkpointLocation", args.checkpoint).trigger(
+    found.writeStream.format("parquet").option("checkpointLocation", args.checkpoint).trigger(
         **trigger(args)).start(args.out).awaitTermination()
 
 
@@ -96,6 +97,11 @@ def trigger(args) -> dict:
     return {"availableNow": True} if args.once else {"processingTime": "10 seconds"}
 
 
+def compact_masks(spark, args):
+    """Merge the masks that a stream has written into the kept table, which ``build`` can join."""
+    masks.compact_masks(spark.read.parquet(args.data[0]), args.masks_table, args.buckets, args.id_type)
+
+
 def labels(spark, args):
     """Labels of all impressions by the masks that a stream has written."""
     shown = load(spark, args)["scroll_impressions"]
@@ -135,6 +141,7 @@ JOBS = {
     "score": score,
     "score-stream": run_score_stream,
     "attribute-stream": attribute_stream,
+    "compact-masks": compact_masks,
     "labels": labels,
     "evaluate": evaluate,
     "calibrate": calibrate,
@@ -160,6 +167,9 @@ def arguments(argv: list[str] | None = None) -> argparse.Namespace:
     parser.add_argument("--keep", nargs="+", help="id columns to carry along")
     parser.add_argument("--checkpoint", help="checkpoint folder of a stream")
     parser.add_argument("--once", action="store_true", help="stop a stream when its input is read")
+    parser.add_argument("--masks-table", help="catalog table of kept label masks, see compact-masks")
+    parser.add_argument("--buckets", type=int, default=256, help="buckets of a new masks table")
+    parser.add_argument("--id-type", default="bigint", help="type of the impressions' ids")
     parser.add_argument("--salts", type=int, default=1)
     parser.add_argument("--synthetic", help="synthetic dataset for the cycle's fallback")
     parser.add_argument("--task", choices=["engagement", "commerce"], default="engagement")

@@ -149,6 +149,16 @@ def label_masks(
         .unionByName(nearby_masks(base, interactions, **options)))
 
 
+def with_kept_labels(base: DataFrame, nearby: DataFrame, kept: DataFrame) -> DataFrame:
+    """Attach the thirteen labels by two sets of masks: those of events near the impressions and a
+    ``kept`` table with one row per impression. The table is joined as it lies, so that a table bucketed
+    by impression_id is not shuffled."""
+    joined = base.join(merged_masks(nearby), "impression_id", "left").join(
+        kept.select("impression_id", F.col("mask").alias("kept_mask")), "impression_id", "left")
+    return joined.selectExpr(
+        "* except (mask, kept_mask)", *label_columns("(coalesce(mask, 0) | coalesce(kept_mask, 0))"))
+
+
 def merged_masks(masks: DataFrame) -> DataFrame:
     """One mask per impression_id."""
     return masks.groupBy("impression_id").agg({"mask": "bit_or"}).toDF("impression_id", "mask")

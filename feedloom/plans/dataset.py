@@ -11,7 +11,7 @@ from feedloom.operators.affinity import (
     join_creator_affinity,
     join_position_bias,
 )
-from feedloom.operators.attribution import label_masks, with_labels
+from feedloom.operators.attribution import label_masks, nearby_masks, with_kept_labels, with_labels
 from feedloom.operators.frames import training_frame
 from feedloom.operators.items import PRODUCT_KEY, item_features, join_items, resolve_items
 from feedloom.operators.newest import between, newest_rows
@@ -46,12 +46,15 @@ def build_dataset(
     fill_scores: bool = False,
     hot_support: float | None = 0.001,
     direct: DataFrame | None = None,
+    kept: DataFrame | None = None,
 ) -> DataFrame:
     """The training frame of the impressions created in [start, end), or of the ``limit`` newest.
 
     Of impressions before the range, session context reads one start per session that goes on. The
     newest rows are chosen once and stored, and their oldest time bounds what else is read.
-    ``direct`` is a kept table of the masks of events that name their impression. Labels and context are
+    ``direct`` is a kept table of the masks of events that name their impression. ``kept`` is one with a row
+    per impression, bucketed by its id (``sources.masks``): then the log is only read around the range
+    and the history of masks is joined without an exchange. Labels and context are
     computed on the few columns they need and meet the wide rows in one shuffle by impression id;
     the remaining joins bring in the item, affinity and position tables.
     """
@@ -67,10 +70,13 @@ def build_dataset(
     hot = hot_keys(base, hot_support)
 
     users = hot.get("user_id")
-    masks = label_masks(
-        base, tables["scroll_interactions"], direct, hot_users=users, start=start, end=end)
+    reach = {"hot_users": users, "start": start, "end": end}
+    if kept is None:
+        labelled = with_labels(base, label_masks(base, tables["scroll_interactions"], direct, **reach))
+    else:
+        labelled = with_kept_labels(base, nearby_masks(base, tables["scroll_interactions"], **reach), kept)
     context = session_context(between(impressions, None, end), hot_users=users, since=start)
-    rows = with_session_context(with_labels(base, masks), context)
+    rows = with_session_context(labelled, context)
     rows = join_items(
         rows, tables["scrolls"], tables["products"], tables["scroll_stats"],
         tables["item_global_stats"], hot,
