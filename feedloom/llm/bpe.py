@@ -23,7 +23,7 @@ from feedloom.llm.common import hidden, restored
 from feedloom.llm.pieces import Splitter
 
 #: Runs, and pieces, kept with their tokens per Python worker, and the longest that is kept.
-CACHED_RUNS, CACHED_LENGTH = 200_000, 64
+CACHED_RUNS, CACHED_LENGTH = 400_000, 64
 
 
 class PairIndexEncoder:
@@ -45,6 +45,7 @@ class PairIndexEncoder:
         names = {i: s for s, i in self.ids.items()} | {i: s for s, i in self.splitter.specials.items()}
         # The last one stands for ids that are none.
         self.names = np.array([*(names.get(i) for i in range(max(names) + 1)), None], dtype=object)
+        self.named = np.array([name is not None for name in self.names])
         # The ids of byte symbols inside a piece and at its end; -1 for none.
         self.inner, self.final = (
             np.array([self.ids.get(chr(c) + end, -1) for c in range(1024)], dtype=np.int64)
@@ -180,9 +181,12 @@ class PairIndexEncoder:
     def decode_batch(self, ids: np.ndarray, offsets: list[int]) -> list[str]:
         """The tokens as the vocabulary writes them, joined by blanks, as its file names no other
         decoder; ids beyond the vocabulary are left out. Texts lie end to end in ``ids``."""
-        known = (ids >= 0) & (ids < len(self.names) - 1)
-        names = self.names[np.where(known, ids, -1)].tolist()
-        return [" ".join(filter(None, names[a:b])) for a, b in zip(offsets, offsets[1:])]
+        ids = np.where((ids >= 0) & (ids < len(self.names)), ids, len(self.names) - 1)
+        known = self.named[ids]
+        if not known.all():
+            offsets, ids = np.append(0, np.cumsum(known))[offsets].tolist(), ids[known]
+        names = self.names[ids].tolist()
+        return [" ".join(names[a:b]) for a, b in zip(offsets, offsets[1:])]
 
 
 @lru_cache(maxsize=2)
@@ -191,7 +195,7 @@ def encoder(path: str) -> PairIndexEncoder:
 
 
 #: Texts that are encoded together, by their bytes: bounds the index, not a text.
-TOGETHER = 1_000_000
+TOGETHER = 3_000_000
 
 
 def groups(texts: pa.Array) -> Iterator[pa.Array]:
