@@ -12,28 +12,36 @@ from feedloom.operators.summary import scored
 #: Distinct scores that one window group of ``auc`` should hold about, and sketches merged at first.
 ROWS_PER_RANGE, SKETCH_GROUPS = 1_000_000, 64
 MIN_RANGES, MAX_RANGES = 16, 8192
+#: Items of a quantile sketch: a range is off by less than a thousandth of the rows.
+SKETCH_SIZE = 8192
 
 
 def score_edges(df: DataFrame, scores: list[str]) -> dict[str, list[float]]:
     """Per score the values that cut its rows into ranges of about equal size; the number of ranges
     follows the number of rows.
 
-    They only balance the work of ``auc``; its result is the same for any edges. One scan, no
-    shuffle of rows: quantile sketches are merged in two levels, so no task takes in more than a
-    part of them, and at most MAX_RANGES numbers per score come back.
+    They only balance the work of ``auc``; its result is the same for any edges. One scan in one job,
+    no shuffle of rows: rows are counted beside quantile sketches, which are merged in two levels, so
+    no task takes in more than a part of them. The driver gets one sketch of fixed size and then at
+    most MAX_RANGES numbers per score.
     """
     wide = df.select(*[F.nanvl(F.col(c).cast("double"), F.lit(None)).alias(c) for c in scores])
-    ranges = min(MAX_RANGES, max(MIN_RANGES, -(-wide.count() // ROWS_PER_RANGE)))
-    size = min(65_535, max(200, 8 * ranges))
-    parts = wide.groupBy(F.pmod(F.spark_partition_id(), F.lit(SKETCH_GROUPS))).agg(*[
-        F.expr(f"kll_sketch_agg_double(`{c}`, {size})").alias(c) for c in scores])
-    merged = parts.agg(*[F.expr(f"kll_merge_agg_double(`{c}`)").alias(c) for c in scores])
+    names = [f"s{i}" for i in range(len(scores))]
+    parts = wide.groupBy(F.pmod(F.spark_partition_id(), F.lit(SKETCH_GROUPS))).agg(F.count("*").alias("rows"), *[
+        f(c).alias(prefix + n) for c, n in zip(scores, names) for prefix, f in (
+            ("known_", F.count), ("sketch_", lambda c: F.expr(f"kll_sketch_agg_double(`{c}`, {SKETCH_SIZE})")))])
+    found = parts.agg(F.sum("rows").alias("rows"), *[F.sum(f"known_{n}").alias(f"known_{n}") for n in names], *[
+        F.expr(f"kll_merge_agg_double(sketch_{n})").alias(f"sketch_{n}") for n in names]).head()
+    filled = [n for n in names if found[f"known_{n}"]]
+    if not filled:
+        return {c: [] for c in scores}
+    ranges = min(MAX_RANGES, max(MIN_RANGES, -(-found["rows"] // ROWS_PER_RANGE)))
     ranks = ", ".join(f"{i / ranges}D" for i in range(1, ranges))
-    known = wide.agg(*[F.count(c).alias(c) for c in scores]).head()
-    filled = [c for c in scores if known[c]]
-    found = merged.selectExpr(*[
-        f"kll_sketch_get_quantile_double(`{c}`, array({ranks})) as `{c}`" for c in filled]).head() if filled else {}
-    return {c: sorted(set(found[c])) if c in filled else [] for c in scores}
+    sketches = df.sparkSession.createDataFrame(
+        [tuple(found[f"sketch_{n}"] for n in filled)], ", ".join(f"{n} binary" for n in filled))
+    cuts = sketches.selectExpr(*[
+        f"kll_sketch_get_quantile_double({n}, array({ranks})) as {n}" for n in filled]).head()
+    return {c: sorted(set(cuts[n])) if n in filled else [] for c, n in zip(scores, names)}
 
 
 def auc(

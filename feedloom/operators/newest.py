@@ -4,10 +4,16 @@ from __future__ import annotations
 
 from datetime import datetime
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import IntegralType
 
-from feedloom.functions.columns import HOUR, floor_to, micros
+from feedloom.functions.columns import micros
+from feedloom.operators.selection import MOST_ROWS, beyond, edges, within
+
+#: Bits of a time in microseconds that are left out in each round of counting: about 18 minutes,
+#: a quarter of a second, one microsecond; and those of a whole number.
+TIME_SHIFTS, TIE_SHIFTS = [30, 18, 0], [48, 34, 20, 8, 0]
 
 
 def between(df: DataFrame, start: datetime | None, end: datetime | None) -> DataFrame:
@@ -24,28 +30,45 @@ def newest(df: DataFrame, n: int, time: str = "created_at", tie: str = "id") ->
     return newest_first(newest_rows(df, n, time, tie), time, tie)
 
 
-def newest_rows(df: DataFrame, n: int, time: str = "created_at", tie: str = "id") -> DataFrame:
+def newest_rows(
+    df: DataFrame, n: int, time: str = "created_at", tie: str = "id", most: int = MOST_ROWS
+) -> DataFrame:
     """The ``n`` newest rows, in no order; rows without a time count as newest, equal times go by
     descending ``tie``.
 
-    Rows are counted per hour first (a small aggregate), which tells the hour that holds the last
-    row to keep. Newer hours are kept whole, and only that hour is ordered.
+    Rows are counted by time, ever finer down to the microsecond, which tells the time that holds the
+    last row to keep. Newer rows are kept whole, and only the rows of that time are ordered: at most
+    ``most``, unless more have one and the same microsecond. Those are counted by ``tie`` in the same way
+    if it is a whole number, otherwise ordered.
     """
-    hour = F.expr(floor_to(micros(time), HOUR))
-    per_hour = df.groupBy(hour.alias("hour")).agg(F.count("*").alias("rows"))
-    latest_first = Window.orderBy(F.col("hour").desc_nulls_first())
-    newer = F.sum("rows").over(latest_first) - F.col("rows")
-    last = per_hour.withColumn("newer", newer).filter(F.col("newer") < n).orderBy(
-        F.desc("newer")).head()
-    if last is None:
+    if n <= 0:
         return df.limit(0)
-    if last["hour"] is None:
-        return df.filter(F.col(time).isNull()).orderBy(F.desc(tie)).limit(n)
-    first = F.timestamp_micros(F.lit(last["hour"]))
-    following = F.timestamp_micros(F.lit(last["hour"] + HOUR))
-    edge = df.filter((F.col(time) >= first) & (F.col(time) < following))
-    edge = edge.orderBy(F.desc(time), F.desc(tie)).limit(n - last["newer"])
-    return df.filter(F.col(time).isNull() | (F.col(time) >= following)).unionByName(edge)
+    none, us = F.col(time).isNull(), F.expr(micros(time))
+    # Rows without a time, as a group of their own.
+    unknown = df.where(none).count()
+    if unknown >= n:
+        return last_by_tie(df.where(none), n, unknown, tie, most)
+    known = df.where(~none)
+    edge = edges(
+        known.select(F.lit(0).alias("grp"), us.alias("key")), {0: n - unknown}, TIME_SHIFTS, most, descending=True).get(0)
+    if edge is None:
+        return df
+    newer = df.where(none | beyond(us, edge, descending=True))
+    last, missing = known.where(within(us, edge)), n - unknown - edge.before
+    if edge.rows > most:
+        return newer.unionByName(last_by_tie(last, missing, edge.rows, tie, most))
+    return newer.unionByName(last.orderBy(F.desc(time), F.desc(tie)).limit(missing))
+
+
+def last_by_tie(df: DataFrame, n: int, rows: int, tie: str, most: int) -> DataFrame:
+    """The ``n`` of ``rows`` rows with the largest ``tie``, nulls last."""
+    if rows <= most or not isinstance(df.schema[tie].dataType, IntegralType):
+        return df.orderBy(F.desc(tie)).limit(n)
+    key = F.coalesce(F.col(tie).cast("bigint"), F.lit(-(1 << 63)))
+    edge = edges(df.select(F.lit(0).alias("grp"), key.alias("key")), {0: n}, TIE_SHIFTS, most, descending=True)[0]
+    # Rows with the same tie are interchangeable, so any of them do.
+    return df.where(beyond(key, edge, descending=True)).unionByName(
+        df.where(within(key, edge)).orderBy(F.desc(tie)).limit(n - edge.before))
 
 
 def newest_first(

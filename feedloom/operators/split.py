@@ -2,13 +2,16 @@
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from feedloom.functions.columns import hash32
+from feedloom.functions.columns import any_of, hash32
+from feedloom.operators.selection import MOST_ROWS, edges, within
 
-#: Hash values per bucket, as a power of two: 4096 buckets of a 32-bit hash.
-BUCKET_BITS = 20
+#: Bits of the 32-bit hash that are left out in each round of counting.
+HASH_SHIFTS = [20, 8, 0]
 
 
 def split_hash(row_id: str, seed: int = 42) -> Column:
@@ -17,32 +20,31 @@ def split_hash(row_id: str, seed: int = 42) -> Column:
 
 
 def test_cuts(
-    df: DataFrame, label: str, row_id: str, fraction: float = 0.2, seed: int = 42
+    df: DataFrame, label: str, row_id: str, fraction: float = 0.2, seed: int = 42, most: int = MOST_ROWS
 ) -> list[tuple]:
     """(class, hash, id) of the last test row of each class.
 
     A class's test rows are the exact share with the smallest (hash, id): ``fraction`` of its rows,
-    rounded, and at least one of two. Rows are counted per class and bucket of the hash, and only
-    the bucket that holds a class's boundary is ordered. One row per class comes back.
+    rounded, and at least one of two. Rows are counted by ever more bits of the hash, until the keys
+    that hold a class's boundary have at most ``most`` rows, and only these are ordered. One row per
+    class comes back. ``df`` is read once for the classes, and once or twice for the boundaries, so
+    one that is costly to compute should be stored.
     """
-    rows = df.select(
-        F.col(label).alias("label"), F.col(row_id).alias("id"), split_hash(row_id, seed).alias("hash")
-    ).withColumn("bucket", F.shiftright("hash", BUCKET_BITS))
-    below = Window.partitionBy("label").orderBy("bucket")
-    total = F.sum("rows").over(Window.partitionBy("label"))
-    wanted = F.greatest(F.floor(total * fraction + 0.5), F.least(total - 1, F.lit(1)))
-    edge = (
-        rows.groupBy("label", "bucket").agg(F.count("*").alias("rows"))
-        .withColumns({"wanted": wanted, "upto": F.sum("rows").over(below)})
-        .where("upto >= wanted and upto - rows < wanted")
-        .select(F.col("label").alias("edge_label"), F.col("bucket").alias("edge_bucket"),
-                (F.col("wanted") - F.col("upto") + F.col("rows")).alias("place"))
-    )
-    ordered = rows.join(
-        F.broadcast(edge), F.expr("label <=> edge_label and bucket = edge_bucket"))
-    place = F.row_number().over(Window.partitionBy("label").orderBy("hash", "id"))
-    last = ordered.withColumn("nth", place).where("nth = place")
-    return [tuple(r) for r in last.select("label", "hash", "id").collect()]
+    rows = df.select(F.col(label).alias("grp"), F.col(row_id).alias("id"), split_hash(row_id, seed).alias("key"))
+    totals = {r[0]: r[1] for r in rows.groupBy("grp").count().collect()}
+    wanted = {g: max(math.floor(n * fraction + 0.5), min(n - 1, 1)) for g, n in totals.items()}
+    found = edges(rows, wanted, HASH_SHIFTS, most)
+    if not found:
+        return []
+    place = F.lit(None).cast("bigint")
+    for g, edge in found.items():
+        place = F.when(F.col("grp").eqNullSafe(F.lit(g)), wanted[g] - edge.before).otherwise(place)
+    mine = any_of([F.col("grp").eqNullSafe(F.lit(g)) & within(F.col("key"), e) for g, e in found.items()])
+    upto = F.sum("n").over(Window.partitionBy("grp").orderBy("key", "id"))
+    last = (
+        rows.where(mine).groupBy("grp", "key", "id").agg(F.count("*").alias("n"))
+        .withColumns({"upto": upto, "place": place}).where("upto >= place and upto - n < place"))
+    return [tuple(r) for r in last.select("grp", "key", "id").collect()]
 
 
 def is_test(label: str, row_id: str, cuts: list[tuple], seed: int = 42) -> Column:

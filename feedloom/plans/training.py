@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 
+from pyspark import inheritable_thread_target
 from pyspark.ml import PipelineModel
 from pyspark.ml.classification import GBTClassifier
 from pyspark.ml.feature import VectorAssembler
@@ -107,6 +110,21 @@ def feature_importance(model: PipelineModel) -> DataFrame:
     return frame.orderBy(F.desc("importance"), "feature")
 
 
+def side_by_side(spark: SparkSession, functions: list[Callable[[], object]]) -> list:
+    """The functions' results, all run at once from threads of the driver, each in a scheduler pool of
+    its own. Many small jobs one after the other, as boosting is, leave executors idle that another
+    model can use; under spark.scheduler.mode=FAIR the pools share them evenly. The first failure is
+    raised when all have ended."""
+    def in_pool(i: int, function: Callable[[], object]) -> object:
+        spark.sparkContext.setLocalProperty("spark.scheduler.pool", f"side-{i}")
+        return function()
+
+    with ThreadPoolExecutor(len(functions)) as threads:
+        target = inheritable_thread_target(spark)(in_pool)
+        running = [threads.submit(target, i, f) for i, f in enumerate(functions)]
+        return [r.result() for r in running]
+
+
 def train(
     spark: SparkSession, task: Task, paths: list[str], model_path: str
 ) -> tuple[PipelineModel, dict]:

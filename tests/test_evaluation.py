@@ -2,9 +2,10 @@
 import random
 
 import pytest
+from conftest import at
 from pyspark.sql import functions as F
 
-from feedloom.operators import evaluation, newest, promotion, split, summary
+from feedloom.operators import evaluation, newest, promotion, selection, split, summary
 from feedloom.operators.ranking import rank_scores
 from feedloom.plans.evaluation import calibration_report, shadow_report
 from feedloom.plans.scoring import score
@@ -228,3 +229,60 @@ def test_retention_spares_the_active_run(spark, active, expired):
     runs = spark.createDataFrame([(f"r{i:02}",) for i in range(12)], "run_id string")
     assert sorted(r.run_id for r in newest.expired_runs(runs, 10, active).collect()) == expired
     assert newest.expired_runs(runs, 12).count() == newest.expired_runs(runs, 0).count() == 0
+
+
+def test_selection_counts_until_few_rows_are_left(spark):
+    """Keys of all sizes, a third of them one, with small bounds; every place, from either end."""
+    rng = random.Random(1)
+    keys = sorted(rng.choice([rng.randrange(-50, 50), rng.randrange(-(1 << 62), 1 << 62), 7]) for _ in range(600))
+    rows = spark.createDataFrame([(g, k) for g in ("a", None) for k in keys], "grp string, key bigint")
+    for descending in (False, True):
+        order = keys[::-1] if descending else keys
+        for n in (1, 2, 199, 200, 430, 600):
+            found = selection.edges(rows, {"a": n, None: 601 - n, "none": 1}, [50, 40, 20, 6, 0], 3, descending)
+            assert set(found) == {"a", None}
+            for g, place in (("a", n), (None, 601 - n)):
+                e = found[g]
+                assert e.low <= order[place - 1] < e.high and e.rows == sum(e.low <= k < e.high for k in keys)
+                assert e.before == sum(k >= e.high if descending else k < e.low for k in keys)
+                assert e.rows <= 3 or e.high == e.low + 1
+    assert selection.edges(rows, {"a": 601}, [40, 0]) == {}
+
+
+@pytest.mark.parametrize("most", [1, 40, 100_000])
+def test_split_with_a_small_bound(spark, most):
+    df = spark.createDataFrame([(i, i % 10 == 0) for i in range(3000)], "id int, y boolean")
+    cuts = split.test_cuts(df, "y", "id", most=most)
+    assert sorted(cuts) == sorted(split.test_cuts(df, "y", "id"))
+    assert df.where(split.is_test("y", "id", cuts)).groupBy("y").count().orderBy("y").collect() == [(False, 540), (True, 60)]
+
+
+@pytest.mark.parametrize("most", [1, 25, 100_000])
+def test_newest_rows_with_a_small_bound(spark, most):
+    """Half of the rows inside one hour, a third of all at one microsecond, some without a time."""
+    rng = random.Random(2)
+    times = [None] * 20 + [at(5)] * 200 + [at(rng.random() * 3600) for _ in range(200)] + [
+        at(rng.random() * 10**7 - 5 * 10**6) for _ in range(200)]
+    rows = [(i, t) for i, t in enumerate(rng.sample(times, len(times)))]
+    df = spark.createDataFrame(rows, "id bigint, created_at timestamp")
+    order = sorted(rows, key=lambda r: (r[1] is None, r[1] or at(0), r[0]), reverse=True)
+    for n in (0, 1, 15, 20, 21, 150, 300, 420, 619, 620, 700):
+        got = {r.id for r in newest.newest_rows(df, n, most=most).collect()}
+        assert got == {i for i, _ in order[:n]}
+
+
+def test_edges_of_scores_take_one_scan(spark, monkeypatch):
+    """One job over the input for the edges: the counter of evaluated rows says so."""
+    seen = spark.sparkContext.accumulator(0)
+
+    def count(batches):
+        for batch in batches:
+            seen.add(len(batch))
+            yield batch
+
+    df = spark.range(5000).selectExpr("id % 2 as is_click", "id / 5000 as a", "cast(null as double) as b").mapInPandas(
+        count, "is_click bigint, a double, b double")
+    monkeypatch.setattr(evaluation, "ROWS_PER_RANGE", 100)
+    edges = evaluation.score_edges(df, ["a", "b"])
+    assert seen.value == 5000 and len(edges["a"]) >= 45 and edges["b"] == []
+    assert evaluation.auc(df, scores=["a", "b"], edges=edges).count() == 1 and seen.value == 10_000

@@ -2,12 +2,12 @@
 
 from __future__ import annotations
 
-import uuid
+from functools import partial
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from feedloom.contracts import EVENT_LABELS, EVENT_TYPES
+from feedloom.contracts import EVENT_LABELS, EVENT_TYPES, SCORE_COLUMNS
 from feedloom.functions.columns import HOUR, code_to_name, floor_to, name_to_code
 from feedloom.operators import evaluation, items, newest, promotion, split, stats, summary
 from feedloom.operators.affinity import (
@@ -22,7 +22,7 @@ from feedloom.operators.skew import frequent_values
 from feedloom.plans import scoring, training
 from feedloom.plans.dataset import build_dataset, hot_keys, labelled_impressions
 from feedloom.plans.evaluation import shadow_report
-from feedloom.sources import ledger
+from feedloom.sources import files, ledger
 from feedloom.sources import tables as tables_source
 from feedloom.sources.bootstrap import bootstrap_rows
 from workload.views import load
@@ -64,7 +64,7 @@ def labelled(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def shadow(spark: SparkSession, sf: str) -> tuple[DataFrame, DataFrame]:
-    return shadow_report(labelled(spark, sf))
+    return shadow_report(stored(labelled(spark, sf).select("is_click", *SCORE_COLUMNS)))
 
 
 def scored(spark: SparkSession, sf: str) -> DataFrame:
@@ -144,8 +144,14 @@ def event_names(spark, sf):
         "id", f"{name} as event_name", f"{name_to_code(name, EVENT_TYPES)} as event_code")
 
 
+def stored(df: DataFrame) -> DataFrame:
+    """Computed once, for operators that read their input more than once."""
+    files.set_checkpoint_dir(df.sparkSession)
+    return df.checkpoint()
+
+
 def split_rows(spark, sf):
-    rows = labelled(spark, sf).select("impression_id", "is_click")
+    rows = stored(labelled(spark, sf).select("impression_id", "is_click"))
     cuts = split.test_cuts(rows, "is_click", "impression_id")
     return rows.select(
         "impression_id", split.split_hash("impression_id").alias("hash"),
@@ -208,12 +214,12 @@ def bootstrap(spark, sf):
 def batch_probability(spark, sf):
     """Both models, trained in full on the whole dataset, score every row of it. Returned is what
     does not depend on the trees: the rows, and how many break the contract of a score."""
-    training.set_checkpoint_dir(spark)
+    files.set_checkpoint_dir(spark)
     rows = build_dataset(load(spark, sf)).checkpoint()
     commerce = summary.choose_target(summary.target_candidates(rows)).head()["target"]
-    models = tuple(
-        training.fit(task, rows, name)[0]
-        for task, name in ((training.ENGAGEMENT, "is_click"), (training.COMMERCE, commerce)))
+    models = tuple(model for model, _ in training.side_by_side(spark, [
+        partial(training.fit, task, rows, name)
+        for task, name in ((training.ENGAGEMENT, "is_click"), (training.COMMERCE, commerce))]))
     again = rank_scores(scoring.score(rows, models, keep=["impression_id"]).selectExpr(
         "impression_id", "engagement_score", "commerce_score", "completion_rate",
         "expected_ctr_at_position", "final_rank_score as given"))
@@ -229,14 +235,15 @@ def feature_importance(spark, sf):
     """Both tasks, trained in full by the job's own path on rows with a known click rule, one for
     each event; the first dataset asked for is missing. Returned is the metadata that is kept of a
     run and what holds of its importances whatever the trees are."""
-    training.set_checkpoint_dir(spark)
-    folder = f"{spark.sparkContext.getCheckpointDir()}/training-{uuid.uuid4().hex}"
+    folder = files.scratch_folder(spark, "training")
     ids = spark.read.parquet(f"{sf}/events.parquet").selectExpr("event_id as sample_id")
     bootstrap_rows(ids).write.parquet(f"{folder}/rows")
-    out = None
-    for task in (training.ENGAGEMENT, training.COMMERCE):
-        model, facts = training.train(
-            spark, task, [f"{folder}/missing", f"{folder}/rows"], f"{folder}/{task.name}")
+    tasks, out = (training.ENGAGEMENT, training.COMMERCE), None
+    trained = training.side_by_side(spark, [
+        partial(training.train, spark, task, [f"{folder}/missing", f"{folder}/rows"], f"{folder}/{task.name}")
+        for task in tasks])
+    files.delete_folder(spark, folder)
+    for model, facts in trained:
         rows = training.feature_importance(model).selectExpr(
             "count(*) as features", "round(sum(importance), 9) as total",
             "count_if(importance < 0) as negative")
@@ -307,7 +314,7 @@ QUERIES = {
     "event_names": event_names,
     "split": split_rows,
     "split_balance": lambda spark, sf: rounded(
-        split.split_balance(labelled(spark, sf), "is_click")),
+        split.split_balance(stored(labelled(spark, sf).select("impression_id", "is_click")), "is_click")),
     "rank_scores": ranks,
     "rank_scores_without_models": ranks_without_models,
     "promotion_gate": promotion_gate,
