@@ -6,6 +6,7 @@ from collections.abc import Iterable
 from datetime import datetime, timedelta, timezone
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from feedloom.functions.columns import MINUTE, SECOND, floor_to, micros, slots
 from feedloom.operators.newest import between
@@ -71,8 +72,7 @@ def slot_points(
     wide = slot_minutes * MINUTE
     back = max(velocity_minutes, idle_minutes) * MINUTE
     width = slot_width("user_id", hot_users, wide, min(wide, back))
-    known = impressions.where("user_id is not null and created_at is not null").selectExpr(
-        "id as impression_id", "user_id", "session_id", "created_at", f"{micros('created_at')} as us")
+    known = timed_rows(impressions)
     edge = since and since - timedelta(microseconds=back)
     rows = between(known, edge, None).withColumn("width", width)
     firsts = rows.select("user_id", "session_id", "width", "us")
@@ -97,6 +97,95 @@ def session_starts(history: DataFrame, live: DataFrame) -> DataFrame:
     return first.join(live.select(*key).distinct(), key, "left_semi")
 
 
+def timed_rows(impressions: DataFrame) -> DataFrame:
+    return impressions.where("user_id is not null and created_at is not null").selectExpr(
+        "id as impression_id", "user_id", "session_id", "created_at", f"{micros('created_at')} as us")
+
+
+# The streams a row belongs to: its user's and, if it has one, its session's. Each impression asks in
+# one of them, in the session's if it can: how many rows there are up to now (1), how many were there
+# before the last minutes (2) and, without a session, which row is the first after the idle cut (3).
+# Placeholders: rows, firsts, velocity, idle, since, block.
+BLOCK_POINTS_SQL = """
+select *, us - pmod(us, {block}L) as block from (
+  select user_id, stream, impression_id, inline(array(
+    named_struct('us', us, 'weight', 1, 'row_us', us, 'question', if(asks, 1, 0)),
+    named_struct('us', if(asks, us - {velocity}L, null), 'weight', 0, 'row_us', null, 'question', 2),
+    named_struct('us', if(asks and stream is null, us - {idle}L, null), 'weight', 0, 'row_us', null, 'question', 3)))
+  from (
+    select user_id, us, stream, impression_id,
+      stream <=> session_id and {since} as asks
+    from (select *, explode(if(session_id is null, array(session_id), array(null, session_id))) as stream from {{rows}}))
+  union all
+  select user_id, session_id, null, us, 0, us, 0 from {{firsts}} where session_id is not null)
+where us is not null
+"""
+
+# Running numbers inside blocks. Placeholders: points.
+IN_BLOCK_SQL = """
+select *, sum(weight) over (partition by user_id, stream, block order by us
+    range between unbounded preceding and current row) as counted,
+  min(row_us) over (partition by user_id, stream, block order by us desc
+    range between unbounded preceding and current row) as following
+from {points} where question > 0 or weight > 0
+"""
+
+# Totals of blocks and what lies before and after each: a row per block. Placeholders: points.
+BLOCKS_SQL = """
+select *, (sum(n) over earlier) - n as counted_before, (min(first_us) over earlier) as stream_first,
+  min(first_us) over (partition by user_id, stream order by block desc
+    rows between unbounded preceding and 1 preceding) as next_first
+from (select user_id, stream, block, sum(weight) as n, min(row_us) as first_us from {points} group by user_id, stream, block)
+window earlier as (partition by user_id, stream order by block rows between unbounded preceding and current row)
+"""
+
+# Placeholders: inside, blocks, minutes, second.
+BLOCK_CONTEXT_SQL = """
+select impression_id,
+  (max(if(question = 1, total, null)) - max(if(question = 2, total, null))) / {minutes} as session_velocity,
+  (max(if(question = 1, us, null)) - max(case when stream is null and question = 3 then coalesce(following, next_first)
+    when stream is not null and question = 1 then stream_first end)) / {second} as session_dwell_time
+from (
+  select i.*, i.counted + b.counted_before as total, b.next_first, b.stream_first
+  from {{inside}} i join {{blocks}} b
+  on i.user_id = b.user_id and i.stream <=> b.stream and i.block = b.block
+  where i.question > 0)
+group by impression_id
+"""
+
+
+def hot_session_context(
+    impressions: DataFrame,
+    velocity_minutes: int = 5,
+    idle_minutes: int = 30,
+    since: datetime | None = None,
+    block: int = SECOND,
+) -> DataFrame:
+    """``session_context`` for users with very many rows at a time, in two levels.
+
+    A stream (a user or a session) is cut into blocks of ``block`` microseconds. Counts and next rows
+    are running numbers inside a block, put together with the totals of the blocks before and after
+    it. What an impression asks about an earlier time is a row of the block of that time. So a group
+    holds the rows of one block, and one per block of a stream on the upper level, however many rows a
+    user has within a time slot.
+    """
+    back = max(velocity_minutes, idle_minutes) * MINUTE
+    edge = since and since - timedelta(microseconds=back)
+    known = timed_rows(impressions)
+    rows = between(known, edge, None)
+    # Starts of sessions that began out of reach.
+    firsts = session_starts(between(known, None, edge), between(known, since, None)) if since else rows.limit(0)
+    start = since and (since.astimezone(timezone.utc) - EPOCH) // timedelta(microseconds=1)
+    spark = impressions.sparkSession
+    points = spark.sql(
+        BLOCK_POINTS_SQL.format(
+            velocity=velocity_minutes * MINUTE + 1, idle=idle_minutes * MINUTE, block=block,
+            since=f"us >= {start}L" if since else "true"),
+        rows=rows.drop("created_at"), firsts=firsts.select("user_id", "session_id", "us"))
+    text = BLOCK_CONTEXT_SQL.format(minutes=f"{velocity_minutes}D", second=f"{SECOND}D")
+    return spark.sql(text, inside=spark.sql(IN_BLOCK_SQL, points=points), blocks=spark.sql(BLOCKS_SQL, points=points))
+
+
 def session_context(
     impressions: DataFrame,
     velocity_minutes: int = 5,
@@ -113,7 +202,7 @@ def session_context(
     the last ``velocity_minutes`` per minute; dwell is the seconds since the earliest peer.
 
     The log is cut into time slots, so a user or session of any length spreads over many tasks;
-    ``hot_users`` get shorter slots. A slot also holds what its rows look back to: copies of the
+    ``hot_users`` go through ``hot_session_context``, whose groups are blocks of a second. A slot also holds what its rows look back to: copies of the
     rows just before it, and for each session running into it one weightless row at the session's
     start. Every frame starts at the slot's beginning, so the work per slot is linear in its rows:
     a count over the last minutes is the difference of two growing counts, and the earliest peer
@@ -125,8 +214,11 @@ def session_context(
     into slots. The first slot may then lack its oldest rows, so a session's start also counts the
     slot it is in.
     """
-    points = slot_points(
-        impressions, velocity_minutes, idle_minutes, slot_minutes, hot_users, since)
+    if hot_users:
+        hot = F.col("user_id").isin(list(hot_users))
+        return session_context(impressions.where(~hot), velocity_minutes, idle_minutes, slot_minutes, None, since).unionByName(
+            hot_session_context(impressions.where(hot), velocity_minutes, idle_minutes, since))
+    points = slot_points(impressions, velocity_minutes, idle_minutes, slot_minutes, None, since)
     text = CONTEXT_SQL.format(
         velocity=f"{velocity_minutes * MINUTE + 1}L", idle=f"{idle_minutes * MINUTE + 1}L",
         minutes=f"{velocity_minutes}D", second=f"{SECOND}D",

@@ -4,7 +4,12 @@ import random
 import pytest
 from conftest import at
 
-from feedloom.operators.session import session_context, with_session_context
+from feedloom.operators.session import (
+    BLOCK_POINTS_SQL,
+    hot_session_context,
+    session_context,
+    with_session_context,
+)
 
 
 def context(table, rows, **options):
@@ -100,3 +105,33 @@ def test_sessions_across_slots(table, slot_minutes):
     assert got == {
         r["id"]: expected[r["id"]] for r in rows
         if r["user_id"] is not None and r["created_at"] >= since}
+    hot_late = session_context(df, slot_minutes=slot_minutes, since=since, hot_users=[1, 2, 3, 4]).collect()
+    assert {r.impression_id: (round(r.session_velocity, 6), r.session_dwell_time) for r in hot_late} == got
+
+
+@pytest.mark.parametrize("block", [1_000_000, 70_000_000, 10**12])
+def test_a_hot_user_in_two_levels(table, block):
+    """Rows in bursts of microseconds, at the edges of blocks, of the last minutes and of the idle cut."""
+    rng = random.Random(7)
+    steps = [0, 1, 2, 299_999_999, 300_000_000, 300_000_001, 999_999, 1_000_000, 1_800_000_000, 1_800_000_001]
+    rows = [{"id": i, "user_id": 1 + i % 2, "session_id": rng.choice([None, "a", "b"]),
+             "created_at": at(microseconds=sum(rng.sample(steps, 3)))} for i in range(400)]
+    df = table("scroll_impressions", *rows)
+    out = with_session_context(df.selectExpr("id as impression_id"), hot_session_context(df, block=block)).collect()
+    assert {r.impression_id: (round(r.session_velocity, 6), r.session_dwell_time) for r in out} == brute_force(rows)
+
+
+def test_no_group_holds_a_slot(spark, table):
+    """All 40,000 rows of a user within half an hour: groups of a second, whatever the slot holds."""
+    n = 40_000
+    shown = spark.range(n).selectExpr(
+        "id", "1L as user_id", "if(id % 2 = 0, 's', null) as session_id",
+        "timestamp_micros(1709294400000000 + id * 45000) as created_at")
+    points = spark.sql(BLOCK_POINTS_SQL.format(velocity=300_000_001, idle=1_800_000_000, block=1_000_000, since="true"),
+                       rows=shown.selectExpr("id as impression_id", "user_id", "session_id", "unix_micros(created_at) as us"),
+                       firsts=shown.selectExpr("user_id", "session_id", "0L as us").limit(0))
+    largest = points.groupBy("user_id", "stream", "block").count().agg({"count": "max"}).head()[0]
+    assert largest <= 3 * 23
+    got = session_context(shown, hot_users=[1])
+    plain = session_context(shown)
+    assert got.count() == n and got.exceptAll(plain).count() == 0
