@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 from feedloom.llm import decontamination, mixing, sharding, simhash, toxicity
 from feedloom.llm.common import ship
 from feedloom.llm.queries import mix_weight
+from feedloom.sources.files import delete_folder, shared_folder
 
 SHARDS = 24
 
@@ -69,17 +70,15 @@ ORACLE_SQL = None
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All stages over documents. Each result is written as Parquet into a new folder next to the
-    checkpoints, which all executors can reach, and read again; the folder is the caller's to keep."""
-    folder = shared_folder(spark)
+    checkpoints, which all executors can reach, and read again. A stage's folder goes when the next one
+    is written; the last one is the caller's to keep."""
+    folder, before = f"{shared_folder(spark)}/corpus-{uuid.uuid4().hex}", None
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     for name, stage in STAGES:
         path = f"{folder}/{name}"
         stage(spark, docs, sf_dir).write.parquet(path)
         docs = spark.read.parquet(path)
+        if before:
+            delete_folder(spark, before)
+        before = path
     return docs
-
-
-def shared_folder(spark: SparkSession) -> str:
-    named = spark.conf.get("spark.checkpoint.dir", None)
-    root = named or spark.conf.get("spark.sql.warehouse.dir")
-    return f"{root.rstrip('/')}/corpus-{uuid.uuid4().hex}"
