@@ -79,6 +79,9 @@ def features(word: str) -> list[str]:
     return ["=" + word, *("^" + word[:k] for k in range(3, min(9, len(word))))]
 
 
+TERM_FEATURES = sorted({f for term in KIND for f in features(term)})
+
+
 def words(text: str | None) -> list[str]:
     return WORD.findall((text or "").lower())
 
@@ -169,7 +172,9 @@ def feature_counts(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
 
 
 def informative(sample: DataFrame, positives: int, negatives: int, settings: Settings) -> list[str]:
-    """The features whose rows differ most between the classes by the likelihood ratio."""
+    """The features whose rows differ most between the classes by the likelihood ratio, and those of
+    identity terms, if ever so few rows have them: the penalty is about these, and they are a fixed
+    list."""
     rate = positives / (positives + negatives)
     found = sample.mapInPandas(feature_counts, "feature string, positive bigint, negative bigint")
     total = F.col("positive") + F.col("negative")
@@ -178,11 +183,11 @@ def informative(sample: DataFrame, positives: int, negatives: int, settings: Set
         return F.when(n > 0, n * F.log(n / (total * share))).otherwise(0.0)
 
     ratio = part(F.col("positive"), rate) + part(F.col("negative"), 1 - rate)
-    top = (
-        found.groupBy("feature").agg(F.sum("positive").alias("positive"), F.sum("negative").alias("negative"))
-        .where(total >= settings.least_rows)
-        .orderBy(F.round(ratio, 9).desc(), "feature").limit(settings.features).select("feature"))
-    return [r.feature for r in top.collect()]
+    counts = found.groupBy("feature").agg(F.sum("positive").alias("positive"), F.sum("negative").alias("negative"))
+    known = stored(counts.where(total >= settings.least_rows).select("feature", F.round(ratio, 9).alias("ratio")))
+    top = known.orderBy(F.desc("ratio"), "feature").limit(settings.features).collect()
+    terms = known.where(F.col("feature").isin(TERM_FEATURES)).collect()
+    return sorted({r.feature for r in [*top, *terms]})
 
 
 def training_rows(names: list[str], put_in: int = 0):
@@ -212,7 +217,7 @@ def training_rows(names: list[str], put_in: int = 0):
 def fit(docs: DataFrame, labels: DataFrame, trains: Column, settings: Settings = Settings()) -> Model:
     """A model from ``docs`` (doc_id, text) and ``labels`` (doc_id, label), of which rows with
     ``trains`` count. The sample is bounded by ``settings.max_rows`` and comes to the driver as
-    sparse vectors over at most ``settings.features`` features. Without both classes the score is
+    sparse vectors over at most ``settings.features`` features and those of identity terms. Without both classes the score is
     the smoothed share of positives."""
     sample = stored(labelled_sample(docs, labels, trains, settings.max_rows))
     n = {bool(r[0]): r[1] for r in sample.groupBy(F.col("label") > 0).count().collect()}
