@@ -31,11 +31,11 @@ from (
 where us is not null and {live}
 """
 
-# Placeholders: points, velocity, idle, minutes, second.
+# Peers up to now and, of these, before the last minutes; the time and the earliest peer's.
+# Placeholders: points, velocity, idle.
 CONTEXT_SQL = """
-select impression_id,
-  if(session_id is null, user_recent, session_recent) / {minutes} as session_velocity,
-  (us - if(session_id is null, user_first, session_first)) / {second} as session_dwell_time
+select impression_id, if(session_id is null, user_recent, session_recent) as now_count, 0L as then_count, us,
+  if(session_id is null, user_first, session_first) as first_us
 from (
   select impression_id, session_id, us,
     sum(weight) over user_past - coalesce(sum(weight) over user_before, 0) as user_recent,
@@ -139,29 +139,41 @@ from (select user_id, stream, block, sum(weight) as n, min(row_us) as first_us f
 window earlier as (partition by user_id, stream order by block rows between unbounded preceding and current row)
 """
 
-# Placeholders: inside, blocks, minutes, second.
-BLOCK_CONTEXT_SQL = """
-select impression_id,
-  (max(if(question = 1, total, null)) - max(if(question = 2, total, null))) / {minutes} as session_velocity,
-  (max(if(question = 1, us, null)) - max(case when stream is null and question = 3 then coalesce(following, next_first)
-    when stream is not null and question = 1 then stream_first end)) / {second} as session_dwell_time
+# The answer to each question, in the columns of the context. Placeholders: inside, blocks.
+ANSWERS_SQL = """
+select impression_id, if(question = 1, total, null) as now_count, if(question = 2, total, null) as then_count,
+  if(question = 1, us, null) as us,
+  case when stream is null and question = 3 then coalesce(following, next_first)
+    when stream is not null and question = 1 then stream_first end as first_us
 from (
   select i.*, i.counted + b.counted_before as total, b.next_first, b.stream_first
-  from {{inside}} i join {{blocks}} b
+  from {inside} i join {blocks} b
   on i.user_id = b.user_id and i.stream <=> b.stream and i.block = b.block
   where i.question > 0)
-group by impression_id
 """
 
 
-def hot_session_context(
+def finished(rows: DataFrame, velocity_minutes: int) -> DataFrame:
+    return rows.selectExpr(
+        "impression_id", f"(now_count - then_count) / {velocity_minutes}D as session_velocity",
+        f"(us - first_us) / {SECOND}D as session_dwell_time")
+
+
+def put_together(answers: DataFrame) -> DataFrame:
+    """One row per impression."""
+    columns = ["now_count", "then_count", "us", "first_us"]
+    return answers.groupBy("impression_id").agg(*[F.max(c).alias(c) for c in columns])
+
+
+def hot_answers(
     impressions: DataFrame,
     velocity_minutes: int = 5,
     idle_minutes: int = 30,
     since: datetime | None = None,
     block: int = SECOND,
 ) -> DataFrame:
-    """``session_context`` for users with very many rows at a time, in two levels.
+    """What ``session_context`` needs of users with very many rows at a time, in two levels: up to three
+    rows an impression.
 
     A stream (a user or a session) is cut into blocks of ``block`` microseconds. Counts and next rows
     are running numbers inside a block, put together with the totals of the blocks before and after
@@ -182,8 +194,7 @@ def hot_session_context(
             velocity=velocity_minutes * MINUTE + 1, idle=idle_minutes * MINUTE, block=block,
             since=f"us >= {start}L" if since else "true"),
         rows=rows.drop("created_at"), firsts=firsts.select("user_id", "session_id", "us"))
-    text = BLOCK_CONTEXT_SQL.format(minutes=f"{velocity_minutes}D", second=f"{SECOND}D")
-    return spark.sql(text, inside=spark.sql(IN_BLOCK_SQL, points=points), blocks=spark.sql(BLOCKS_SQL, points=points))
+    return spark.sql(ANSWERS_SQL, inside=spark.sql(IN_BLOCK_SQL, points=points), blocks=spark.sql(BLOCKS_SQL, points=points))
 
 
 def session_context(
@@ -202,7 +213,7 @@ def session_context(
     the last ``velocity_minutes`` per minute; dwell is the seconds since the earliest peer.
 
     The log is cut into time slots, so a user or session of any length spreads over many tasks;
-    ``hot_users`` go through ``hot_session_context``, whose groups are blocks of a second. A slot also holds what its rows look back to: copies of the
+    ``hot_users`` go through ``hot_answers``, whose groups are blocks of a second. A slot also holds what its rows look back to: copies of the
     rows just before it, and for each session running into it one weightless row at the session's
     start. Every frame starts at the slot's beginning, so the work per slot is linear in its rows:
     a count over the last minutes is the difference of two growing counts, and the earliest peer
@@ -214,16 +225,17 @@ def session_context(
     into slots. The first slot may then lack its oldest rows, so a session's start also counts the
     slot it is in.
     """
-    if hot_users:
-        hot = F.col("user_id").isin(list(hot_users))
-        return session_context(impressions.where(~hot), velocity_minutes, idle_minutes, slot_minutes, None, since).unionByName(
-            hot_session_context(impressions.where(hot), velocity_minutes, idle_minutes, since))
-    points = slot_points(impressions, velocity_minutes, idle_minutes, slot_minutes, None, since)
+    hot = F.col("user_id").isin(list(hot_users or []))
+    others = impressions.where(~hot) if hot_users else impressions
+    points = slot_points(others, velocity_minutes, idle_minutes, slot_minutes, None, since)
     text = CONTEXT_SQL.format(
-        velocity=f"{velocity_minutes * MINUTE + 1}L", idle=f"{idle_minutes * MINUTE + 1}L",
-        minutes=f"{velocity_minutes}D", second=f"{SECOND}D",
-    )
-    return impressions.sparkSession.sql(text, points=points)
+        velocity=f"{velocity_minutes * MINUTE + 1}L", idle=f"{idle_minutes * MINUTE + 1}L")
+    rows = impressions.sparkSession.sql(text, points=points)
+    if hot_users:
+        # Put together with the others' rows, so that the shuffle by impression serves the next join.
+        rows = put_together(rows.unionByName(
+            hot_answers(impressions.where(hot), velocity_minutes, idle_minutes, since)))
+    return finished(rows, velocity_minutes)
 
 
 def with_session_context(base: DataFrame, context: DataFrame) -> DataFrame:

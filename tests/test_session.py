@@ -6,7 +6,9 @@ from conftest import at
 
 from feedloom.operators.session import (
     BLOCK_POINTS_SQL,
-    hot_session_context,
+    finished,
+    hot_answers,
+    put_together,
     session_context,
     with_session_context,
 )
@@ -117,7 +119,8 @@ def test_a_hot_user_in_two_levels(table, block):
     rows = [{"id": i, "user_id": 1 + i % 2, "session_id": rng.choice([None, "a", "b"]),
              "created_at": at(microseconds=sum(rng.sample(steps, 3)))} for i in range(400)]
     df = table("scroll_impressions", *rows)
-    out = with_session_context(df.selectExpr("id as impression_id"), hot_session_context(df, block=block)).collect()
+    found = finished(put_together(hot_answers(df, block=block)), 5)
+    out = with_session_context(df.selectExpr("id as impression_id"), found).collect()
     assert {r.impression_id: (round(r.session_velocity, 6), r.session_dwell_time) for r in out} == brute_force(rows)
 
 
