@@ -135,7 +135,8 @@ BLOCKS_SQL = """
 select *, (sum(n) over earlier) - n as counted_before, (min(first_us) over earlier) as stream_first,
   min(first_us) over (partition by user_id, stream order by block desc
     rows between unbounded preceding and 1 preceding) as next_first
-from (select user_id, stream, block, sum(weight) as n, min(row_us) as first_us from {points} group by user_id, stream, block)
+from (select user_id, stream, block, sum(weight) as n, min(row_us) as first_us
+  from {points} group by user_id, stream, block)
 window earlier as (partition by user_id, stream order by block rows between unbounded preceding and current row)
 """
 
@@ -194,7 +195,8 @@ def hot_answers(
             velocity=velocity_minutes * MINUTE + 1, idle=idle_minutes * MINUTE, block=block,
             since=f"us >= {start}L" if since else "true"),
         rows=rows.drop("created_at"), firsts=firsts.select("user_id", "session_id", "us"))
-    return spark.sql(ANSWERS_SQL, inside=spark.sql(IN_BLOCK_SQL, points=points), blocks=spark.sql(BLOCKS_SQL, points=points))
+    inside, blocks = spark.sql(IN_BLOCK_SQL, points=points), spark.sql(BLOCKS_SQL, points=points)
+    return spark.sql(ANSWERS_SQL, inside=inside, blocks=blocks)
 
 
 def session_context(
@@ -213,7 +215,8 @@ def session_context(
     the last ``velocity_minutes`` per minute; dwell is the seconds since the earliest peer.
 
     The log is cut into time slots, so a user or session of any length spreads over many tasks;
-    ``hot_users`` go through ``hot_answers``, whose groups are blocks of a second. A slot also holds what its rows look back to: copies of the
+    ``hot_users`` go through ``hot_answers``, whose groups are blocks of a second. A slot also holds
+    what its rows look back to: copies of the
     rows just before it, and for each session running into it one weightless row at the session's
     start. Every frame starts at the slot's beginning, so the work per slot is linear in its rows:
     a count over the last minutes is the difference of two growing counts, and the earliest peer

@@ -11,7 +11,6 @@ from feedloom.operators.attribution import (
     CODES,
     SETS_LABEL,
     direct_masks,
-    event_bit,
     merged_masks,
     with_labels,
 )

@@ -86,7 +86,8 @@ def test_dates_with_fewer_columns_read_in_the_contract(spark, tables, tmp_path):
     datasets.write_dataset(old, out)
     got = datasets.read_dataset(spark, out)
     assert got.columns == DATASET_COLUMNS and dict(got.dtypes)["session_velocity"] == "double"
-    row = got.where("impressed_at >= '2024-03-04'").select("session_velocity", "is_pause", "position_index", "ml_shadow_score").distinct().collect()
+    late = got.where("impressed_at >= '2024-03-04'")
+    row = late.select("session_velocity", "is_pause", "position_index", "ml_shadow_score").distinct().collect()
     assert [tuple(r) for r in row] == [(1.0, 0, 0, None)]
 
 
