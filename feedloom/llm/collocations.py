@@ -34,7 +34,7 @@ PAIRS_HELD, WORDS_HELD = 2_000_000, 500_000
 #: Pairs in a row between tasks.
 CHUNK = 512
 #: Bytes of the most frequent words or pairs that every task gets; the others are joined.
-BROADCAST_BYTES = 32 << 20
+BROADCAST_BYTES = 16 << 20
 
 #: Ends a piece; no byte of UTF-8 text.
 BREAK = b"\xff"
@@ -444,7 +444,7 @@ def mine(docs: DataFrame, least: int = 30, longest: int = 4, covered: int = 80,
         if k < longest:
             # What a phrase of any length covers, the phrases of one word more inside it cover too.
             longer = levels[k].select("lang", F.inline(F.array(
-                F.struct(F.col("a").alias("place"), F.col("f").alias("cover")), F.struct(F.col("b").alias("place"), F.col("f").alias("cover")))))
+                *[F.struct(F.col(side).alias("place"), F.col("f").alias("cover")) for side in ("a", "b")])))
             longer = longer.groupBy("lang", "place").agg(F.max("cover").alias("cover"))
             level = level.join(longer, ["lang", "place"], "left").where(
                 "cover is null or cast(cover as decimal(20, 0)) * 100 < cast(f as decimal(20, 0)) * "

@@ -15,7 +15,21 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from feedloom.llm import bpe, chat, collocations, decontamination, fingerprints, lines, merkle, mixing, pii, sharding, simhash, tokens, toxicity
+from feedloom.llm import (
+    bpe,
+    chat,
+    collocations,
+    decontamination,
+    fingerprints,
+    lines,
+    merkle,
+    mixing,
+    pii,
+    sharding,
+    simhash,
+    tokens,
+    toxicity,
+)
 from feedloom.llm.common import ship
 
 
@@ -218,7 +232,8 @@ CRC = """
 
 ORACLES: dict[str, str] = {
     "op13_phrase_mining": f"""
-        with p as (select coalesce(lang, 'und') as lang, list_filter(string_split_regex(piece, '[\\x20\\x09]+'), lambda x: x <> '') as w
+        with p as (select coalesce(lang, 'und') as lang,
+            list_filter(string_split_regex(piece, '[\\x20\\x09]+'), lambda x: x <> '') as w
           from (select lang, unnest(string_split_regex({LOWERED}, '[.,;:!?\\x0A-\\x0D]')) as piece from documents) x),
         o as (select lang, w, unnest(range(1, len(w) + 1)) as i from p),
         g as (select lang, k, w[i:i + k - 1] as g, count(*) as f from o, range(1, 5) t(k)
@@ -230,8 +245,10 @@ ORACLES: dict[str, str] = {
           qualify row_number() over (partition by x.lang, x.g order by score, m) = 1),
         inner_parts as (select lang, g[i:i + len - 1] as g, max(a) as f from c, range(2, 4) s(len), range(1, 4) u(i)
           where len < k and i + len - 1 <= k group by 1, 2),
-        covered as (select c.lang, c.g from c join inner_parts x on x.lang = c.lang and x.g = c.g where 100 * x.f >= 80 * c.a),
-        ranked as (select lang, row_number() over (partition by lang order by score desc, a desc, array_to_string(g, ' ')) as rank,
+        covered as (select c.lang, c.g from c join inner_parts x on x.lang = c.lang and x.g = c.g
+          where 100 * x.f >= 80 * c.a),
+        ranked as (select lang,
+            row_number() over (partition by lang order by score desc, a desc, array_to_string(g, ' ')) as rank,
             array_to_string(g, ' ') as phrase, a, l, r, score from c anti join covered using (lang, g))
         select lang, rank, phrase, a, l, r, n, score from ranked join n using (lang) where rank <= 2000""",
     "op11_merkle_manifest": f"""

@@ -217,7 +217,8 @@ def training_rows(names: list[str], put_in: int = 0):
 def fit(docs: DataFrame, labels: DataFrame, trains: Column, settings: Settings = Settings()) -> Model:
     """A model from ``docs`` (doc_id, text) and ``labels`` (doc_id, label), of which rows with
     ``trains`` count. The sample is bounded by ``settings.max_rows`` and comes to the driver as
-    sparse vectors over at most ``settings.features`` features and those of identity terms. Without both classes the score is
+    sparse vectors over at most ``settings.features`` features and those of identity terms. Without both
+    classes the score is
     the smoothed share of positives."""
     sample = stored(labelled_sample(docs, labels, trains, settings.max_rows))
     n = {bool(r[0]): r[1] for r in sample.groupBy(F.col("label") > 0).count().collect()}
