@@ -10,11 +10,13 @@ from feedloom.operators.skew import Hot, broadcast_if_small, frequent_values, sp
 def join_category_affinity(
     base: DataFrame, affinity: DataFrame, hot: Hot | None = None
 ) -> DataFrame:
-    """user_category_score by (user_id, content_category); null where there is none."""
+    """user_category_score by (user_id, content_category); null where there is none. Affinities
+    grow with the users and are never broadcast."""
     scores = affinity.selectExpr(
         "user_id", "category_id as content_category", "cast(score as double) as user_category_score"
     )
-    return spread_left_join(base, [scores], ["user_id", "content_category"], "impression_id", hot)
+    return spread_left_join(
+        base, [scores.hint("merge")], ["user_id", "content_category"], "impression_id", hot)
 
 
 def join_creator_affinity(
@@ -24,7 +26,8 @@ def join_creator_affinity(
     scores = affinity.selectExpr(
         "user_id", "creator_id", "cast(score as double) as creator_affinity_score"
     )
-    return spread_left_join(base, [scores], ["user_id", "creator_id"], "impression_id", hot)
+    return spread_left_join(
+        base, [scores.hint("merge")], ["user_id", "creator_id"], "impression_id", hot)
 
 
 def join_position_bias(

@@ -172,6 +172,7 @@ def label_columns(mask: str) -> list[str]:
 
 
 def with_labels(base: DataFrame, masks: DataFrame) -> DataFrame:
-    """Attach the thirteen labels; impressions without a mask get zeros."""
-    joined = base.join(masks, "impression_id", "left")
+    """Attach the thirteen labels; impressions without a mask get zeros. Masks grow with the log and
+    are never broadcast."""
+    joined = base.join(masks.hint("merge"), "impression_id", "left")
     return joined.selectExpr("* except (mask)", *label_columns("coalesce(mask, 0)"))

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 
 from feedloom.contracts import ITEM_TYPES
 from feedloom.functions.columns import DAY, HOUR, micros, or_zero, ratio
-from feedloom.operators.skew import Hot, spread_left_join
+from feedloom.operators.skew import Hot, spread_left_join, unless_small
 
 SCROLL, PRODUCT = ITEM_TYPES["SCROLL"], ITEM_TYPES["PRODUCT"]
 
@@ -102,11 +102,13 @@ def join_items(
     """Attach the item tables. Two shuffles of the log at most: one by scroll, one by product."""
     with_scroll = spread_left_join(
         base.selectExpr("*", f"{PRODUCT_KEY} as product_key"),
-        [scroll_facts(scrolls), scroll_rates(scroll_stats)], ["scroll_id"], "impression_id", hot,
+        [scroll_facts(unless_small(scrolls)), scroll_rates(unless_small(scroll_stats))],
+        ["scroll_id"], "impression_id", hot,
     )
     return spread_left_join(
         with_scroll,
-        [product_facts(products), product_rates(item_stats)], ["product_key"], "impression_id", hot,
+        [product_facts(unless_small(products)), product_rates(unless_small(item_stats))],
+        ["product_key"], "impression_id", hot,
     )
 
 

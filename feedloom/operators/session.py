@@ -196,7 +196,8 @@ def hot_answers(
             since=f"us >= {start}L" if since else "true"),
         rows=rows.drop("created_at"), firsts=firsts.select("user_id", "session_id", "us"))
     inside, blocks = spark.sql(IN_BLOCK_SQL, points=points), spark.sql(BLOCKS_SQL, points=points)
-    return spark.sql(ANSWERS_SQL, inside=inside, blocks=blocks)
+    # Blocks grow with the log and are never broadcast.
+    return spark.sql(ANSWERS_SQL, inside=inside, blocks=blocks.hint("merge"))
 
 
 def session_context(
@@ -242,8 +243,9 @@ def session_context(
 
 
 def with_session_context(base: DataFrame, context: DataFrame) -> DataFrame:
-    """Attach the context; impressions without user or time get 0 for both."""
-    return base.join(context, "impression_id", "left").selectExpr(
+    """Attach the context; impressions without user or time get 0 for both. The context has a row
+    per impression and is never broadcast."""
+    return base.join(context.hint("merge"), "impression_id", "left").selectExpr(
         "* except (session_velocity, session_dwell_time)",
         "coalesce(session_velocity, 0D) as session_velocity",
         "coalesce(session_dwell_time, 0D) as session_dwell_time",

@@ -73,7 +73,8 @@ def spread_left_join(
     are repeated, in proportion to the key's share (4/support copies per unit of share at most, so
     a few thousand rows where the hot column is the whole key). All rights share the salted key,
     so the left side is shuffled once for all of them. Whether a right side is small enough to
-    broadcast is left to Spark, which compares its size with spark.sql.autoBroadcastJoinThreshold.
+    broadcast is left to Spark, which compares the size of its files with
+    spark.sql.autoBroadcastJoinThreshold, unless the right bears a hint (``unless_small``).
     """
     groups = group_count(on, hot or {})
     no_key = any_of([F.col(k).isNull() for k in on])
@@ -94,6 +95,13 @@ def slot_width(user: str, hot_users: Iterable | None, wide: int, narrow: int) ->
     return F.when(F.col(user).isin(list(hot_users)), narrow).otherwise(wide)
 
 
+def unless_small(df: DataFrame, max_rows: int = 10_000) -> DataFrame:
+    """``df`` with a merge join hint if it has more than ``max_rows`` rows, whatever its files' size:
+    a million rows of few values take a few megabytes of Parquet, but hundreds in the driver that
+    would broadcast them. With fewer rows the choice stays Spark's."""
+    return df if broadcast_if_small(df, max_rows)[1] else df.hint("merge")
+
+
 def broadcast_if_small(df: DataFrame, max_rows: int = 10_000) -> tuple[DataFrame, bool]:
     """``df`` with a broadcast hint if it has at most ``max_rows`` rows, and whether it has.
 

@@ -160,3 +160,34 @@ def test_more_events_never_lower_a_flag(stored):
     lowered = F.greatest(*[F.col(f"a.{c}") - F.col(f"b.{c}") for c in EVENT_LABELS])
     assert pairs.count() == 2400 and pairs.where(lowered > 0).count() == 0
     assert both.agg(F.sum("is_click")).head()[0] > some.agg(F.sum("is_click")).head()[0] > 0
+
+
+def test_large_tables_in_small_files_are_not_broadcast(spark, tables, tmp_path):
+    """20,000 items and affinities of few values take less than the threshold as files; broadcast they
+    would all go through the driver. A table of few rows is still broadcast."""
+    data = dict(tables())
+    def rows(name, n, values):
+        df = data[name]
+        spark.range(n).selectExpr(*[
+            f"cast({values.get(c, 'null')} as {df.schema[c].dataType.simpleString()}) as {c}" for c in df.columns
+        ]).write.parquet(f"{tmp_path}/{name}")
+        data[name] = spark.read.parquet(f"{tmp_path}/{name}")
+    many = 20_000
+    rows("scroll_impressions", 500, {
+        "id": "id", "user_id": "id % 40", "scroll_id": "id % 11", "position_index": "id % 15",
+        "created_at": "timestamp_micros(1709294400000000 + id * 36 * 1000000)"})
+    rows("scroll_interactions", 500, {"id": "id", "impression_id": "id", "event_type": "6"})
+    rows("scrolls", many, {"id": "id", "user_id": "1", "category": "'a'"})
+    rows("products", many, {"id": "id", "user_id": "1", "category": "'a'"})
+    rows("scroll_stats", many, {"scroll_id": "id", "impressions": "1"})
+    rows("item_global_stats", many, {"item_id": "id", "item_type": "2", "impressions": "1"})
+    rows("user_category_affinity", many, {"user_id": "id", "category_id": "'a'", "score": "1"})
+    rows("user_creator_affinity", many, {"user_id": "id", "creator_id": "1", "score": "1"})
+    frame = build_dataset(data)
+    plan = plan_of(frame)
+    # The position baseline alone.
+    assert len(re.findall(r"^\(\d+\) BroadcastExchange", plan, re.M)) == 1
+    assert frame.count() == 500
+    rows("position_bias_baseline", 3, {"position_index": "id", "expected_ctr": "0.1"})
+    few = {**data, "scrolls": data["scrolls"].where("id < 100"), "scroll_stats": data["scroll_stats"].where("scroll_id < 100")}
+    assert len(re.findall(r"^\(\d+\) BroadcastExchange", plan_of(build_dataset(few)), re.M)) == 3
