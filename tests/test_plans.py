@@ -13,6 +13,7 @@ from feedloom.operators.session import session_context, slot_points
 from feedloom.operators.skew import frequent_values
 from feedloom.plans.dataset import build_dataset
 from feedloom.sources.tables import from_parquet
+from workload import views
 
 
 def plan_of(df) -> str:
@@ -191,3 +192,18 @@ def test_large_tables_in_small_files_are_not_broadcast(spark, tables, tmp_path):
     rows("position_bias_baseline", 3, {"position_index": "id", "expected_ctr": "0.1"})
     few = {**data, "scrolls": data["scrolls"].where("id < 100"), "scroll_stats": data["scroll_stats"].where("scroll_id < 100")}
     assert len(re.findall(r"^\(\d+\) BroadcastExchange", plan_of(build_dataset(few)), re.M)) == 3
+
+
+def test_views_do_not_broadcast_the_items(spark, tmp_path):
+    """What batch_probability and all queries with affinities read: 20,000 items in a small file."""
+    spark.range(300).selectExpr(
+        "id as event_id", "timestamp_micros(1704067200000000 + id * 1000000) as ts", "id % 40 as user_id",
+        "if(id % 2 = 0, 'click', 'purchase') as event_type", "1D as value", "'{\"k\": 3}' as props",
+    ).write.parquet(f"{tmp_path}/events.parquet")
+    spark.range(20_000).selectExpr(
+        "id as p_partkey", "'a' as p_name", "'b' as p_brand", "'c' as p_type", "1 as p_size", "1D as p_retailprice",
+    ).write.parquet(f"{tmp_path}/part.parquet")
+    loaded = views.load(spark, str(tmp_path))
+    for name in ("user_category_affinity", "user_creator_affinity"):
+        assert loaded[name].count() == 40 / 2
+        assert "Broadcast" not in plan_of(loaded[name])
