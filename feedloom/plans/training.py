@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Callable
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
@@ -37,6 +38,9 @@ class Task:
     seed: int = 42
 
 
+#: Rows that a task of a boosting pass takes in at most.
+ROWS_PER_TASK = 500_000
+
 # Learning rates and feature fractions. Commerce picks its target from the data.
 ENGAGEMENT = Task("engagement", "is_click", 0.05, 0.9, False)
 COMMERCE = Task("commerce", None, 0.03, 0.8, True)
@@ -57,6 +61,15 @@ def row_id(df: DataFrame) -> str:
     return "impression_id" if "impression_id" in df.columns else "sample_id"
 
 
+def spread_evenly(df: DataFrame, rows: int, most: int = ROWS_PER_TASK) -> DataFrame:
+    """``df`` in partitions of about equal size, at least one per core and one per ``most`` of its
+    ``rows``. Boosting keeps the partitions it is given through its thousand passes, and those of
+    files follow row groups, of which many splits hold none. Rows are dealt by all their values, so
+    keys may be null or repeat, and a lost task gets the same rows again."""
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores * max(1, math.ceil(rows / most / cores)), *df.columns)
+
+
 def fit(task: Task, df: DataFrame, name: str) -> tuple[PipelineModel, DataFrame]:
     """A model trained on 80 % of the rows, and the scored other 20 %.
 
@@ -70,12 +83,13 @@ def fit(task: Task, df: DataFrame, name: str) -> tuple[PipelineModel, DataFrame]
     classifier = GBTClassifier(
         labelCol="_label", maxIter=task.max_iter, maxDepth=task.max_depth,
         stepSize=task.step_size, featureSubsetStrategy=str(task.feature_fraction), seed=task.seed,
-        cacheNodeIds=True, checkpointInterval=10,
+        cacheNodeIds=False, checkpointInterval=10,
     )
+    counts = train.agg(
+        F.count_if(F.col("_label") == 1).alias("p"), F.count_if(F.col("_label") == 0).alias("n"),
+        F.count("*").alias("rows")).head()
+    train = spread_evenly(train, counts["rows"])
     if task.reweight:
-        counts = train.agg(
-            F.count_if(F.col("_label") == 1).alias("p"), F.count_if(F.col("_label") == 0).alias("n")
-        ).head()
         weight = F.when(F.col("_label") == 1, counts["n"] / max(counts["p"], 1)).otherwise(1.0)
         train = train.withColumn("_weight", weight)
         classifier.setWeightCol("_weight")
@@ -110,16 +124,20 @@ def feature_importance(model: PipelineModel) -> DataFrame:
     return frame.orderBy(F.desc("importance"), "feature")
 
 
-def side_by_side(spark: SparkSession, functions: list[Callable[[], object]]) -> list:
+def side_by_side(spark: SparkSession, functions: list[Callable[[], object]], rows: int = 0) -> list:
     """The functions' results, all run at once from threads of the driver, each in a scheduler pool of
     its own. Many small jobs one after the other, as boosting is, leave executors idle that another
-    model can use; under spark.scheduler.mode=FAIR the pools share them evenly. The first failure is
-    raised when all have ended."""
+    model can use; under spark.scheduler.mode=FAIR the pools share them evenly. With more than
+    ROWS_PER_TASK ``rows`` per core one model alone keeps them busy and two would push each other's
+    stored rows to disk, so they run one after the other. The first failure is raised when all have
+    ended."""
+    few = rows <= ROWS_PER_TASK * spark.sparkContext.defaultParallelism
+
     def in_pool(i: int, function: Callable[[], object]) -> object:
         spark.sparkContext.setLocalProperty("spark.scheduler.pool", f"side-{i}")
         return function()
 
-    with ThreadPoolExecutor(len(functions)) as threads:
+    with ThreadPoolExecutor(len(functions) if few else 1) as threads:
         target = inheritable_thread_target(spark)(in_pool)
         running = [threads.submit(target, i, f) for i, f in enumerate(functions)]
         return [r.result() for r in running]

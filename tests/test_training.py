@@ -1,4 +1,6 @@
 """Sources, training, scoring and the cycle on synthetic rows."""
+import threading
+import time
 from dataclasses import replace
 
 import pytest
@@ -149,3 +151,37 @@ def test_rebuilt_stats(table):
         "scroll_id": 5, "impressions": 1, "completions": 1, "qualified_views": 0, "purchases": 0}
     got = {r.item_id: r for r in product_stats(shown, acted).collect()}
     assert (got[6].impressions, got[6].purchases, got[7].impressions, got[7].clicks) == (1, 1, 0, 1)
+
+
+def test_boosting_gets_even_partitions(spark, synthetic, monkeypatch):
+    """Rows in one partition of nine, a third without an id and a third twice: every core gets its share."""
+    rows = bootstrap.bootstrap(spark, 3000).coalesce(1).unionByName(
+        spark.read.parquet(synthetic).where("false").repartition(8)).withColumn(
+        "sample_id", F.expr("case sample_id % 3 when 0 then null when 1 then 1 else sample_id end"))
+    seen, fit = [], training.GBTClassifier.fit
+    def watched(self, df):
+        seen.append([r["count"] for r in df.groupBy(F.spark_partition_id().alias("p")).count().collect()])
+        return fit(self, df)
+    monkeypatch.setattr(training.GBTClassifier, "fit", watched)
+    training.fit(replace(SMALL[0], max_iter=1), rows, "is_click")
+    assert len(seen[0]) == spark.sparkContext.defaultParallelism
+    assert max(seen[0]) < 1.5 * sum(seen[0]) / len(seen[0])
+    many = training.spread_evenly(rows, 3000, most=100)
+    assert many.rdd.getNumPartitions() >= 30 and many.exceptAll(rows).count() == 0 and many.count() == 3000
+
+
+def test_large_models_train_one_after_the_other(spark):
+    """Two at once would keep both models' rows in the executors."""
+    running, most, lock = [0], [0], threading.Lock()
+    def step():
+        with lock:
+            running[0] += 1
+            most[0] = max(most[0], running[0])
+        time.sleep(0.3)
+        with lock:
+            running[0] -= 1
+        return most[0]
+    assert max(training.side_by_side(spark, [step, step], 1000)) == 2
+    most[0] = 0
+    bound = training.ROWS_PER_TASK * spark.sparkContext.defaultParallelism
+    assert training.side_by_side(spark, [step, step], bound + 1) == [1, 1]

@@ -219,7 +219,7 @@ def batch_probability(spark, sf):
     commerce = summary.choose_target(summary.target_candidates(rows)).head()["target"]
     models = tuple(model for model, _ in training.side_by_side(spark, [
         partial(training.fit, task, rows, name)
-        for task, name in ((training.ENGAGEMENT, "is_click"), (training.COMMERCE, commerce))]))
+        for task, name in ((training.ENGAGEMENT, "is_click"), (training.COMMERCE, commerce))], rows.count()))
     again = rank_scores(scoring.score(rows, models, keep=["impression_id"]).selectExpr(
         "impression_id", "engagement_score", "commerce_score", "completion_rate",
         "expected_ctr_at_position", "final_rank_score as given"))
@@ -237,11 +237,12 @@ def feature_importance(spark, sf):
     run and what holds of its importances whatever the trees are."""
     folder = files.scratch_folder(spark, "training")
     ids = spark.read.parquet(f"{sf}/events.parquet").selectExpr("event_id as sample_id")
-    bootstrap_rows(ids).write.parquet(f"{folder}/rows")
+    count = ids.count()
+    bootstrap_rows(training.spread_evenly(ids, count)).write.parquet(f"{folder}/rows")
     tasks, out = (training.ENGAGEMENT, training.COMMERCE), None
     trained = training.side_by_side(spark, [
         partial(training.train, spark, task, [f"{folder}/missing", f"{folder}/rows"], f"{folder}/{task.name}")
-        for task in tasks])
+        for task in tasks], count)
     files.delete_folder(spark, folder)
     for model, facts in trained:
         rows = training.feature_importance(model).selectExpr(
