@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import math
 from collections.abc import Callable
-from concurrent.futures import ThreadPoolExecutor
+from concurrent.futures import ThreadPoolExecutor, wait
 from dataclasses import dataclass
 
 from pyspark import inheritable_thread_target
@@ -40,6 +40,8 @@ class Task:
 
 #: Rows that a task of a boosting pass takes in at most.
 ROWS_PER_TASK = 500_000
+#: So often the driver's garbage is collected during training.
+RELEASE_SECONDS = 20
 
 # Learning rates and feature fractions. Commerce picks its target from the data.
 ENGAGEMENT = Task("engagement", "is_click", 0.05, 0.9, False)
@@ -130,7 +132,11 @@ def side_by_side(spark: SparkSession, functions: list[Callable[[], object]], row
     model can use; under spark.scheduler.mode=FAIR the pools share them evenly. With more than
     ROWS_PER_TASK ``rows`` per core one model alone keeps them busy and two would push each other's
     stored rows to disk, so they run one after the other. The first failure is raised when all have
-    ended."""
+    ended.
+
+    Boosting runs a job per level of a tree, and Spark takes buffers of 4 MB in the driver for each of
+    a job's broadcasts, whatever the rows. Its heap grows by them up to the limit unless it is collected
+    now and then, which also lets Spark's cleaner drop the broadcasts and shuffles of ended jobs."""
     few = rows <= ROWS_PER_TASK * spark.sparkContext.defaultParallelism
 
     def in_pool(i: int, function: Callable[[], object]) -> object:
@@ -140,6 +146,9 @@ def side_by_side(spark: SparkSession, functions: list[Callable[[], object]], row
     with ThreadPoolExecutor(len(functions) if few else 1) as threads:
         target = inheritable_thread_target(spark)(in_pool)
         running = [threads.submit(target, i, f) for i, f in enumerate(functions)]
+        spark._jvm.System.gc()
+        while wait(running, RELEASE_SECONDS).not_done:
+            spark._jvm.System.gc()
         return [r.result() for r in running]
 
 

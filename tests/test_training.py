@@ -185,3 +185,21 @@ def test_large_models_train_one_after_the_other(spark):
     most[0] = 0
     bound = training.ROWS_PER_TASK * spark.sparkContext.defaultParallelism
     assert training.side_by_side(spark, [step, step], bound + 1) == [1, 1]
+
+
+def test_garbage_is_collected_while_models_train(spark, monkeypatch):
+    """The driver's heap is collected in full again and again while a model trains, and not only when it is full."""
+    monkeypatch.setattr(training, "RELEASE_SECONDS", 0.2, raising=False)
+    beans = spark._jvm.java.lang.management.ManagementFactory.getGarbageCollectorMXBeans()
+    def full():
+        return sum(bean.getCollectionCount() for bean in beans if "Young" not in bean.getName())
+    def step():
+        before, until = full(), time.time() + 10
+        while full() < before + 3 and time.time() < until:
+            time.sleep(0.1)
+        return full() - before
+    assert training.side_by_side(spark, [step])[0] >= 3
+    def broken():
+        raise ValueError("no rows")
+    with pytest.raises(ValueError):
+        training.side_by_side(spark, [broken, lambda: time.sleep(0.5)])
