@@ -9,13 +9,13 @@ from dataclasses import dataclass
 
 from pyspark import inheritable_thread_target
 from pyspark.ml import PipelineModel
-from pyspark.ml.classification import GBTClassifier
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from feedloom.contracts import CORE_FEATURES, FEATURE_COLUMNS
+from feedloom.operators.boosting import GBTClassifier
 from feedloom.operators.evaluation import auc
 from feedloom.operators.frames import conform
 from feedloom.operators.split import train_test_split
@@ -38,8 +38,10 @@ class Task:
     seed: int = 42
 
 
-#: Rows that a task of a boosting pass takes in at most.
+#: Rows per core up to which models train side by side, and rows that a task writes or reads at most.
 ROWS_PER_TASK = 500_000
+#: Rows that a task of a boosting pass takes in at most, chunk by chunk.
+ROWS_PER_PASS = 4_000_000
 #: So often the driver's garbage is collected during training.
 RELEASE_SECONDS = 20
 
@@ -90,14 +92,14 @@ def fit(task: Task, df: DataFrame, name: str) -> tuple[PipelineModel, DataFrame]
     counts = train.agg(
         F.count_if(F.col("_label") == 1).alias("p"), F.count_if(F.col("_label") == 0).alias("n"),
         F.count("*").alias("rows")).head()
-    train = spread_evenly(train, counts["rows"])
     if task.reweight:
         weight = F.when(F.col("_label") == 1, counts["n"] / max(counts["p"], 1)).otherwise(1.0)
         train = train.withColumn("_weight", weight)
         classifier.setWeightCol("_weight")
     assembler = VectorAssembler(inputCols=FEATURE_COLUMNS, outputCol="_features")
     classifier.setFeaturesCol("_features")
-    boosted = classifier.fit(assembler.transform(train))
+    classifier.points_from = assembler.transform(train)
+    boosted = classifier.fit(assembler.transform(spread_evenly(train, counts["rows"], ROWS_PER_PASS)))
     model = PipelineModel([assembler, boosted])
     return model, probability(model, test, "score")
 
