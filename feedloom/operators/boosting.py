@@ -41,8 +41,12 @@ class GBTClassifier(classification.GBTClassifier):
 
     #: The same rows as the dataset's, where reading them twice for the split points is cheaper.
     points_from: DataFrame | None = None
+    #: Whether the rows are so few that MLlib is to grow the trees itself.
+    few = False
 
     def _fit(self, dataset: DataFrame) -> classification.GBTClassificationModel:
+        if self.few:
+            return super()._fit(dataset)
         self._transfer_params_to_java()
         spark = dataset.sparkSession
         schema = dataset._jdf.schema().apply(self.getFeaturesCol())

@@ -42,6 +42,8 @@ class Task:
 ROWS_PER_TASK = 500_000
 #: Rows that a task of a boosting pass takes in at most, chunk by chunk.
 ROWS_PER_PASS = 4_000_000
+#: Rows per core up to which MLlib's own passes are quicker: theirs start sooner, and its objects fit in memory.
+FEW_ROWS = 100_000
 #: So often the driver's garbage is collected during training.
 RELEASE_SECONDS = 20
 
@@ -98,7 +100,8 @@ def fit(task: Task, df: DataFrame, name: str) -> tuple[PipelineModel, DataFrame]
         classifier.setWeightCol("_weight")
     assembler = VectorAssembler(inputCols=FEATURE_COLUMNS, outputCol="_features")
     classifier.setFeaturesCol("_features")
-    classifier.points_from = assembler.transform(train)
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    classifier.few, classifier.points_from = counts["rows"] <= FEW_ROWS * cores, assembler.transform(train)
     boosted = classifier.fit(assembler.transform(spread_evenly(train, counts["rows"], ROWS_PER_PASS)))
     model = PipelineModel([assembler, boosted])
     return model, probability(model, test, "score")

@@ -107,6 +107,7 @@ def test_chunks_hold_all_rows(monkeypatch, spark, rows):
 def test_training_stores_compact_rows_and_leaves_nothing(spark, monkeypatch):
     """No stored table of rows takes 100 bytes a row (MLlib's took 200 and more), and none is left,
     nor a file of the scores."""
+    monkeypatch.setattr(training, "FEW_ROWS", 0, raising=False)
     n, most, done = 20_000, {}, threading.Event()
     data = bootstrap.bootstrap(spark, n).checkpoint()
     kept = {info.id() for info in spark._jsc.sc().getRDDStorageInfo()}
@@ -135,8 +136,14 @@ def test_training_stores_compact_rows_and_leaves_nothing(spark, monkeypatch):
     assert len({p.name for p in folder.glob("rdd-*")} - before) <= 1  # test_cuts' and others' own
 
 
-def test_training_plan_is_quick(spark):
-    """Rows are dealt by constant columns, too, which must not make the plans of later steps explode."""
-    begin = time.time()
-    training.fit(replace(training.ENGAGEMENT, max_iter=1), bootstrap.bootstrap(spark, 500), "is_click")
-    assert time.time() - begin < 60
+def test_few_rows_are_left_to_mllib(spark, monkeypatch):
+    """Up to a number of rows per core; beyond, the same model comes from the passes over chunks."""
+    data, seen, grow = bootstrap.bootstrap(spark, 4000).checkpoint(), [], boosting.GBTClassifier._grow
+    monkeypatch.setattr(boosting.GBTClassifier, "_grow", lambda *given: seen.append(1) or grow(*given))
+    task = replace(training.COMMERCE, max_iter=3, max_depth=3)
+    few = training.fit(task, data, "is_purchase")[0].stages[-1]
+    assert not seen
+    monkeypatch.setattr(training, "FEW_ROWS", 0)
+    many = training.fit(task, data, "is_purchase")[0].stages[-1]
+    assert seen and many.totalNumNodes == few.totalNumNodes
+    assert many.featureImportances.toArray() == pytest.approx(few.featureImportances.toArray(), abs=0.05)
